@@ -3,7 +3,7 @@
 
 def load():
     """All queries and their check texts."""
-    from tradeledger.catalog import relational  # noqa: F401
+    from tradeledger.catalog import analytic, composite, relational  # noqa: F401
     from tradeledger.catalog.registry import QUERIES, check_texts
 
     return dict(QUERIES), check_texts()
