@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tradeledger.catalog.inputs import Inputs
 from tradeledger.catalog.registry import STAGES, query
 from tradeledger.catalog.relational import AS_OF, money
-from tradeledger.functions.dates import month_start
 from tradeledger.operators import allocate, chains, intervals, ordered, periods, stats
 from tradeledger.operators.tables import update_where
 from tradeledger.plans import prices, rebates, sales
+from tradeledger.sources.write import materialise_stage
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -239,7 +236,7 @@ def agg_period_rollup(t: Inputs):
     """SELECT customer_id, year, quarter, month, sales::DOUBLE AS sales FROM {monthly} JOIN {latest_quarter} USING (year, quarter)""",
 )
 def agg_complete_period_only(t: Inputs):
-    kept = periods.keep_latest_complete_quarter(monthly(t))
+    kept = periods.keep_latest_complete_quarter(materialise_stage(monthly(t), "table"))
     return kept.select("customer_id", "year", "quarter", "month", "sales")
 
 
@@ -277,7 +274,8 @@ def window_latest_per_period(t: Inputs):
 )
 def window_group_index(t: Inputs):
     rows = t.events.select("event_id", "user_id", "ts")
-    return ordered.number_rows(rows, ["user_id"], ["ts", "event_id"]).drop("ts")
+    hot = ordered.hot_keys(rows, ["user_id"])
+    return ordered.carry(rows, ["user_id"], ["ts", "event_id"], index="row_index", hot=hot).drop("ts")
 
 
 @query(
@@ -286,7 +284,8 @@ def window_group_index(t: Inputs):
 )
 def window_lead_interval(t: Inputs):
     rows = t.events.select("event_id", "user_id", F.col("ts").alias("start_date"))
-    return intervals.lead_intervals(rows, ["user_id"], "start_date", ["event_id"])
+    hot = ordered.hot_keys(rows, ["user_id"])
+    return intervals.lead_intervals(rows, ["user_id"], "start_date", ["event_id"], hot=hot)
 
 
 @query(
@@ -298,7 +297,9 @@ def window_lead_interval(t: Inputs):
 def window_lag_ignore_nulls(t: Inputs):
     bought = F.when(F.col("event_type") == "purchase", F.col("value"))
     rows = t.events.select("event_id", "user_id", "ts", bought.alias("bought"))
-    return ordered.last_known(rows, ["user_id"], ["ts", "event_id"], {"last_bought": "bought"}).drop("ts", "bought")
+    hot = ordered.hot_keys(rows, ["user_id"])
+    filled = ordered.carry(rows, ["user_id"], ["ts", "event_id"], known={"last_bought": "bought"}, hot=hot)
+    return filled.drop("ts", "bought")
 
 
 STAGES["daily"] = """
@@ -363,10 +364,11 @@ def join_range_calendar(t: Inputs):
 )
 def join_interval_asof(t: Inputs):
     signups = t.events.filter("event_type = 'signup'").select("user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("start_at"))
-    history = intervals.lead_intervals(signups, ["user_id"], "start_at", ["signup_id"], "end_at")
+    hot = ordered.hot_keys(t.events, ["user_id"])
+    history = intervals.lead_intervals(signups, ["user_id"], "start_at", ["signup_id"], "end_at", hot)
     facts = t.events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     return intervals.join_asof(
-        facts, history, ["user_id"], "ts", "start_at", "end_at", {"signup_id": "signup_id", "start_at": "start_at"}
+        facts, history, ["user_id"], "ts", "start_at", "end_at", {"signup_id": "signup_id", "start_at": "start_at"}, hot
     ).drop("ts")
 
 
@@ -554,7 +556,7 @@ def ols_simple(t: Inputs):
            SELECT id // 100 AS g, avg(o_totalprice) AS mean
            FROM (SELECT id, CAST('0x' || substring(md5('0-' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % (SELECT count(*) FROM {orders}) AS i
                  FROM (SELECT unnest(range(100000)) AS id))
-           JOIN (SELECT o_totalprice, row_number() OVER (ORDER BY substring(md5(CAST(o_orderkey AS VARCHAR)), 1, 3), o_orderkey) - 1 AS i FROM {orders})
+           JOIN (SELECT o_totalprice, row_number() OVER (ORDER BY substring(md5(CAST(o_orderkey AS VARCHAR)), 1, 4), o_orderkey) - 1 AS i FROM {orders})
            USING (i) GROUP BY g))""",
 )
 def bootstrap_ci(t: Inputs):

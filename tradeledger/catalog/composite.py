@@ -56,13 +56,18 @@ STAGES["sales_rolled"] = """
   LEFT JOIN {reasons_found} r ON r.so_number = s.so_number AND r.item = s.item"""
 
 
-def coupon_sales(t: Inputs):
-    return sales.sales_with_coupons(t.order_line, t.order_header, t.items, t.relations, CATEGORY, PROMO, SINCE)
+def sold_lines(t: Inputs):
+    sold = sales.sales_lines(t.order_line, t.order_header, t.items, t.relations, CATEGORY, SINCE)
+    return materialise_stage(sold, "table")
+
+
+def with_coupons(t: Inputs, sold):
+    return sales.sales_with_coupons(sold, sales.order_coupons(t.order_line, t.order_header, t.items, PROMO))
 
 
 def rolled_sales(t: Inputs):
-    sold, chains = coupon_sales(t), sales.adjustment_chains(t.relations)
-    final = sales.sales_without_adjustments(sold, t.relations, chains)
+    sold, chains = sold_lines(t), sales.adjustment_chains(t.relations)
+    final = sales.sales_without_adjustments(with_coupons(t, sold), t.relations, chains)
     reasons = sales.return_reasons(t.pickups, t.pickup_lines, t.reasons)
     return sales.sales_rollout(sold, final, chains, t.relations, reasons, t.calendar)
 
@@ -73,13 +78,14 @@ SALES_COLUMNS = f"""customer_id, sale_date, cuc, core_type, salesperson, {LINE_C
 
 @query("sales_with_coupons", f"SELECT {SALES_COLUMNS} FROM {{coupon_sales}}")
 def sales_with_coupons(t: Inputs):
-    return coupon_sales(t).drop("category", "order_id")
+    return with_coupons(t, sold_lines(t)).drop("category", "order_id")
 
 
 @query("remove_adjusted_orders", f"SELECT {SALES_COLUMNS} FROM {{final_sales}}")
 def remove_adjusted_orders(t: Inputs):
     chains = sales.adjustment_chains(t.relations)
-    return sales.sales_without_adjustments(coupon_sales(t), t.relations, chains).drop("category", "order_id")
+    sold = with_coupons(t, sold_lines(t))
+    return sales.sales_without_adjustments(sold, t.relations, chains).drop("category", "order_id")
 
 
 @query(
@@ -147,13 +153,13 @@ def matched(t: Inputs):
     return opportunity.lookup_sale_match(rolled_sales(t), opportunity.distinct_lookups(t.lookups, t.items, CATEGORY))
 
 
-def opportunities(t: Inputs):
-    stocked = materialise_stage(opportunity.with_stock(matched(t), inventory(t), t.calendar), "table")
+def opportunities(t: Inputs, stock):
+    stocked = materialise_stage(opportunity.with_stock(matched(t), stock, t.calendar), "table")
     return opportunity.in_stock_opportunity(stocked, HOUSE_CUSTOMERS, HOUSE_PREFIX)
 
 
-def dashboard(t: Inputs):
-    return opportunity.dashboard_rows(opportunities(t), t.model_stock, WAREHOUSE)
+def dashboard(t: Inputs, stock):
+    return opportunity.dashboard_rows(opportunities(t, stock), t.model_stock, WAREHOUSE)
 
 
 @query("opening_inventory", "SELECT cuc, inventory_date, on_hand FROM {inventory}")
@@ -172,7 +178,7 @@ OPP_NAMES = ["fiscal_week", "fiscal_month", "ext_cost", "in_stock", "sales_opp",
 
 @query("in_stock_opportunity", f"SELECT {ROW_COLUMNS}, {OPP} FROM {{opps}}")
 def in_stock_opportunity(t: Inputs):
-    return opportunities(t).select(*SHOWN, *OPP_NAMES)
+    return opportunities(t, inventory(t)).select(*SHOWN, *OPP_NAMES)
 
 
 @query(
@@ -183,7 +189,7 @@ def in_stock_opportunity(t: Inputs):
 )
 def dashboard_rows(t: Inputs):
     names = ["in_model_opp", "in_stock_sale", "positive_sales", "positive_coupons", "negative_sales", "negative_coupons"]
-    return dashboard(t).select(*SHOWN, *OPP_NAMES, *names, "gross_sales", "gross_returns")
+    return dashboard(t, inventory(t)).select(*SHOWN, *OPP_NAMES, *names, "gross_sales", "gross_returns")
 
 
 @query(
@@ -204,7 +210,8 @@ def dashboard_rows(t: Inputs):
            JOIN {calendar} k ON k.day = v.inventory_date GROUP BY ALL) GROUP BY fiscal_week) USING (fiscal_week)""",
 )
 def dashboard_kpis(t: Inputs):
-    return opportunity.dashboard_kpis(dashboard(t), inventory(t), t.unit_cost, t.calendar, rebate_pct=2.0)
+    stock = materialise_stage(inventory(t), "table")
+    return opportunity.dashboard_kpis(dashboard(t, stock), stock, t.unit_cost, t.calendar, rebate_pct=2.0)
 
 
 # ---------------------------------------------------------------- rebates
@@ -230,7 +237,7 @@ STAGES["rates"] = """
 
 
 def rates(t: Inputs):
-    periods = rebates.member_period_sales(monthly(t), AS_OF)
+    periods = rebates.member_period_sales(materialise_stage(monthly(t), "table"), AS_OF)
     return rebates.rebate_rates(t.members, t.buying_groups, t.customer_view, periods, {"NATION_4": 2.0})
 
 
@@ -248,7 +255,7 @@ def member_monthly_sales(t: Inputs):
     f"SELECT frequency, {KEYS}, sales::DOUBLE AS sales, roy::DOUBLE AS roy, ntl::DOUBLE AS ntl, loc::DOUBLE AS loc FROM {{period_sales}}",
 )
 def member_period_sales(t: Inputs):
-    return rebates.member_period_sales(monthly(t), AS_OF)
+    return rebates.member_period_sales(materialise_stage(monthly(t), "table"), AS_OF)
 
 
 @query(

@@ -7,15 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeledger.operators.ordered import HOT_ROWS, first_per_key, last_known, next_value
+from tradeledger.operators.ordered import carry, first_per_key
 
 
 def lead_intervals(
-    df: DataFrame, keys: Sequence[str], start: str, tie: Sequence[str] = (), end: str = "end_date",
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    tie: Sequence[str] = (),
+    end: str = "end_date",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Half-open validity: a row ends where the next one of its key starts."""
-    return next_value(df, keys, [start, *tie], {end: start}, hot_rows)
+    return carry(df, keys, [start, *tie], following={end: start}, hot=hot)
 
 
 def join_asof(
@@ -26,13 +30,13 @@ def join_asof(
     start: str,
     end: str,
     columns: dict[str, str],
-    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Each fact with the interval ``[start, end)`` valid at its time, or NULLs.
 
     Intervals of one key must not overlap. Facts and interval starts are stacked and the last
     start is carried forward, so work grows with rows, not with facts x intervals of a key.
-    ``end`` NULL means still open.
+    ``end`` NULL means still open. ``hot`` are the keys with very many facts or intervals.
     """
     payload = F.struct(F.col(end).cast("timestamp_ntz").alias("_end"), *[F.col(s).alias(n) for n, s in columns.items()])
     not_null = F.lit(True)
@@ -48,7 +52,7 @@ def join_asof(
         F.struct(*[F.col(c) for c in facts.columns if c not in keys]).alias("_fact"),
     )
     stacked = starts.unionByName(marks, allowMissingColumns=True)
-    carried = last_known(stacked, keys, ["_at", "_side"], {"_found": "_valid"}, hot_rows=hot_rows)
+    carried = carry(stacked, keys, ["_at", "_side"], known={"_found": "_valid"}, hot=hot)
     valid = F.col("_found._end").isNull() | (F.col("_at") < F.col("_found._end"))
     return carried.filter("_side = 1").select(
         *keys, "_fact.*", *[F.when(valid, F.col(f"_found.{n}")).alias(n) for n in columns]

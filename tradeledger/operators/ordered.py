@@ -1,8 +1,9 @@
 """Order-dependent operators that stay parallel when one key holds a large part of the rows.
 
-A window over ``partitionBy(key)`` puts a whole key into one task. Here the few keys above
-``hot_rows`` are cut into time slices; windows run per (key, slice) and a small summary with one
-row per hot key and slice carries values across the slice borders. Other keys keep one slice.
+A window over ``partitionBy(key)`` puts a whole key into one task. ``hot_keys`` counts the rows per
+key and names the few keys above a limit. Without any, one plain window does the work. Hot keys are
+cut into time slices: windows run per (key, slice), and a summary with one row per hot key and
+slice carries values across the slice borders.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradeledger.session import cut_lineage
+
 # A key above this many rows is cut. The list of such keys has at most rows / HOT_ROWS entries
 # (100,000 keys for 2e11 rows), which is the size bound for broadcasting it.
 HOT_ROWS = 2_000_000
@@ -19,36 +22,15 @@ HOT_ROWS = 2_000_000
 _SLICE = "_slice"
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, or None if there are none.
 
-def _order(order_by: Sequence[str]) -> list[Column]:
-    if not order_by:
-        raise ValueError("a total order is required")
-    return [F.col(c).asc_nulls_first() for c in order_by]
-
-
-def with_slices(
-    df: DataFrame, keys: Sequence[str], slice_of: Column, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add the slice column: NULL for ordinary keys, ``slice_of`` (rising with the order) for hot ones."""
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
-        .alias("hot")
-    )
-    rows = df.alias("rows")
-    match = [F.col(f"rows.{k}").eqNullSafe(F.col(f"hot.{k}")) for k in keys]
-    return rows.join(F.broadcast(hot), match, "left").select(
-        "rows.*",
-        F.when(F.col("hot._hot"), F.coalesce(slice_of.cast("bigint"), F.lit(-(2**62)))).alias(_SLICE),
-    )
+    Runs one count over the key columns, summed before the shuffle. Give it the base table, not a
+    derived one, so that nothing else has to be computed for it.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = cut_lineage(counts.filter(F.col("_rows") > hot_rows).select(*keys))
+    return None if hot.isEmpty() else hot
 
 
 def day_slice(column: str) -> Column:
@@ -56,108 +38,100 @@ def day_slice(column: str) -> Column:
     return F.unix_date(F.to_date(F.col(column)))
 
 
-def _carry(sliced: DataFrame, keys: Sequence[str], edge: Column, window_fn, name: str) -> DataFrame:
-    """Summary of the hot keys: per slice the ``edge`` aggregate, moved on along the slices."""
-    per_slice = (
-        sliced.filter(F.col(_SLICE).isNotNull()).groupBy(*keys, _SLICE).agg(edge.alias("_edge"))
-    )
-    along = Window.partitionBy(*keys).orderBy(_SLICE)
-    return per_slice.select(*keys, _SLICE, window_fn(F.col("_edge"), along).alias(name))
-
-
-def _attach(sliced: DataFrame, carried: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    left, right = sliced.alias("l"), carried.alias("r")
-    match = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    match.append(F.col(f"l.{_SLICE}") == F.col(f"r.{_SLICE}"))
-    return left.join(right, match, "left").select("l.*", f"r.{name}")
-
-
-def next_value(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    values: dict[str, str],
-    hot_rows: int = HOT_ROWS,
-    slice_of: Column | None = None,
-) -> DataFrame:
-    """``lead``: value of the following row of the same key, as new columns ``{new: source}``."""
-    order = _order(order_by)
-    slice_of = day_slice(order_by[0]) if slice_of is None else slice_of
-    sliced = with_slices(df, keys, slice_of, hot_rows)
-    packed = F.struct(*[F.col(c) for c in dict.fromkeys(values.values())])
-    inside = Window.partitionBy(*keys, _SLICE).orderBy(*order)
-    first = F.min_by(packed, F.struct(*order_by))
-    carried = _carry(sliced, keys, first, lambda e, w: F.lead(e).over(w), "_after")
-    both = _attach(sliced.withColumn("_inside", F.lead(packed).over(inside)), carried, keys, "_after")
-    found = F.coalesce("_inside", "_after")
-    return both.withColumns({new: found[old] for new, old in values.items()}).drop(
-        "_inside", "_after", _SLICE
-    )
-
-
-def last_known(
+def carry(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    values: dict[str, str],
+    following: dict[str, str] | None = None,
+    known: dict[str, str] | None = None,
     include_current: bool = False,
-    hot_rows: int = HOT_ROWS,
+    index: str | None = None,
+    hot: DataFrame | None = None,
     slice_of: Column | None = None,
 ) -> DataFrame:
-    """``lag ignore nulls``: last non-NULL value before (or up to) each row, as ``{new: source}``."""
-    order = _order(order_by)
-    slice_of = day_slice(order_by[0]) if slice_of is None else slice_of
-    sliced = with_slices(df, keys, slice_of, hot_rows)
-    inside = (
-        Window.partitionBy(*keys, _SLICE)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow if include_current else -1)
-    )
-    sources = list(dict.fromkeys(values.values()))
+    """Values carried along the rows of a key, all from one shuffle and one sort.
+
+    ``following`` {new: source}: value of the next row (``lead``).
+    ``known`` {new: source}: last non-NULL value before the row, or up to it with
+    ``include_current`` (``lag ignore nulls``).
+    ``index``: row number from 1. ``order_by`` must be a total order; NULLs come first.
+    ``hot`` are the keys to cut into slices; ``slice_of`` rises with the order (default: the day of
+    the first order column).
+    """
+    if not order_by:
+        raise ValueError("a total order is required")
+    following, known = following or {}, known or {}
+    order = [F.col(c).asc_nulls_first() for c in order_by]
+    upper = Window.currentRow if include_current else -1
+    if hot is None:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        before = window.rowsBetween(Window.unboundedPreceding, upper)
+        new = {name: F.lead(source).over(window) for name, source in following.items()}
+        new |= {name: F.last(source, ignorenulls=True).over(before) for name, source in known.items()}
+        if index:
+            new[index] = F.row_number().over(window).cast("bigint")
+        return df.withColumns(new)
+
+    sliced = _with_slices(df, keys, hot, day_slice(order_by[0]) if slice_of is None else slice_of)
+    window = Window.partitionBy(*keys, _SLICE).orderBy(*order)
+    before = window.rowsBetween(Window.unboundedPreceding, upper)
     place = F.struct(*order_by)
-    edges = F.struct(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(c) for c in sources]
+    next_of = F.struct(F.lit(True).alias("_row"), *[F.col(s).alias(n) for n, s in following.items()])
+    inside = sliced.withColumns(
+        {
+            "_next": F.lead(next_of).over(window),
+            "_known": F.struct(
+                F.lit(True).alias("_row"),
+                *[F.last(s, ignorenulls=True).over(before).alias(n) for n, s in known.items()],
+            ),
+            "_place": F.row_number().over(window),
+        }
     )
-
-    def earlier(edge: Column, along) -> Column:
-        before = along.rowsBetween(Window.unboundedPreceding, -1)
-        return F.struct(*[F.last(edge[c], ignorenulls=True).over(before).alias(c) for c in sources])
-
-    carried = _carry(sliced, keys, edges, earlier, "_before")
-    filled = sliced.withColumns(
-        {f"_in_{i}": F.last(c, ignorenulls=True).over(inside) for i, c in enumerate(sources)}
+    # One row per hot key and slice, then moved on along the slices of the key.
+    last_in_slice = [
+        F.max_by(F.col(s), F.when(F.col(s).isNotNull(), place)).alias(n) for n, s in known.items()
+    ]
+    edges = (
+        sliced.filter(F.col(_SLICE).isNotNull())
+        .groupBy(*keys, _SLICE)
+        .agg(
+            F.min_by(next_of, place).alias("_first"),
+            F.struct(F.lit(True).alias("_row"), *last_in_slice).alias("_last"),
+            F.count(F.lit(1)).alias("_rows"),
+        )
     )
-    both = _attach(filled, carried, keys, "_before")
-    found = {c: F.coalesce(F.col(f"_in_{i}"), F.col("_before")[c]) for i, c in enumerate(sources)}
-    return both.withColumns({new: found[old] for new, old in values.items()}).drop(
-        "_before", _SLICE, *[f"_in_{i}" for i in range(len(sources))]
+    along = Window.partitionBy(*keys).orderBy(_SLICE)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    carried = edges.select(
+        *keys,
+        _SLICE,
+        F.lead("_first").over(along).alias("_after"),
+        F.struct(
+            F.lit(True).alias("_row"),
+            *[F.last(F.col("_last")[n], ignorenulls=True).over(earlier).alias(n) for n in known],
+        ).alias("_before"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
     )
+    left, right = inside.alias("l"), carried.alias("r")
+    match = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+    match.append(F.col(f"l.{_SLICE}") == F.col(f"r.{_SLICE}"))
+    both = left.join(right, match, "left").select("l.*", "_after", "_before", "_offset")
+    new = {n: F.coalesce("_next", "_after")[n] for n in following}
+    new |= {n: F.coalesce(F.col("_known")[n], F.col("_before")[n]) for n in known}
+    if index:
+        new[index] = (F.col("_place") + F.coalesce("_offset", F.lit(0))).cast("bigint")
+    return both.withColumns(new).drop("_next", "_known", "_place", "_after", "_before", "_offset", _SLICE)
 
 
-def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    name: str = "row_index",
-    hot_rows: int = HOT_ROWS,
-    slice_of: Column | None = None,
-) -> DataFrame:
-    """``row_number`` by a total order, from 1."""
-    order = _order(order_by)
-    slice_of = day_slice(order_by[0]) if slice_of is None else slice_of
-    sliced = with_slices(df, keys, slice_of, hot_rows)
-    inside = Window.partitionBy(*keys, _SLICE).orderBy(*order)
-    carried = _carry(
-        sliced,
-        keys,
-        F.count(F.lit(1)),
-        lambda e, w: F.sum(e).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-        "_offset",
+def _with_slices(df: DataFrame, keys: Sequence[str], hot: DataFrame, slice_of: Column) -> DataFrame:
+    """Add the slice column: NULL for ordinary keys, ``slice_of`` for hot ones."""
+    few = hot.select(*keys, F.lit(True).alias("_hot")).alias("hot")
+    match = [F.col(f"rows.{k}").eqNullSafe(F.col(f"hot.{k}")) for k in keys]
+    # See HOT_ROWS for the bound of the broadcast list. NULL order values come first.
+    return df.alias("rows").join(F.broadcast(few), match, "left").select(
+        "rows.*",
+        F.when(F.col("hot._hot"), F.coalesce(slice_of.cast("bigint"), F.lit(-(2**62)))).alias(_SLICE),
     )
-    both = _attach(sliced.withColumn("_inside", F.row_number().over(inside)), carried, keys, "_offset")
-    return both.withColumn(
-        name, F.col("_inside") + F.coalesce("_offset", F.lit(0)).cast("bigint")
-    ).drop("_inside", "_offset", _SLICE)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -194,18 +168,28 @@ def value_positions(
     """Distinct values with the range of sorted positions each one covers.
 
     Output: ``by``, value, ``first_position`` (0-based), ``end_position`` (exclusive) and
-    ``total``. Equal values are counted before the shuffle; the running sum is split at
-    approximate quantiles, so no task sorts a whole group.
+    ``total``. Equal values are counted before the shuffle and the counts are kept, so the input is
+    read once. The running sum is split at approximate quantiles of the distinct values, so no task
+    sorts a whole group.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    counted = cut_lineage(
+        df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return counted_positions(counted, value, by, pieces)
+
+
+def counted_positions(
+    counted: DataFrame, value: str, by: Sequence[str] = (), pieces: int = 64
+) -> DataFrame:
+    """``value_positions`` of (by, value, _n) rows."""
     quantiles = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
     sketch = F.percentile_approx(value, quantiles, F.lit(pieces * 16)).alias("_cuts")
     if by:
-        cuts = df.groupBy(*by).agg(sketch).alias("cuts")
+        cuts = counted.groupBy(*by).agg(sketch).alias("cuts")
         match = [F.col(f"c.{k}").eqNullSafe(F.col(f"cuts.{k}")) for k in by]
         located = counted.alias("c").join(cuts, match).select("c.*", "cuts._cuts")
     else:
-        located = counted.withColumn("_cuts", df.agg(sketch).scalar())
+        located = counted.withColumn("_cuts", counted.agg(sketch).scalar())
     pieced = located.withColumn(
         "_piece", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
     ).drop("_cuts")
@@ -259,11 +243,8 @@ def order_statistic(
     return places.groupBy(*by).agg(*picks) if by else places.agg(*picks)
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = ()
-) -> DataFrame:
-    """Quantiles by linear interpolation between neighbours of position ``share * (n - 1)``."""
-    places = value_positions(df, value, by)
+def exact_quantiles(places: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Quantiles of positioned values, interpolated between neighbours of place ``share * (n - 1)``."""
 
     def pick(share: float) -> Column:
         place = (F.col("total") - 1) * F.lit(share)
@@ -282,9 +263,9 @@ def exact_quantiles(
 def dense_index(df: DataFrame, key: str, name: str = "row_index") -> DataFrame:
     """0-based gap-free index by (hash, key) without a global sort; ``key`` must be unique.
 
-    Rows are spread over 4096 hash buckets; only the bucket counts are summed up in one place.
+    Rows are spread over 65,536 hash buckets; only the bucket counts are summed up in one place.
     """
-    bucketed = df.withColumn("_bucket", F.substring(F.md5(F.col(key).cast("string")), 1, 3))
+    bucketed = df.withColumn("_bucket", F.substring(F.md5(F.col(key).cast("string")), 1, 4))
     along = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")

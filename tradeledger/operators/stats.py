@@ -8,7 +8,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeledger.operators.ordered import dense_index, exact_quantiles, order_statistic
+from tradeledger.operators.ordered import (
+    counted_positions,
+    dense_index,
+    exact_quantiles,
+    order_statistic,
+)
+from tradeledger.session import cut_lineage
+
+
+# Draws of 16 bytes each: 16 MB.
+MAX_BROADCAST_DRAWS = 1_000_000
 
 
 def zscore(df: DataFrame, value: str, name: str) -> DataFrame:
@@ -25,18 +35,27 @@ def kernel_density(
     """Gaussian kernel density per group on an even grid.
 
     Bandwidth ``0.9 * min(sd, IQR / 1.34) * n ** -0.2``, grid three bandwidths beyond the data.
-    Values are first counted in even bins, each value split linearly between its two neighbours;
-    then each bin (at most ``bins`` per group, whatever the data size) adds to the grid points.
+    Equal values are counted first and the counts kept, so the input is read once. They are then
+    put in even bins, each value split linearly between its two neighbours, and each bin (at most
+    ``bins`` per group, whatever the data size) adds to the grid points.
     Output: ``by``, grid_index, grid, density.
     """
     rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
-    spread = exact_quantiles(rows, "_x", {"_q1": 0.25, "_q3": 0.75}, by)
-    moments = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.stddev_samp("_x").alias("_sd"),
+    counted = cut_lineage(rows.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_n")))
+    places = counted_positions(counted, "_x", by)
+    spread = exact_quantiles(places, "_x", {"_q1": 0.25, "_q3": 0.75}, by)
+    extent = counted.groupBy(*by).agg(
+        F.sum("_n").alias("_total"),
+        (F.sum(F.col("_x") * F.col("_n")) / F.sum("_n")).alias("_mean"),
         F.min("_x").alias("_min"),
         F.max("_x").alias("_max"),
     )
+    squares = F.sum(F.col("_n") * F.pow(F.col("_x") - F.col("_mean"), F.lit(2)))
+    moments = (
+        counted.join(extent, list(by))
+        .groupBy(*by, "_total", "_min", "_max")
+        .agg(F.sqrt(squares / F.nullif(F.col("_total") - 1, F.lit(0))).alias("_sd"))
+    )
     iqr = (F.col("_q3") - F.col("_q1")) / 1.34
     narrow = F.least("_sd", iqr)
     # Fallbacks when the spread is zero: sd, then the size of the values, then 1.
@@ -45,21 +64,21 @@ def kernel_density(
     )
     shape = (
         moments.join(spread, list(by))
-        .withColumn("_bw", 0.9 * width * F.pow("_n", F.lit(-0.2)))
+        .withColumn("_bw", 0.9 * width * F.pow("_total", F.lit(-0.2)))
         .withColumn("_lo", F.col("_min") - 3 * F.col("_bw"))
         .withColumn("_hi", F.col("_max") + 3 * F.col("_bw"))
-        .select(*by, "_n", "_bw", "_lo", "_hi")
+        .select(*by, "_total", "_bw", "_lo", "_hi")
     )
     place = (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * (bins - 1)
     left = F.least(F.floor(place), F.lit(bins - 2))
-    counted = (
-        rows.join(shape, list(by))
+    binned = (
+        counted.join(shape, list(by))
         .withColumn("_place", place)
         .withColumn("_bin", left)
         .groupBy(*by, "_bin")
         .agg(
-            F.sum(F.col("_bin") + 1 - F.col("_place")).alias("_left"),
-            F.sum(F.col("_place") - F.col("_bin")).alias("_right"),
+            F.sum(F.col("_n") * (F.col("_bin") + 1 - F.col("_place"))).alias("_left"),
+            F.sum(F.col("_n") * (F.col("_place") - F.col("_bin"))).alias("_right"),
         )
     )
     sides = F.explode(
@@ -69,13 +88,13 @@ def kernel_density(
         )
     )
     weights = (
-        counted.select(*by, sides.alias("s")).groupBy(*by, F.col("s.b").alias("_bin")).agg(F.sum("s.w").alias("_w"))
+        binned.select(*by, sides.alias("s")).groupBy(*by, F.col("s.b").alias("_bin")).agg(F.sum("s.w").alias("_w"))
     )
     step = (F.col("_hi") - F.col("_lo")) / (points - 1)
     centre = F.col("_lo") + (F.col("_hi") - F.col("_lo")) / (bins - 1) * F.col("_bin")
     grid = F.col("_lo") + step * F.col("grid_index")
     kernel = F.exp(-0.5 * F.pow((grid - centre) / F.col("_bw"), F.lit(2)))
-    scale = F.col("_n") * F.col("_bw") * math.sqrt(2 * math.pi)
+    scale = F.col("_total") * F.col("_bw") * math.sqrt(2 * math.pi)
     return (
         weights.join(shape, list(by))
         .withColumn("grid_index", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
@@ -92,6 +111,7 @@ def linear_interpolate(
     The segment number follows from the spacing, so the lookup is an equality join on
     (group, segment). NULL outside the curve.
     """
+    curve = cut_lineage(curve)
     ahead = Window.partitionBy(*by).orderBy("grid_index")
     segments = curve.select(
         *by,
@@ -219,7 +239,10 @@ def bootstrap_means(
         F.floor(F.col("id") / per_group).alias("draw_group"),
         (F.conv(digits, 16, 10).cast("bigint") % F.nullif(n, F.lit(0))).alias("row_index"),
     )
-    return draws.join(indexed, "row_index").groupBy("draw_group").agg(F.avg(value).alias("mean"))
+    # The number of draws is fixed by the arguments, not by the data.
+    if groups * per_group <= MAX_BROADCAST_DRAWS:
+        draws = F.broadcast(draws)
+    return indexed.join(draws, "row_index").groupBy("draw_group").agg(F.avg(value).alias("mean"))
 
 
 def bootstrap_ci(

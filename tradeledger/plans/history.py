@@ -25,8 +25,9 @@ from tradeledger.operators.intervals import (
     latest_per_period,
     lead_intervals,
 )
-from tradeledger.operators.ordered import HOT_ROWS, first_per_key, last_known, next_value
+from tradeledger.operators.ordered import HOT_ROWS, carry, first_per_key, hot_keys
 from tradeledger.operators.tables import decode_codes, existence_flag, union_tagged
+from tradeledger.sources.write import materialise_stage
 
 TZ = "America/Los_Angeles"
 
@@ -48,11 +49,15 @@ def deal_schedules(audits: DataFrame, tz: str = TZ, hot_rows: int = HOT_ROWS) ->
         F.substring(audit_new_value(F.col("changes"), "dtstart"), 1, 10).alias("day_1_start"),
         audit_new_value(F.col("changes"), "rrule").alias("rule"),
     )
-    order = ["created_at", "audit_id"]
-    ended = next_value(parsed, ["deal_date_id"], order, {"ineffective_date": "effective_date"}, hot_rows)
     fields = ["listing_id", "listing_type", "day_1_start", "rule"]
-    return last_known(
-        ended, ["deal_date_id"], order, {c: c for c in fields}, include_current=True, hot_rows=hot_rows
+    return carry(
+        parsed,
+        ["deal_date_id"],
+        ["created_at", "audit_id"],
+        following={"ineffective_date": "effective_date"},
+        known={c: c for c in fields},
+        include_current=True,
+        hot=hot_keys(audits, ["deal_date_id"], hot_rows),
     )
 
 
@@ -135,11 +140,15 @@ def owner_changes(
     return created.join(named, "top_level_id", "left")
 
 
-def owner_intervals(changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def owner_intervals(changes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Owner intervals: from creation to the first change, then from change to change."""
     moved = changes.filter(F.col("changed_at").isNotNull())
-    later = next_value(
-        moved, ["top_level_id"], ["changed_at", "old_owner", "new_owner"], {"end_date": "changed_at"}, hot_rows
+    later = carry(
+        moved,
+        ["top_level_id"],
+        ["changed_at", "old_owner", "new_owner"],
+        following={"end_date": "changed_at"},
+        hot=hot,
     ).select("top_level_id", F.col("changed_at").alias("start_date"), "end_date", F.col("new_owner").alias("owner"))
     order = [F.col(c).asc_nulls_last() for c in ("changed_at", "old_owner", "new_owner")]
     first = first_per_key(changes, ["top_level_id"], order).select(
@@ -161,7 +170,8 @@ def account_owner_history(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One owner per top-level account and month up to the last closed month."""
-    intervals = owner_intervals(owner_changes(accounts, top_levels, history, users), hot_rows)
+    hot = hot_keys(history.select(F.col("account_id").alias("top_level_id")), ["top_level_id"], hot_rows)
+    intervals = owner_intervals(owner_changes(accounts, top_levels, history, users), hot)
     last_day = month_start(as_of) - dt.timedelta(days=1)
     months = expand_months(
         intervals,
@@ -187,7 +197,13 @@ def retailer_status_history(
         .select(F.col("auditable_id").alias("vr_id"), "audit_id", F.col("created_at").alias("audited_at"), value.alias("audited_status"))
     )
     joined = chosen.join(rows, "vr_id", "left")
-    ended = next_value(joined, ["vr_id"], ["audited_at", "audit_id"], {"_next": "audited_at"}, hot_rows)
+    ended = carry(
+        joined,
+        ["vr_id"],
+        ["audited_at", "audit_id"],
+        following={"_ended": "audited_at"},
+        hot=hot_keys(rows, ["vr_id"], hot_rows),
+    )
     status = F.coalesce("audited_status", F.col("status").cast("string"))
     return ended.select(
         "vr_id",
@@ -197,7 +213,7 @@ def retailer_status_history(
         "listing_type",
         F.to_date("created_at").alias("created_date"),
         local_time(F.coalesce("audited_at", "created_at"), tz).alias("start_date"),
-        local_time(F.col("_next"), tz).alias("end_date"),
+        local_time(F.col("_ended"), tz).alias("end_date"),
         decode_codes(status, STATUS_LABELS, status).alias("status_label"),
     )
 
@@ -295,7 +311,8 @@ def menu_override_history(
     )
     known = stores.select("core_id", "core_type").distinct()
     joined = known.join(rows, ["core_id", "core_type"], "left")
-    return lead_intervals(joined, ["core_id", "core_type"], "update_date", ["audit_id"], "end_date", hot_rows)
+    store = ["core_id", "core_type"]
+    return lead_intervals(joined, store, "update_date", ["audit_id"], "end_date", hot_keys(touched, store, hot_rows))
 
 
 def sales_at_retailer_status(
@@ -309,7 +326,9 @@ def sales_at_retailer_status(
 
     Both intervals are half-open. Before the first change of a store its old override holds.
     Retailers have one row per listing and brand, so the status intervals of a listing do not overlap.
+    The sales are kept as a table before each lookup: their hot keys are counted on it.
     """
+    sales = materialise_stage(sales, "table")
     store = ["core_id", "core_type"]
     changed = overrides.filter(F.col("update_date").isNotNull())
     flagged = existence_flag(sales, changed, store, "has_audit")
@@ -326,7 +345,7 @@ def sales_at_retailer_status(
             "old_override": "old_override",
             "new_override": "new_override",
         },
-        hot_rows,
+        hot_keys(sales, store, hot_rows),
     )
     first = changed.groupBy(*store).agg(
         F.min_by("old_override", F.struct("update_date", "audit_id")).alias("first_override")
@@ -338,21 +357,23 @@ def sales_at_retailer_status(
     by_wmid = stores.select(
         F.col("wmid").alias("current_override"), F.col("core_id").alias("override_id"), F.col("core_type").alias("override_type")
     )
-    placed = (
+    placed = materialise_stage(
         valid.join(first, store, "left")
         .withColumn("current_override", current)
         .join(by_wmid, "current_override", "left")
         .withColumn("listing_id", F.coalesce("override_id", "core_id"))
         .withColumn("listing_type", F.coalesce("override_type", "core_type"))
-        .drop("first_override")
+        .drop("first_override"),
+        "table",
     )
+    listing = ["listing_id", "listing_type"]
     return join_asof(
         placed,
         status_history,
-        ["listing_id", "listing_type"],
+        listing,
         "order_date",
         "start_date",
         "end_date",
         {"status_start": "start_date", "status_end": "end_date", "status_label": "status_label"},
-        hot_rows,
+        hot_keys(placed, listing, hot_rows),
     )

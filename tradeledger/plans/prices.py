@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradeledger.operators.ordered import rolling_rows
 from tradeledger.operators.stats import kernel_density, ols_simple, zscore
 from tradeledger.operators.tables import union_tagged
+from tradeledger.session import cut_lineage
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -104,11 +105,14 @@ def customer_conversion(rows: DataFrame) -> DataFrame:
 
 
 def product_price_scores(rows: DataFrame) -> DataFrame:
-    """Mean price per product and style, scaled; a missing price makes the mean NULL."""
+    """Mean price per product and style, scaled; a missing price makes the mean NULL.
+
+    The means (one row per product and style) are kept: they are read again for their moments.
+    """
     complete = F.count("sale_price") == F.count(F.lit(1))
     mean = F.avg(F.col("sale_price").cast("double"))
     means = rows.filter("sales_qty > 0").groupBy("cuc", "style").agg(F.when(complete, mean).alias("mean_price"))
-    return zscore(means, "mean_price", "price_score")
+    return zscore(cut_lineage(means), "mean_price", "price_score")
 
 
 def customer_price_scores(rows: DataFrame, min_quantity: float = 4) -> DataFrame:

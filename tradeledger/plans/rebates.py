@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeledger.functions.dates import PERIOD_MONTHS, month_start, ntz, period_bounds, year_start
-from tradeledger.operators.periods import keep_latest_complete_quarter, period_rollup
-from tradeledger.operators.tables import decode_codes, tiered_rate, union_tagged
+from tradeledger.operators.periods import latest_complete_quarter, period_rollup
+from tradeledger.operators.tables import decode_codes, tiered_rate
 
 MEASURES = ["sales", "roy", "ntl", "loc"]
 
@@ -119,22 +119,26 @@ def member_monthly_sales(
 
 
 def member_period_sales(monthly: DataFrame, as_of: dt.date) -> DataFrame:
-    """Sales and fees per member for each closing frequency."""
-    keys = ["warehouse_id", "customer_id", "group_id"]
+    """Sales and fees per member for each closing frequency.
+
+    Every monthly row is marked with the periods it belongs to, so one aggregation gives them all.
+    ``monthly`` is also read for its latest complete quarter: pass a materialised stage.
+    """
     last, before = month_start(as_of, 1), month_start(as_of, 2)
+    quarter = latest_complete_quarter(monthly).scalar()
 
     def in_month(day: dt.date) -> Column:
         return (F.col("year") == day.year) & (F.col("month") == day.month)
 
-    slices = {
-        "Annual": monthly.filter(F.col("year") == as_of.year - 1),
-        "Quarter": keep_latest_complete_quarter(monthly),
-        "Bi-Monthly": monthly.filter(in_month(last) | in_month(before)),
-        "Monthly": monthly.filter(in_month(last)),
+    periods = {
+        "Annual": F.col("year") == as_of.year - 1,
+        "Quarter": F.struct("year", "quarter") == quarter,
+        "Bi-Monthly": in_month(last) | in_month(before),
+        "Monthly": in_month(last),
     }
-    return union_tagged(
-        {name: period_rollup(rows, keys, [], MEASURES) for name, rows in slices.items()}, "frequency"
-    )
+    names = F.array_compact(F.array(*[F.when(test, name) for name, test in periods.items()]))
+    marked = monthly.withColumn("frequency", F.explode(names))
+    return period_rollup(marked, ["warehouse_id", "customer_id", "group_id"], ["frequency"], MEASURES)
 
 
 def group_rates(groups: DataFrame, overrides: dict[str, float] | None = None) -> DataFrame:

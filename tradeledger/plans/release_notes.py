@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradeledger.sources.write import materialise_stage
+
 LINE = ["product_name", "release_name", "release_version", "part_number", "release_notes", "product_notes"]
 
 
@@ -45,5 +47,5 @@ def noted_lines(annotated: DataFrame) -> DataFrame:
 
 def release_note_crosscheck(uploads: DataFrame, releases: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
     """Result tables per file: lines with notes, all annotated lines, the uploads themselves."""
-    annotated = annotated_uploads(uploads, releases, products)
+    annotated = materialise_stage(annotated_uploads(uploads, releases, products), "table")
     return {"lines_with_notes": noted_lines(annotated), "annotated": annotated, "uploads": uploads}

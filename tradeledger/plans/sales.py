@@ -75,19 +75,12 @@ def order_coupons(lines: DataFrame, orders: DataFrame, items: DataFrame, promo_c
     )
 
 
-def sales_with_coupons(
-    lines: DataFrame,
-    orders: DataFrame,
-    items: DataFrame,
-    relations: DataFrame,
-    category: str,
-    promo_category: str,
-    since: str,
-) -> DataFrame:
-    """Sales lines with the order's promo amounts split evenly over its lines."""
-    sales = sales_lines(lines, orders, items, relations, category, since)
-    coupons = order_coupons(lines, orders, items, promo_category)
-    return allocate_evenly(sales, coupons, "so_number", ["coupon_quant", "coupon_amount"], ["coupon_code"])
+def sales_with_coupons(sold: DataFrame, coupons: DataFrame) -> DataFrame:
+    """Sales lines with the order's promo amounts split evenly over its lines.
+
+    ``sold`` is read twice (lines and their count per order): pass a materialised stage.
+    """
+    return allocate_evenly(sold, coupons, "so_number", ["coupon_quant", "coupon_amount"], ["coupon_code"])
 
 
 def adjustment_chains(relations: DataFrame, max_rounds: int = 10) -> DataFrame:
@@ -130,8 +123,8 @@ def sales_rollout(
 ) -> DataFrame:
     """Final sales dated back to the first order of their chain, with credits, returns and whole coupons.
 
-    ``sales`` are all sales lines (they give the first dates), ``final_sales`` those left after the
-    clean-up, ``calendar`` has day, fiscal_week and fiscal_month.
+    ``sales`` are all sales lines (they give the first dates), ``final_sales`` those with coupons left
+    after the clean-up, ``calendar`` has day, fiscal_week and fiscal_month.
     """
     chains, days = sold_chains(sales, resolved)
     first = chain_first_date(chains, days)
@@ -143,11 +136,11 @@ def sales_rollout(
     weeks = calendar.select(
         F.col("day").alias("first_sale"), F.col("fiscal_week").alias("week_of_first_sale")
     )
-    out = (
-        final_sales.join(first.join(weeks, "first_sale", "left"), "so_number", "left")
+    partial = F.coalesce((1 - F.abs("coupon_quant") > 0) & F.col("coupon_code").isNotNull(), F.lit(False))
+    whole = reassign_to_representative(final_sales, "so_number", LINE_KEY, "coupon_quant", partial)
+    return (
+        whole.join(first.join(weeks, "first_sale", "left"), "so_number", "left")
         .join(credits, "so_number", "left")
         .join(reasons, ["so_number", "item"], "left")
         .withColumn("sale_date", F.coalesce("first_sale", "sale_date"))
     )
-    partial = F.coalesce((1 - F.abs("coupon_quant") > 0) & F.col("coupon_code").isNotNull(), F.lit(False))
-    return reassign_to_representative(out, "so_number", LINE_KEY, "coupon_quant", partial)

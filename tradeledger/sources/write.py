@@ -56,6 +56,8 @@ def sink_incremental_append(
     (
         df.filter((F.col(utc_time) >= start) & (F.col(utc_time) < end))
         .withColumn("local_day", day)
+        # Few files per day, and large days split over several tasks.
+        .hint("rebalance", F.col("local_day"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("local_day")
@@ -67,7 +69,7 @@ def sink_incremental_append(
 def sink_multi_report(reports: dict[str, DataFrame], path: str, file_column: str = "source_file") -> DataFrame:
     """Several result tables per input file, in ``report=/<file>=`` folders."""
     for name, df in reports.items():
-        df.write.mode("overwrite").partitionBy(file_column).parquet(f"{path}/report={name}")
+        df.hint("rebalance", F.col(file_column)).write.mode("overwrite").partitionBy(file_column).parquet(f"{path}/report={name}")
     spark = df.sparkSession
     return spark.read.option("basePath", path).option("mergeSchema", "true").parquet(
         *[f"{path}/report={name}" for name in reports]
