@@ -236,7 +236,7 @@ def agg_period_rollup(t: Inputs):
     """SELECT customer_id, year, quarter, month, sales::DOUBLE AS sales FROM {monthly} JOIN {latest_quarter} USING (year, quarter)""",
 )
 def agg_complete_period_only(t: Inputs):
-    kept = periods.keep_latest_complete_quarter(materialise_stage(monthly(t), "table"))
+    kept = periods.keep_latest_complete_quarter(materialise_stage(monthly(t)))
     return kept.select("customer_id", "year", "quarter", "month", "sales")
 
 

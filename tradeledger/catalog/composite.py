@@ -58,7 +58,7 @@ STAGES["sales_rolled"] = """
 
 def sold_lines(t: Inputs):
     sold = sales.sales_lines(t.order_line, t.order_header, t.items, t.relations, CATEGORY, SINCE)
-    return materialise_stage(sold, "table")
+    return materialise_stage(sold)
 
 
 def with_coupons(t: Inputs, sold):
@@ -150,11 +150,12 @@ def inventory(t: Inputs):
 
 
 def matched(t: Inputs):
-    return opportunity.lookup_sale_match(rolled_sales(t), opportunity.distinct_lookups(t.lookups, t.items, CATEGORY))
+    asked = opportunity.distinct_lookups(t.lookups, t.items, CATEGORY)
+    return opportunity.lookup_sale_match(materialise_stage(rolled_sales(t)), materialise_stage(asked))
 
 
 def opportunities(t: Inputs, stock):
-    stocked = materialise_stage(opportunity.with_stock(matched(t), stock, t.calendar), "table")
+    stocked = materialise_stage(opportunity.with_stock(matched(t), stock, t.calendar))
     return opportunity.in_stock_opportunity(stocked, HOUSE_CUSTOMERS, HOUSE_PREFIX)
 
 
@@ -210,7 +211,7 @@ def dashboard_rows(t: Inputs):
            JOIN {calendar} k ON k.day = v.inventory_date GROUP BY ALL) GROUP BY fiscal_week) USING (fiscal_week)""",
 )
 def dashboard_kpis(t: Inputs):
-    stock = materialise_stage(inventory(t), "table")
+    stock = materialise_stage(inventory(t))
     return opportunity.dashboard_kpis(dashboard(t, stock), stock, t.unit_cost, t.calendar, rebate_pct=2.0)
 
 
@@ -237,7 +238,7 @@ STAGES["rates"] = """
 
 
 def rates(t: Inputs):
-    periods = rebates.member_period_sales(materialise_stage(monthly(t), "table"), AS_OF)
+    periods = rebates.member_period_sales(materialise_stage(monthly(t)), AS_OF)
     return rebates.rebate_rates(t.members, t.buying_groups, t.customer_view, periods, {"NATION_4": 2.0})
 
 
@@ -255,7 +256,7 @@ def member_monthly_sales(t: Inputs):
     f"SELECT frequency, {KEYS}, sales::DOUBLE AS sales, roy::DOUBLE AS roy, ntl::DOUBLE AS ntl, loc::DOUBLE AS loc FROM {{period_sales}}",
 )
 def member_period_sales(t: Inputs):
-    return rebates.member_period_sales(materialise_stage(monthly(t), "table"), AS_OF)
+    return rebates.member_period_sales(materialise_stage(monthly(t)), AS_OF)
 
 
 @query(

@@ -148,8 +148,8 @@ VIEWS: dict[str, str | tuple[str, str]] = {
         FROM {nation}""",
     "geocodes": """
         SELECT c_custkey AS customer_id, c_nationkey AS geocode_status_id,
-          CAST(30 AS DOUBLE) + CAST(c_nationkey AS DOUBLE) / 2 + c_acctbal / CAST(100000 AS DOUBLE) AS latitude,
-          CAST(-100 AS DOUBLE) + CAST(c_nationkey AS DOUBLE) - c_acctbal / CAST(80000 AS DOUBLE) AS longitude
+          CAST(30 AS DOUBLE) + CAST(c_nationkey AS DOUBLE) / 2 + c_acctbal / CAST(100003 AS DOUBLE) AS latitude,
+          CAST(-100 AS DOUBLE) + CAST(c_nationkey AS DOUBLE) - c_acctbal / CAST(80021 AS DOUBLE) AS longitude
         FROM {customer}""",
     "geocode_status": "SELECT n_nationkey AS geocode_status_id FROM {nation}",
     # --- audit logs

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeledger.catalog.inputs import Inputs, check_sql
+from tradeledger.session import apply_skew_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -33,7 +34,12 @@ def query(key: str, check: str | None = None, places: int = 6):
     def register(fn: Callable[[Inputs], DataFrame]):
         if key in QUERIES:
             raise ValueError(f"{key} is registered twice")
-        QUERIES[key] = lambda spark, folder: plain(fn(Inputs(spark, folder)), places)
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            apply_skew_settings(spark)
+            return plain(fn(Inputs(spark, folder)), places)
+
+        QUERIES[key] = run
         if check is not None:
             CHECKS[key] = check
         return fn

@@ -93,7 +93,7 @@ def append_ragged(t: Inputs):
 )
 def materialise_stage(t: Inputs):
     spent = t.orders.groupBy("o_custkey", "o_orderstatus").agg(F.sum(money("o_totalprice")).alias("spent"))
-    stage = write.materialise_stage(spent, "table")
+    stage = write.materialise_stage(spent)
     return stage.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"), F.max("spent").alias("largest"))
 
 
@@ -243,7 +243,7 @@ RATE_SQL = """CASE
 )
 def tiered_rate(t: Inputs):
     rows = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
-    return ops.tiered_rate(rows, rebates.rate_tiers(t.spark), "c_nationkey", "c_acctbal", F.lit(5.0))
+    return ops.tiered_rate(rows, rebates.RATE_TIERS, "c_nationkey", "c_acctbal", F.lit(5.0))
 
 
 @query(
@@ -600,7 +600,7 @@ def join_full_by_union(t: Inputs):
         rows = t.events.filter(F.col("event_type") == kind)
         return rows.select("user_id", F.to_date("ts").alias("day")).distinct().withColumn(flag, F.lit(True))
 
-    both = ops.full_join_coalesced(visits("view", "viewed"), visits("purchase", "bought"), ["user_id", "day"])
+    both = ops.full_join_split(visits("view", "viewed"), visits("purchase", "bought"), ["user_id", "day"])
     return both.fillna(False, ["viewed", "bought"])
 
 

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tradeledger.operators.ordered import first_per_key
 
 
+TIER_SCHEMA = "group_id int, low double, high double, above double, below double, pct double"
+
+
 def update_where(df: DataFrame, condition: Column, **values: Column) -> DataFrame:
     """Set columns where the condition holds."""
     return df.withColumns({c: F.when(condition, v).otherwise(F.col(c)) for c, v in values.items()})
@@ -48,15 +51,16 @@ def decode_codes(code: Column, labels: dict, default: Column | None = None) -> C
 
 
 def tiered_rate(
-    df: DataFrame, tiers: DataFrame, group: str, amount: str, default: Column, name: str = "rate"
+    df: DataFrame, tiers: Sequence[tuple], group: str, amount: str, default: Column, name: str = "rate"
 ) -> DataFrame:
     """Rate by group and amount band, else the default.
 
-    ``tiers``: group, low, high (both inclusive), above (exclusive), below (exclusive), pct;
-    NULL bounds are open and bands of one group must not overlap. It is a literal list, which
-    bounds its size for the broadcast.
+    ``tiers``: (group, low, high, above, below, percent); low and high are inclusive, above and
+    below exclusive, None is open. Bands of one group must not overlap. The list is literal, so
+    broadcasting it is safe.
     """
-    t, value = tiers.alias("t"), F.col(f"d.{amount}")
+    t = df.sparkSession.createDataFrame(list(tiers), TIER_SCHEMA).alias("t")
+    value = F.col(f"d.{amount}")
     inside = F.col(f"d.{group}") == F.col("t.group_id")
     for bound, test in (
         ("low", value >= F.col("t.low")),
@@ -107,6 +111,19 @@ def existence_flag(
     return df.join(keys, list(on), "left").withColumn(name, flag).drop("_hit")
 
 
-def full_join_coalesced(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Matched, left-only and right-only rows in one full join; keys come from either side."""
-    return left.join(right, list(on), "full")
+def full_join_split(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Matched, left-only and right-only rows; the keys come from either side.
+
+    ``right`` has one row per key, ``left`` may have very many. A full join cannot split a hot key,
+    a left join can; the right-only rows come from an anti join to the distinct keys of ``left``.
+    """
+    matched = left.join(right, list(on), "left")
+    unmatched = right.join(left.select(*on).distinct(), list(on), "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
+def left_join_hot_right(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join of one row per key to many: an inner join, whose hot keys can be split, and the rest."""
+    matched = left.join(right, list(on))
+    unmatched = left.join(right.select(*on).distinct(), list(on), "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)

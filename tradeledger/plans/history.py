@@ -26,7 +26,7 @@ from tradeledger.operators.intervals import (
     lead_intervals,
 )
 from tradeledger.operators.ordered import HOT_ROWS, carry, first_per_key, hot_keys
-from tradeledger.operators.tables import decode_codes, existence_flag, union_tagged
+from tradeledger.operators.tables import decode_codes, existence_flag, left_join_hot_right, union_tagged
 from tradeledger.sources.write import materialise_stage
 
 TZ = "America/Los_Angeles"
@@ -36,7 +36,10 @@ STATUS_LABELS = {"0": "Pending", "1": "Approved", "2": "Rejected", "3": "Expired
 
 
 def deal_schedules(audits: DataFrame, tz: str = TZ, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Deal schedule valid from each audit row on, with unchanged fields filled from earlier rows."""
+    """Deal schedule valid from each audit row on, with unchanged fields filled from earlier rows.
+
+    ``own_start`` is the start date the row itself states on creation.
+    """
     parsed = audits.select(
         "deal_date_id",
         "deal_id",
@@ -48,6 +51,8 @@ def deal_schedules(audits: DataFrame, tz: str = TZ, hot_rows: int = HOT_ROWS) ->
         audit_new_value(F.col("changes"), "listing_type").alias("listing_type"),
         F.substring(audit_new_value(F.col("changes"), "dtstart"), 1, 10).alias("day_1_start"),
         audit_new_value(F.col("changes"), "rrule").alias("rule"),
+    ).withColumns(
+        {"own_start": F.when(F.col("action") == "create", F.col("day_1_start")), "own_rule": F.col("rule")}
     )
     fields = ["listing_id", "listing_type", "day_1_start", "rule"]
     return carry(
@@ -61,46 +66,73 @@ def deal_schedules(audits: DataFrame, tz: str = TZ, hot_rows: int = HOT_ROWS) ->
     )
 
 
+def on_listed_weekday(day: Column, weekdays: Column) -> Column:
+    """Whether the first two letters of the weekday are in the list."""
+    return F.contains(weekdays, F.lower(F.substring(F.date_format(day, "EEEE"), 1, 2)))
+
+
 def deal_days(
-    audits: DataFrame, as_of: dt.date, days: int = 30, tz: str = TZ, hot_rows: int = HOT_ROWS
+    audits: DataFrame,
+    as_of: dt.date,
+    days: int = 30,
+    tz: str = TZ,
+    literal: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Distinct (listing, day) with a deal in the ``days`` before ``as_of``.
 
-    Weekly rules apply on their weekdays, daily ones every day, others on the first day only.
+    Weekly rules apply on their weekdays, daily ones every day, others on the first day only; an
+    open end is ``as_of``. ``literal`` takes creation rows only, ends open rules one day after their
+    start, and gives a rule without matching weekday its first day.
     Ranges are clipped to the window before they are expanded, so a rule gives at most ``days`` rows.
     """
-    schedules = deal_schedules(audits, tz, hot_rows).filter(
-        (F.col("action") != "destroy") & F.col("day_1_start").isNotNull()
-    )
-    start = F.to_date(F.col("day_1_start"))
-    frequency = rrule_frequency(F.coalesce("rule", F.lit("")))
-    until = F.coalesce(rrule_until(F.col("rule")), F.lit(as_of))
-    until = F.when(F.col("frequency") == "One Day", F.col("first_day")).otherwise(until)
-    end = F.coalesce("ineffective_date", F.lit(as_of))
     window_start, window_end = F.lit(as_of - dt.timedelta(days=days)), F.lit(as_of - dt.timedelta(days=1))
+    schedules = deal_schedules(audits, tz, hot_rows)
+    stated, rule = ("own_start", "own_rule") if literal else ("day_1_start", "rule")
     planned = (
-        schedules.withColumn("frequency", frequency)
-        .withColumn("first_day", start)
-        .withColumn("weekdays", F.lower(rrule_days(F.col("rule"))))
+        schedules.filter((F.col("action") != "destroy") & F.col(stated).isNotNull())
+        .withColumn("frequency", rrule_frequency(F.coalesce(rule, F.lit(""))))
+        .withColumn("first_day", F.to_date(F.col(stated)))
+        .withColumn("weekdays", F.lower(rrule_days(F.col(rule))))
+        .withColumn("until", rrule_until(F.col(rule)))
     )
-    spread = expand_days(
-        planned,
-        F.greatest("first_day", "effective_date", window_start),
-        F.least(until, end, window_end),
-    )
-    weekday = F.lower(F.substring(F.date_format("active_date", "EEEE"), 1, 2))
-    on_day = (F.col("frequency") != "Weekly") | F.coalesce(
-        F.contains("weekdays", weekday), F.col("active_date") == F.col("first_day")
-    )
-    return spread.filter(on_day).select("listing_id", "listing_type", "active_date").distinct()
+    first = F.greatest("first_day", "effective_date")
+    ended = F.coalesce("ineffective_date", F.lit(as_of))
+    if literal:
+        last = F.least(F.coalesce("until", F.date_add("first_day", 1)), ended, window_end)
+        # Weekdays repeat, so the first seven days tell whether any day of the range matches.
+        week = F.when(first <= last, F.sequence(first, F.least(last, F.date_add(first, 6))))
+        matches = F.coalesce(F.exists(week, lambda d: on_listed_weekday(d, F.col("weekdays"))), F.lit(False))
+        marked = planned.withColumn("_matches", matches)
+        matched = expand_days(marked.filter("_matches"), F.greatest(first, window_start), last)
+        matched = matched.filter(on_listed_weekday(F.col("active_date"), F.col("weekdays")))
+        alone = marked.filter(~F.col("_matches")).withColumn("active_date", F.col("first_day"))
+        alone = alone.filter(F.col("active_date").between(window_start, window_end))
+        found = matched.unionByName(alone)
+    else:
+        until = F.when(F.col("frequency") == "One Day", F.col("first_day")).otherwise(
+            F.coalesce("until", F.lit(as_of))
+        )
+        spread = expand_days(planned, F.greatest(first, window_start), F.least(until, ended, window_end))
+        on_day = (F.col("frequency") != "Weekly") | F.coalesce(
+            on_listed_weekday(F.col("active_date"), F.col("weekdays")),
+            F.col("active_date") == F.col("first_day"),
+        )
+        found = spread.filter(on_day)
+    return found.select("listing_id", "listing_type", "active_date").distinct()
 
 
 def deal_active_days(
-    audits: DataFrame, as_of: dt.date, days: int = 30, tz: str = TZ, hot_rows: int = HOT_ROWS
+    audits: DataFrame,
+    as_of: dt.date,
+    days: int = 30,
+    tz: str = TZ,
+    literal: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Active deal days per listing in the ``days`` before ``as_of``."""
     return (
-        deal_days(audits, as_of, days, tz, hot_rows)
+        deal_days(audits, as_of, days, tz, literal, hot_rows)
         .groupBy("listing_id", "listing_type")
         .agg(F.count(F.lit(1)).alias("deals_active_past"))
     )
@@ -137,7 +169,7 @@ def owner_changes(
         # Raw values may differ while the names agree: the repeated rows of the source.
         .distinct()
     )
-    return created.join(named, "top_level_id", "left")
+    return left_join_hot_right(created, named, ["top_level_id"])
 
 
 def owner_intervals(changes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -196,7 +228,7 @@ def retailer_status_history(
         audits.filter(F.col("auditable_type") == "VerifiedRetailer")
         .select(F.col("auditable_id").alias("vr_id"), "audit_id", F.col("created_at").alias("audited_at"), value.alias("audited_status"))
     )
-    joined = chosen.join(rows, "vr_id", "left")
+    joined = left_join_hot_right(chosen, rows, ["vr_id"])
     ended = carry(
         joined,
         ["vr_id"],
@@ -310,8 +342,8 @@ def menu_override_history(
         wmid(audit_new_value(F.col("changes"), "menu_override_id")).alias("new_override"),
     )
     known = stores.select("core_id", "core_type").distinct()
-    joined = known.join(rows, ["core_id", "core_type"], "left")
     store = ["core_id", "core_type"]
+    joined = left_join_hot_right(known, rows, store)
     return lead_intervals(joined, store, "update_date", ["audit_id"], "end_date", hot_keys(touched, store, hot_rows))
 
 
@@ -328,7 +360,7 @@ def sales_at_retailer_status(
     Retailers have one row per listing and brand, so the status intervals of a listing do not overlap.
     The sales are kept as a table before each lookup: their hot keys are counted on it.
     """
-    sales = materialise_stage(sales, "table")
+    sales = materialise_stage(sales)
     store = ["core_id", "core_type"]
     changed = overrides.filter(F.col("update_date").isNotNull())
     flagged = existence_flag(sales, changed, store, "has_audit")
@@ -363,8 +395,7 @@ def sales_at_retailer_status(
         .join(by_wmid, "current_override", "left")
         .withColumn("listing_id", F.coalesce("override_id", "core_id"))
         .withColumn("listing_type", F.coalesce("override_type", "core_type"))
-        .drop("first_override"),
-        "table",
+        .drop("first_override")
     )
     listing = ["listing_id", "listing_type"]
     return join_asof(

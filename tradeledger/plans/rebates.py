@@ -56,12 +56,6 @@ RATE_TIERS = [
     (18, 3000.0, 3499.99, None, None, 3.0),
     (18, None, None, 3499.99, None, 3.5),
 ]
-TIER_SCHEMA = "group_id int, low double, high double, above double, below double, pct double"
-
-
-def rate_tiers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATE_TIERS, TIER_SCHEMA)
-
 
 def order_fees(charges: DataFrame) -> DataFrame:
     """Fee columns per order from coded charges."""
@@ -176,8 +170,7 @@ def rebate_rates(
         )
         .withColumns({m: F.coalesce(m, F.lit(0)) for m in MEASURES})
     )
-    tiers = rate_tiers(members.sparkSession)
-    return tiered_rate(bases, tiers, "group_id", "sales", F.col("rebate_pct"), "new_rebate_pct")
+    return tiered_rate(bases, RATE_TIERS, "group_id", "sales", F.col("rebate_pct"), "new_rebate_pct")
 
 
 def closed_periods(spark: SparkSession, as_of: dt.date) -> DataFrame:

@@ -47,5 +47,5 @@ def noted_lines(annotated: DataFrame) -> DataFrame:
 
 def release_note_crosscheck(uploads: DataFrame, releases: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
     """Result tables per file: lines with notes, all annotated lines, the uploads themselves."""
-    annotated = materialise_stage(annotated_uploads(uploads, releases, products), "table")
+    annotated = materialise_stage(annotated_uploads(uploads, releases, products))
     return {"lines_with_notes": noted_lines(annotated), "annotated": annotated, "uploads": uploads}

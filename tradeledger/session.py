@@ -15,14 +15,11 @@ def build_session(app: str = "tradeledger", master: str | None = None, **conf: s
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.ui.enabled", "false")
     )
     if master:
         builder = builder.master(master)
-    for key, value in conf.items():
+    for key, value in (SKEW_SETTINGS | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -48,8 +45,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of any executor."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
+    """Write the rows to the shared folder and read them back.
+
+    They survive the loss of any executor, and their size is known to the optimizer, which picks
+    join strategies by it.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Split oversized partitions of joins even where that costs one more shuffle.
+SKEW_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def apply_skew_settings(spark: SparkSession) -> None:
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)

@@ -9,23 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeledger.functions.dates import local_day_bounds
-from tradeledger.session import cut_lineage, scratch_path
+from tradeledger.session import cut_lineage
 
 
-def materialise_stage(df: DataFrame, how: str = "persist") -> DataFrame:
+def materialise_stage(df: DataFrame, how: str = "table") -> DataFrame:
     """Keep a result that is read more than once.
 
-    ``persist`` spills to disk and is recomputed when an executor is lost; ``checkpoint`` and
-    ``table`` write to the shared folder and cut the lineage.
+    ``table`` writes it to the shared folder: it survives lost executors and takes no memory.
+    ``persist`` keeps it in memory and on local disks and is recomputed where an executor is lost;
+    the caller unpersists it.
     """
+    if how == "table":
+        return cut_lineage(df)
     if how == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    if how == "checkpoint":
-        return cut_lineage(df)
-    if how == "table":
-        path = scratch_path(df.sparkSession, "stage")
-        df.write.parquet(path)
-        return df.sparkSession.read.parquet(path)
     raise ValueError(f"unknown kind of stage: {how}")
 
 
