@@ -13,21 +13,21 @@ def json_path_text(json: Column, key: str) -> Column:
     return F.get_json_object(json, f"$.{key}")
 
 
-def audit_new_value(json: Column, key: str) -> Column:
-    """New value of a field: second element of ``[old, new]``, or the plain value of a create row.
+def _element(pair: Column, index: int) -> Column:
+    """Element of a JSON array as text; a JSON null is NULL."""
+    return null_if_blank(F.get(F.from_json(pair, "array<string>"), F.lit(index)))
+
 
-    A change to null is NULL too; ask ``audit_has_field`` whether the field was touched.
-    """
-    whole = F.get_json_object(json, f"$.{key}")
-    return F.when(
-        whole.startswith("["), null_if_blank(F.get_json_object(json, f"$.{key}[1]"))
-    ).otherwise(null_if_blank(whole))
+def audit_new_value(json: Column, key: str) -> Column:
+    """New value of a field: second element of ``[old, new]``, or the plain value of a create row."""
+    whole = json_path_text(json, key)
+    return F.when(whole.startswith("["), _element(whole, 1)).otherwise(null_if_blank(whole))
 
 
 def audit_old_value(json: Column, key: str) -> Column:
     """First element of ``[old, new]``; NULL on create rows."""
-    whole = F.get_json_object(json, f"$.{key}")
-    return F.when(whole.startswith("["), null_if_blank(F.get_json_object(json, f"$.{key}[0]")))
+    whole = json_path_text(json, key)
+    return F.when(whole.startswith("["), _element(whole, 0))
 
 
 def rrule_frequency(rule: Column) -> Column:

@@ -29,7 +29,7 @@ def shared_root(spark: SparkSession) -> str:
 
     Only a local master may fall back to a folder of this machine.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
