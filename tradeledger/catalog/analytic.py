@@ -534,7 +534,7 @@ def histogram_density(t: Inputs):
     return stats.histogram_density(prices.stocked_prices(t.price_rows, LOW, HIGH), "sale_price")
 
 
-OLS = """SELECT n, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(r2, 6) AS r_squared,
+OLS = """SELECT n::BIGINT AS n, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(r2, 6) AS r_squared,
   round(s, 6) AS residual_error, round(s / sqrt(sxx), 6) AS slope_error, round(s * sqrt(1 / n + mx * mx / sxx), 6) AS intercept_error,
   round(slope / (s / sqrt(sxx)), 6) AS slope_t, round(intercept / (s * sqrt(1 / n + mx * mx / sxx)), 6) AS intercept_t,
   round(1 - (1 - r2) * (n - 1) / (n - 2), 6) AS adjusted_r_squared, round(pow(slope / (s / sqrt(sxx)), 2), 6) AS f_statistic

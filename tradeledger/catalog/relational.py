@@ -849,7 +849,7 @@ def text_count_char(t: Inputs):
 
 @query(
     "text_extract_after_key",
-    """SELECT event_id, substring(event_type, 1, 30) AS kind, NULL AS absent FROM {events}""",
+    """SELECT event_id, substring(event_type, 1, 30) AS kind, CAST(NULL AS VARCHAR) AS absent FROM {events}""",
 )
 def text_extract_after_key(t: Inputs):
     joined = F.concat(F.lit("user_id:"), F.col("user_id").cast("string"), F.lit(",kind:"), "event_type", F.lit(",last:1"))
@@ -1019,7 +1019,7 @@ def iso_tail_timestamp(t: Inputs):
 @query(
     "math_basic",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(abs(-l_quantity * 1.5), 2) AS scaled,
-         round(l_extendedprice * 100 / (l_extendedprice + 50), 6) AS pct, sign(l_discount - 0.05) AS direction FROM {lineitem}""",
+         round(l_extendedprice * 100 / (l_extendedprice + 50), 6) AS pct, sign(l_discount - 0.05)::INT AS direction FROM {lineitem}""",
 )
 def math_basic(t: Inputs):
     price = F.col("l_extendedprice")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,17 +43,23 @@ def batches_of_days(batches: DataFrame, first: dt.date, end: dt.date, tz: str) -
 
 
 def impression_flatten(
-    batches: DataFrame, location: str | None = "Home", tz: str = "America/Los_Angeles", platform: str = "Web"
+    batches: DataFrame,
+    location: str | None = "Home",
+    tz: str = "America/Los_Angeles",
+    platform: str = "Web",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per impression; which ids are kept depends on the section.
 
+    ``keep`` names further batch columns to carry along.
+
     The array is parsed as JSON, so its size, field order and nested values do not matter.
     A missing key gives NULL.
     """
     chosen = batches if location is None else batches.filter(F.col("location") == location)
-    one = (
-        chosen.select("anonymous_id", "location", "region_name", F.from_json("events", IMPRESSION_TYPE).alias("_all"))
-        .select("anonymous_id", "location", "region_name", F.posexplode("_all").alias("impression_index", "_one"))
+    shared = [*keep, "anonymous_id", "location", "region_name"]
+    one = chosen.select(*shared, F.from_json("events", IMPRESSION_TYPE).alias("_all")).select(
+        *shared, F.posexplode("_all").alias("impression_index", "_one")
     )
     section = F.col("_one.section_name")
     listed = section.isin(LISTING_SECTIONS)
@@ -63,6 +70,7 @@ def impression_flatten(
     # Zone marks are cut off: the text is UTC and the result zone-free.
     shown_at = F.regexp_replace(F.regexp_replace("_one.timestamp", "T", " "), "Z$", "").try_cast("timestamp_ntz")
     return one.select(
+        *keep,
         local_time(shown_at, tz).alias("impression_time"),
         F.lit(platform).alias("platform"),
         "anonymous_id",
