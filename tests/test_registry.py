@@ -25,6 +25,8 @@ def duck():
 @pytest.mark.parametrize("key", KEYS)
 def test_query_equals_check(spark, duck, key):
     frame = queries()[key](spark, SMALL)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"NestedLoop|Cartesian|PythonUDF|MapInPandas|FlatMapGroups|ArrowEval", plan)
     got = [tuple(r) for r in frame.collect()]
     result = duck.execute(oracle_sql()[key])
     names = [c[0] for c in result.description]

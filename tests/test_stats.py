@@ -95,6 +95,27 @@ def test_regression_summary(spark):
     assert got["residual_error"] == pytest.approx(np.sqrt(s2))
 
 
+def test_coefficient_table(spark):
+    # Values of a small published-style example, worked by hand: y = 1 + 2x with residuals -.1, .2, -.1.
+    df = spark.createDataFrame([(0.0, 0.9), (1.0, 3.2), (2.0, 4.9), (None, 1.0)], "x double, y double")
+    got = {r["term"]: r for r in stats.ols_terms(df, "y", "x").collect()}
+    summary = stats.ols_simple(df, "y", "x").first()
+    for term in ("slope", "intercept"):
+        assert got[term]["estimate"] == pytest.approx(summary[term])
+        assert got[term]["error"] == pytest.approx(summary[f"{term}_error"])
+        assert got[term]["t_value"] == pytest.approx(summary[f"{term}_t"])
+    # With one degree of freedom t is Cauchy distributed.
+    t = got["slope"]["t_value"]
+    assert got["slope"]["p_value"] == pytest.approx(1 - 2 / np.pi * np.arctan(abs(t)))
+
+
+def test_counted_values_give_the_same_density(prices):
+    counted = prices.groupBy("style", "price").agg(F.count(F.lit(1)).alias("n"))
+    one = rows(stats.kernel_density(prices, "price", ["style"]), "style", "grid_index", "density")
+    two = rows(stats.kernel_density(counted, "price", ["style"], weight="n"), "style", "grid_index", "density")
+    assert [r[2] for r in one] == pytest.approx([r[2] for r in two])
+
+
 def test_zscore_leaves_nulls_out(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (None,)], "x double")
     assert [r[1] for r in rows(stats.zscore(df, "x", "z"), "x", "z")] == [None, -1.0, 0.0, 1.0]

@@ -59,14 +59,15 @@ def adjusted_orders(
     relations: DataFrame, resolved: DataFrame, keep_unresolved: bool = False
 ) -> DataFrame:
     """Orders to drop: admin orders (either side), adjustment credits, all links but the last."""
-    admin = relations.filter(F.col("relation_type") == ADMIN)
-    credit = relations.filter(F.col("relation_type") == ADJUSTMENT_CREDIT)
+    kind = F.col("relation_type")
+    dropped = F.array_compact(
+        F.array(
+            F.when(kind == ADMIN, F.col("source")),
+            F.when(kind.isin(ADMIN, ADJUSTMENT_CREDIT), F.col("target")),
+        )
+    )
     links = resolved.filter(F.col("final_target").isNotNull()) if keep_unresolved else resolved
-    parts = [admin.select("source"), admin.select("target"), credit.select("target"), links.select("source")]
-    out = parts[0].toDF("so_number")
-    for part in parts[1:]:
-        out = out.union(part)
-    return out
+    return relations.select(F.explode(dropped).alias("so_number")).union(links.select("source"))
 
 
 def remove_adjusted_orders(

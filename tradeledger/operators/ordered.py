@@ -19,7 +19,8 @@ from tradeledger.session import cut_lineage
 # (100,000 keys for 2e11 rows), which is the size bound for broadcasting it.
 HOT_ROWS = 2_000_000
 
-_SLICE = "_slice"
+# Columns the operators add for themselves start with two underscores.
+_SLICE = "__slice"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -73,18 +74,20 @@ def carry(
         return df.withColumns(new)
 
     sliced = _with_slices(df, keys, hot, day_slice(order_by[0]) if slice_of is None else slice_of)
-    window = Window.partitionBy(*keys, _SLICE).orderBy(*order)
+    # One struct as key: NULL keys equal each other, and the join below keeps the windows' partitioning.
+    sliced = sliced.withColumn("__key", F.struct(*keys))
+    window = Window.partitionBy("__key", _SLICE).orderBy(*order)
     before = window.rowsBetween(Window.unboundedPreceding, upper)
     place = F.struct(*order_by)
     next_of = F.struct(F.lit(True).alias("_row"), *[F.col(s).alias(n) for n, s in following.items()])
     inside = sliced.withColumns(
         {
-            "_next": F.lead(next_of).over(window),
-            "_known": F.struct(
+            "__next": F.lead(next_of).over(window),
+            "__known": F.struct(
                 F.lit(True).alias("_row"),
                 *[F.last(s, ignorenulls=True).over(before).alias(n) for n, s in known.items()],
             ),
-            "_place": F.row_number().over(window),
+            "__place": F.row_number().over(window),
         }
     )
     # One row per hot key and slice, then moved on along the slices of the key.
@@ -93,44 +96,41 @@ def carry(
     ]
     edges = (
         sliced.filter(F.col(_SLICE).isNotNull())
-        .groupBy(*keys, _SLICE)
+        .groupBy("__key", _SLICE)
         .agg(
-            F.min_by(next_of, place).alias("_first"),
-            F.struct(F.lit(True).alias("_row"), *last_in_slice).alias("_last"),
-            F.count(F.lit(1)).alias("_rows"),
+            F.min_by(next_of, place).alias("__first"),
+            F.struct(F.lit(True).alias("_row"), *last_in_slice).alias("__last"),
+            F.count(F.lit(1)).alias("__rows"),
         )
     )
-    along = Window.partitionBy(*keys).orderBy(_SLICE)
+    along = Window.partitionBy("__key").orderBy(_SLICE)
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(
-        *keys,
+        "__key",
         _SLICE,
-        F.lead("_first").over(along).alias("_after"),
+        F.lead("__first").over(along).alias("__after"),
         F.struct(
             F.lit(True).alias("_row"),
-            *[F.last(F.col("_last")[n], ignorenulls=True).over(earlier).alias(n) for n in known],
-        ).alias("_before"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
+            *[F.last(F.col("__last")[n], ignorenulls=True).over(earlier).alias(n) for n in known],
+        ).alias("__before"),
+        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__offset"),
     )
-    left, right = inside.alias("l"), carried.alias("r")
-    match = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    match.append(F.col(f"l.{_SLICE}") == F.col(f"r.{_SLICE}"))
-    both = left.join(right, match, "left").select("l.*", "_after", "_before", "_offset")
-    new = {n: F.coalesce("_next", "_after")[n] for n in following}
-    new |= {n: F.coalesce(F.col("_known")[n], F.col("_before")[n]) for n in known}
+    both = inside.join(carried, ["__key", _SLICE], "left")
+    new = {n: F.coalesce("__next", "__after")[n] for n in following}
+    new |= {n: F.coalesce(F.col("__known")[n], F.col("__before")[n]) for n in known}
     if index:
-        new[index] = (F.col("_place") + F.coalesce("_offset", F.lit(0))).cast("bigint")
-    return both.withColumns(new).drop("_next", "_known", "_place", "_after", "_before", "_offset", _SLICE)
+        new[index] = (F.col("__place") + F.coalesce("__offset", F.lit(0))).cast("bigint")
+    return both.withColumns(new).drop("__next", "__known", "__place", "__after", "__before", "__offset", "__key", _SLICE)
 
 
 def _with_slices(df: DataFrame, keys: Sequence[str], hot: DataFrame, slice_of: Column) -> DataFrame:
     """Add the slice column: NULL for ordinary keys, ``slice_of`` for hot ones."""
-    few = hot.select(*keys, F.lit(True).alias("_hot")).alias("hot")
+    few = hot.select(*keys, F.lit(True).alias("__hot")).alias("hot")
     match = [F.col(f"rows.{k}").eqNullSafe(F.col(f"hot.{k}")) for k in keys]
     # See HOT_ROWS for the bound of the broadcast list. NULL order values come first.
     return df.alias("rows").join(F.broadcast(few), match, "left").select(
         "rows.*",
-        F.when(F.col("hot._hot"), F.coalesce(slice_of.cast("bigint"), F.lit(-(2**62)))).alias(_SLICE),
+        F.when(F.col("hot.__hot"), F.coalesce(slice_of.cast("bigint"), F.lit(-(2**62)))).alias(_SLICE),
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +32,12 @@ def zscore(df: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def kernel_density(
-    df: DataFrame, value: str, by: Sequence[str], points: int = 512, bins: int = 512
+    df: DataFrame,
+    value: str,
+    by: Sequence[str],
+    points: int = 512,
+    bins: int = 512,
+    weight: str | None = None,
 ) -> DataFrame:
     """Gaussian kernel density per group on an even grid.
 
@@ -38,10 +45,12 @@ def kernel_density(
     Equal values are counted first and the counts kept, so the input is read once. They are then
     put in even bins, each value split linearly between its two neighbours, and each bin (at most
     ``bins`` per group, whatever the data size) adds to the grid points.
+    ``weight`` says how many rows a row stands for, if values were counted before.
     Output: ``by``, grid_index, grid, density.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
-    counted = cut_lineage(rows.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_n")))
+    number = F.lit(1) if weight is None else F.col(weight)
+    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"), number.alias("_n"))
+    counted = cut_lineage(rows.groupBy(*by, "_x").agg(F.sum("_n").alias("_n")))
     places = counted_positions(counted, "_x", by)
     spread = exact_quantiles(places, "_x", {"_q1": 0.25, "_q3": 0.75}, by)
     extent = counted.groupBy(*by).agg(
@@ -224,6 +233,20 @@ def ols_simple(df: DataFrame, y: str, x: str) -> DataFrame:
     )
 
 
+def ols_terms(df: DataFrame, y: str, x: str) -> DataFrame:
+    """Coefficient table: term, estimate, error, t value and p value."""
+    rows = df.select(F.col(y).cast("double").alias("y"), F.col(x).cast("double").alias("x")).dropna()
+    fitted = LinearRegression(labelCol="y", solver="normal", standardization=False).fit(
+        VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    )
+    found = fitted.summary
+    estimates = [float(fitted.coefficients[0]), float(fitted.intercept)]
+    columns = (estimates, found.coefficientStandardErrors, found.tValues, found.pValues)
+    terms = [(name, *map(float, values)) for name, *values in zip(["slope", "intercept"], *columns)]
+    schema = "term string, estimate double, error double, t_value double, p_value double"
+    return df.sparkSession.createDataFrame(terms, schema)
+
+
 def bootstrap_means(
     sample: DataFrame, key: str, value: str, groups: int = 1000, per_group: int = 100, seed: str = "0"
 ) -> DataFrame:

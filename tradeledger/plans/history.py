@@ -25,7 +25,7 @@ from tradeledger.operators.intervals import (
     latest_per_period,
     lead_intervals,
 )
-from tradeledger.operators.ordered import HOT_ROWS, carry, first_per_key, hot_keys
+from tradeledger.operators.ordered import HOT_ROWS, carry, hot_keys
 from tradeledger.operators.tables import decode_codes, existence_flag, left_join_hot_right, union_tagged
 from tradeledger.sources.write import materialise_stage
 
@@ -174,22 +174,26 @@ def owner_changes(
 
 def owner_intervals(changes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Owner intervals: from creation to the first change, then from change to change."""
-    moved = changes.filter(F.col("changed_at").isNotNull())
-    later = carry(
-        moved,
+    placed = carry(
+        changes,
         ["top_level_id"],
         ["changed_at", "old_owner", "new_owner"],
-        following={"end_date": "changed_at"},
+        following={"_next": "changed_at"},
+        index="_place",
         hot=hot,
-    ).select("top_level_id", F.col("changed_at").alias("start_date"), "end_date", F.col("new_owner").alias("owner"))
-    order = [F.col(c).asc_nulls_last() for c in ("changed_at", "old_owner", "new_owner")]
-    first = first_per_key(changes, ["top_level_id"], order).select(
-        "top_level_id",
-        F.col("account_created").alias("start_date"),
-        F.col("changed_at").alias("end_date"),
-        F.col("old_owner").alias("owner"),
     )
-    return first.unionByName(later)
+
+    def span(condition: Column, start: str, end: str, owner: str) -> Column:
+        parts = (F.col(c).alias(n) for c, n in ((start, "start_date"), (end, "end_date"), (owner, "owner")))
+        return F.when(condition, F.struct(*parts))
+
+    spans = F.array_compact(
+        F.array(
+            span(F.col("_place") == 1, "account_created", "changed_at", "old_owner"),
+            span(F.col("changed_at").isNotNull(), "changed_at", "_next", "new_owner"),
+        )
+    )
+    return placed.select("top_level_id", F.explode(spans).alias("_span")).select("top_level_id", "_span.*")
 
 
 def account_owner_history(
@@ -362,7 +366,7 @@ def sales_at_retailer_status(
     """
     sales = materialise_stage(sales)
     store = ["core_id", "core_type"]
-    changed = overrides.filter(F.col("update_date").isNotNull())
+    changed = materialise_stage(overrides.filter(F.col("update_date").isNotNull()))
     flagged = existence_flag(sales, changed, store, "has_audit")
     valid = join_asof(
         flagged,

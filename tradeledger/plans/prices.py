@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tradeledger.operators.ordered import rolling_rows
 from tradeledger.operators.stats import kernel_density, ols_simple, zscore
-from tradeledger.operators.tables import union_tagged
 from tradeledger.session import cut_lineage
 
 
@@ -18,36 +17,43 @@ def ratio(part: Column, whole: Column) -> Column:
     return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
 
 
-def price_summary(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Lookups, sales, conversion and average price, over all rows or per group.
-
-    ``price_sum`` adds prices, ``revenue`` adds price x quantity; each has its own average.
-    """
-    grouped = rows.groupBy(*by).agg(
+def summary_measures() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("lookups"),
         F.count("sales_qty").alias("transactions"),
         F.coalesce(F.sum("sales_qty"), F.lit(0)).alias("total_qty"),
         F.coalesce(F.sum("sale_price"), F.lit(0)).alias("price_sum"),
         F.coalesce(F.sum(F.col("sale_price") * F.col("sales_qty")), F.lit(0)).alias("revenue"),
-    )
-    return grouped.withColumns(
-        {
-            "conversion": ratio(F.col("transactions"), F.col("lookups")),
-            "avg_price": ratio(F.col("price_sum"), F.col("total_qty")),
-            "avg_sell_price": ratio(F.col("revenue"), F.col("total_qty")),
-        }
-    )
+    ]
+
+
+def summary_ratios() -> dict[str, Column]:
+    return {
+        "conversion": ratio(F.col("transactions"), F.col("lookups")),
+        "avg_price": ratio(F.col("price_sum"), F.col("total_qty")),
+        "avg_sell_price": ratio(F.col("revenue"), F.col("total_qty")),
+    }
+
+
+def price_summary(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Lookups, sales, conversion and average price, over all rows or per group.
+
+    ``price_sum`` adds prices, ``revenue`` adds price x quantity; each has its own average.
+    """
+    return rows.groupBy(*by).agg(*summary_measures()).withColumns(summary_ratios())
 
 
 def price_summaries(rows: DataFrame) -> DataFrame:
-    """Overall, per pricing plan and per style, stacked."""
-    return union_tagged(
-        {
-            "overall": price_summary(rows).withColumn("group", F.lit("all")),
-            "plan": price_summary(rows, ["pricing_plan"]).withColumnRenamed("pricing_plan", "group"),
-            "style": price_summary(rows, ["style"]).withColumnRenamed("style", "group"),
-        },
-        "level",
+    """Overall, per pricing plan and per style, from one scan."""
+    sets = [[], ["pricing_plan"], ["style"]]
+    # The grouping bits: 1 for a column that is not grouped by.
+    level = F.when(F.col("_set") == 3, "overall").when(F.col("_set") == 1, "plan").otherwise("style")
+    group = F.when(F.col("_set") == 3, "all").when(F.col("_set") == 1, F.col("pricing_plan")).otherwise(F.col("style"))
+    return (
+        rows.groupingSets(sets, "pricing_plan", "style")
+        .agg(F.grouping_id().alias("_set"), *summary_measures())
+        .withColumns({"level": level, "group": group, **summary_ratios()})
+        .drop("_set", "pricing_plan", "style")
     )
 
 
@@ -83,12 +89,10 @@ def price_density_by_style(
     rows: DataFrame, styles: Sequence[str], low: float = 50, high: float = 400, points: int = 512
 ) -> DataFrame:
     """Price density of each listed style and of all styles together."""
-    kept = stocked_prices(rows, low, high)
-    labels = F.array(F.lit("all"), F.when(F.col("style").isin(list(styles)), F.col("style")))
-    labelled = kept.select(
-        F.explode(F.filter(labels, lambda s: s.isNotNull())).alias("style"), "sale_price"
-    )
-    return kernel_density(labelled, "sale_price", ["style"], points)
+    counted = stocked_prices(rows, low, high).groupBy("style", "sale_price").agg(F.count(F.lit(1)).alias("n"))
+    labels = F.array_compact(F.array(F.lit("all"), F.when(F.col("style").isin(list(styles)), F.col("style"))))
+    labelled = counted.select(F.explode(labels).alias("style"), "sale_price", "n")
+    return kernel_density(labelled, "sale_price", ["style"], points, weight="n")
 
 
 def customer_conversion(rows: DataFrame) -> DataFrame:
