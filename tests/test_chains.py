@@ -18,7 +18,7 @@ def resolve(spark, edges, **kw):
 
 
 def loop_model(edges, rounds=10):
-    """The loop of the reference on one smallest target per source: hop 1 in the first round, the end one round later."""
+    """Round by round on one smallest target per source: hop 1 in the first round, the end one round later."""
     step = {}
     for s, t in edges:
         step[s] = min(t, step.get(s, t))

@@ -108,7 +108,10 @@ def test_rolling_needs_full_windows_and_counts_rows_not_days(spark, count, left)
     assert len(got) == left and all(r[2] == 30 for r in got)
 
 
-def test_positions_and_order_statistics(spark):
+@pytest.mark.parametrize("hot_rows", [10**9, 0])
+def test_positions_and_order_statistics(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(ordered.counted_positions, "__defaults__", ((), hot_rows, 64))
+    monkeypatch.setattr(ordered.value_positions, "__defaults__", ((), hot_rows))
     rng = np.random.default_rng(1)
     # One value is a third of all rows.
     values = np.concatenate([np.full(700, 5.0), np.round(rng.normal(10, 4, 1400), 1)])

@@ -448,13 +448,18 @@ def allocate_evenly(t: Inputs):
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_discount < 0.05 THEN
          CASE WHEN n = 1 THEN CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END ELSE 0 END
          ELSE CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END END::DOUBLE AS quantity
-       FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_discount < 0.05 ORDER BY l_linenumber, l_partkey, l_suppkey) AS n FROM {lineitem})""",
+       FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_discount < 0.05 ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity,
+         l_extendedprice) AS n FROM {lineitem})""",
 )
 def reassign_to_representative(t: Inputs):
     lines = t.lineitem.withColumn("quantity", F.col("l_quantity"))
     signed = update_where(lines, F.col("l_returnflag") == "R", quantity=-F.col("quantity"))
     return allocate.reassign_to_representative(
-        signed, "l_orderkey", LINE[1:], "quantity", F.col("l_discount") < 0.05
+        signed,
+        "l_orderkey",
+        [*LINE[1:], "l_shipdate", "l_quantity", "l_extendedprice"],
+        "quantity",
+        F.col("l_discount") < 0.05,
     ).select(*LINE, "quantity")
 
 

@@ -26,7 +26,10 @@ def allocate_evenly(
 def reassign_to_representative(
     df: DataFrame, key: str, order_by: Sequence[str], value: str, eligible: Column
 ) -> DataFrame:
-    """Among eligible lines the first one gets the sign of the value, the rest get 0."""
+    """Among eligible lines the first one gets the sign of the value, the rest get 0.
+
+    ``order_by`` must tell the lines of a key apart: equal lines would all count as the first.
+    """
     if not order_by:
         raise ValueError("a total order is required")
     line = F.struct(*order_by)

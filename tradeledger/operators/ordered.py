@@ -163,25 +163,40 @@ def rolling_rows(
 
 
 def value_positions(
-    df: DataFrame, value: str, by: Sequence[str] = (), pieces: int = 64
+    df: DataFrame, value: str, by: Sequence[str] = (), hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Distinct values with the range of sorted positions each one covers.
 
     Output: ``by``, value, ``first_position`` (0-based), ``end_position`` (exclusive) and
     ``total``. Equal values are counted before the shuffle and the counts are kept, so the input is
-    read once. The running sum is split at approximate quantiles of the distinct values, so no task
-    sorts a whole group.
+    read once.
     """
     counted = cut_lineage(
         df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     )
-    return counted_positions(counted, value, by, pieces)
+    return counted_positions(counted, value, by, hot_rows)
 
 
 def counted_positions(
-    counted: DataFrame, value: str, by: Sequence[str] = (), pieces: int = 64
+    counted: DataFrame, value: str, by: Sequence[str] = (), hot_rows: int = HOT_ROWS, pieces: int = 64
 ) -> DataFrame:
-    """``value_positions`` of (by, value, _n) rows."""
+    """``value_positions`` of materialised (by, value, _n) rows.
+
+    A plain running sum, unless a group has more than ``hot_rows`` distinct values: then the sum is
+    split at approximate quantiles, so no task sorts a whole group.
+    """
+    sizes = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("_values"))
+    if sizes.filter(F.col("_values") > hot_rows).isEmpty():
+        group = Window.partitionBy(*by)
+        running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        end = F.sum("_n").over(running)
+        return counted.select(
+            *by,
+            value,
+            (end - F.col("_n")).alias("first_position"),
+            end.alias("end_position"),
+            F.sum("_n").over(group).alias("total"),
+        )
     quantiles = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
     sketch = F.percentile_approx(value, quantiles, F.lit(pieces * 16)).alias("_cuts")
     if by:

@@ -104,8 +104,11 @@ def kernel_density(
     grid = F.col("_lo") + step * F.col("grid_index")
     kernel = F.exp(-0.5 * F.pow((grid - centre) / F.col("_bw"), F.lit(2)))
     scale = F.col("_total") * F.col("_bw") * math.sqrt(2 * math.pi)
+    # The few bins turn into many rows: a stated partition count keeps them on all cores.
+    cores = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         weights.join(shape, list(by))
+        .repartition(cores, *by, "_bin")
         .withColumn("grid_index", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
         .groupBy(*by, "grid_index")
         .agg(F.first(grid).alias("grid"), F.sum(F.col("_w") * kernel / scale).alias("density"))

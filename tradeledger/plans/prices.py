@@ -12,6 +12,10 @@ from tradeledger.operators.stats import kernel_density, ols_simple, zscore
 from tradeledger.session import cut_lineage
 
 
+# Styles with a density of their own, and the price range looked at.
+STYLES, LOW, HIGH = ("G", "Y", "S"), 50, 400
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """Division in double; NULL on zero."""
     return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
@@ -79,14 +83,18 @@ def rolling_average_price(rows: DataFrame, size: int = 30) -> DataFrame:
     )
 
 
-def stocked_prices(rows: DataFrame, low: float = 50, high: float = 400) -> DataFrame:
+def stocked_prices(rows: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
     """In-stock sale prices strictly between two bounds."""
     price = F.col("sale_price")
     return rows.filter((price > low) & (price < high) & (F.col("in_stock") == 1)).select("style", "sale_price")
 
 
 def price_density_by_style(
-    rows: DataFrame, styles: Sequence[str], low: float = 50, high: float = 400, points: int = 512
+    rows: DataFrame,
+    styles: Sequence[str] = STYLES,
+    low: float = LOW,
+    high: float = HIGH,
+    points: int = 512,
 ) -> DataFrame:
     """Price density of each listed style and of all styles together."""
     counted = stocked_prices(rows, low, high).groupBy("style", "sale_price").agg(F.count(F.lit(1)).alias("n"))

@@ -21,6 +21,9 @@ FEE_CODES = {
     "loc": [111],
 }
 
+# Base rates that replace the stored ones, by group name.
+RATE_OVERRIDES = {"aasp_ma": 2.0}
+
 # Closing frequency of each group; other groups get no rebate.
 GROUP_FREQUENCY = {
     22: "Quarter",
@@ -135,7 +138,7 @@ def member_period_sales(monthly: DataFrame, as_of: dt.date) -> DataFrame:
     return period_rollup(marked, ["warehouse_id", "customer_id", "group_id"], ["frequency"], MEASURES)
 
 
-def group_rates(groups: DataFrame, overrides: dict[str, float] | None = None) -> DataFrame:
+def group_rates(groups: DataFrame, overrides: dict[str, float] = RATE_OVERRIDES) -> DataFrame:
     """Group with closing frequency and base rate; overrides are by group name."""
     pct = F.col("rebate_pct").cast("double")
     if overrides:
@@ -153,7 +156,7 @@ def rebate_rates(
     groups: DataFrame,
     customers: DataFrame,
     period_sales: DataFrame,
-    overrides: dict[str, float] | None = None,
+    overrides: dict[str, float] = RATE_OVERRIDES,
 ) -> DataFrame:
     """Per active member of a rebate group: bases of its closing period and the rate they earn."""
     rates = group_rates(groups, overrides).filter(F.col("frequency").isNotNull())

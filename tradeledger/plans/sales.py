@@ -16,6 +16,9 @@ from tradeledger.operators.chains import (
     resolve_chain,
 )
 
+# The category looked at, the one of coupons, and the start of the history.
+CATEGORY, PROMO_CATEGORY, SINCE = "cat_conv", "Promo", "2015-01-01"
+
 # One sales row per order and these columns: the line key used wherever a total order is needed.
 LINE_KEY = ["item", "car_id", "jobber_price", "item_cost", "sale_price"]
 
@@ -27,7 +30,12 @@ def category_lines(lines: DataFrame, orders: DataFrame, items: DataFrame, catego
 
 
 def sales_lines(
-    lines: DataFrame, orders: DataFrame, items: DataFrame, relations: DataFrame, category: str, since: str
+    lines: DataFrame,
+    orders: DataFrame,
+    items: DataFrame,
+    relations: DataFrame,
+    category: str = CATEGORY,
+    since: str = SINCE,
 ) -> DataFrame:
     """Sales per order and line key; was_admin / was_adjust tell whether the order has such a relation."""
     recent = orders.filter(F.col("ordered_at") >= ntz(since))
@@ -60,7 +68,9 @@ def sales_lines(
     return sold.join(flags, "so_number", "left").fillna(0, ["was_admin", "was_adjust"])
 
 
-def order_coupons(lines: DataFrame, orders: DataFrame, items: DataFrame, promo_category: str) -> DataFrame:
+def order_coupons(
+    lines: DataFrame, orders: DataFrame, items: DataFrame, promo_category: str = PROMO_CATEGORY
+) -> DataFrame:
     """Promo lines per order: coupon code, quantity and amount.
 
     A positive amount belongs to a return, so its quantity is made negative.
