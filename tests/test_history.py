@@ -105,6 +105,15 @@ def test_account_without_history_has_one_row_per_month(spark):
     assert owners(spark, [at(5, month=3, year=2017)], []) == [("03", None), ("04", None)]
 
 
+def test_account_without_top_level_is_kept(spark):
+    accounts = spark.createDataFrame([("x", at(1, year=2017))], "account_id string, created_at timestamp_ntz")
+    tops = spark.createDataFrame([], "account_id string, top_level_id string")
+    log = spark.createDataFrame([], "account_id string, field string, changed_at timestamp_ntz, old_value string, new_value string")
+    users = spark.createDataFrame([], "user_id string, user_name string")
+    got = history.account_owner_history(accounts, tops, log, users, D(2017, 3, 2))
+    assert [(r[0], r[1].month) for r in rows(got, "top_level_id", "month_start")] == [(None, 1), (None, 2)]
+
+
 STATUS = "vr_id int, status int, brand_id int, listing_id int, listing_type string, created_at timestamp_ntz"
 
 

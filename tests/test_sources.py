@@ -135,6 +135,12 @@ def test_sections_decide_which_ids_are_kept(spark):
     assert times[0] == dt.datetime(2020, 7, 1, 0, 0, 0, 123000) and times[4] is None
 
 
+def test_the_time_may_have_another_name(spark):
+    text = json.dumps([{"section_name": "Doctors", "shown_at": "2020-01-01T08:00:00.000Z", "position": 1}])
+    got = impressions.impression_flatten(batch(spark, text), time_field="shown_at")
+    assert got.first()["impression_time"] == dt.datetime(2020, 1, 1)
+
+
 def test_other_locations_and_days_are_left_out(spark):
     text = json.dumps([shown(1)])
     assert impressions.impression_flatten(batch(spark, text, location="Search")).count() == 0

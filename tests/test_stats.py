@@ -136,6 +136,14 @@ def test_bootstrap_repeats_for_one_seed_whatever_the_partitions(spark):
     assert first[0] < mean < first[1]
 
 
+def test_bootstrap_draws_a_hundred_thousand_by_default(spark):
+    df = spark.createDataFrame([(i, float(i)) for i in range(100)], "id int, v double")
+    means = stats.bootstrap_means(df, "id", "v")
+    assert means.count() == 1000
+    values = sorted(r["mean"] for r in means.collect())
+    assert tuple(stats.bootstrap_ci(df, "id", "v").first()) == (values[50], values[950])
+
+
 def test_bootstrap_draws_and_end_points(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(10)], "id int, v double")
     means = stats.bootstrap_means(df, "id", "v", groups=50, per_group=20)

@@ -42,15 +42,15 @@ def agg_sum_product(t: Inputs):
 
 @query(
     "agg_snapshot_sum",
-    """SELECT p_brand, CAST(l_shipdate AS DATE) + 1 AS inventory_date, CAST(sum(CAST(l_quantity AS INT)) AS BIGINT) AS on_hand
-       FROM {lineitem} JOIN {part} ON l_partkey = p_partkey WHERE l_linenumber = 3 AND l_quantity > 0 GROUP BY ALL""",
+    """SELECT cuc, effective_date + 1 AS inventory_date, CAST(sum(on_hand) AS BIGINT) AS on_hand
+       FROM {stock} JOIN {items} USING (item) WHERE warehouse_id = 30 AND on_hand > 0 GROUP BY ALL""",
 )
 def agg_snapshot_sum(t: Inputs):
-    stock = t.lineitem.filter("l_linenumber = 3 AND l_quantity > 0")
     return (
-        stock.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("p_brand", F.date_add(F.to_date("l_shipdate"), 1).alias("inventory_date"))
-        .agg(F.sum(F.col("l_quantity").cast("int")).alias("on_hand"))
+        t.stock.filter("warehouse_id = 30 AND on_hand > 0")
+        .join(t.items.select("item", "cuc"), "item")
+        .groupBy("cuc", F.date_add("effective_date", 1).alias("inventory_date"))
+        .agg(F.sum("on_hand").alias("on_hand"))
     )
 
 
@@ -343,15 +343,16 @@ def order_statistic(t: Inputs):
 
 @query(
     "join_range_calendar",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, day AS active_date FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-       JOIN {calendar} ON day BETWEEN CAST(o_orderdate AS DATE) AND least(CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE) + 4)""",
+    """SELECT day AS active_date, count(*) AS open_lines, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END)::BIGINT AS open_returns
+       FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+       JOIN {calendar} ON day BETWEEN CAST(o_orderdate AS DATE) AND CAST(l_shipdate AS DATE) GROUP BY day""",
 )
 def join_range_calendar(t: Inputs):
-    # Four days of handling at most; lines shipped before the order date have no day.
+    # Lines shipped before the order date have no day.
     lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    first = F.to_date("o_orderdate")
-    return intervals.expand_days(lines, first, F.least(F.to_date("l_shipdate"), F.date_add(first, 4))).select(
-        *LINE, "active_date"
+    days = intervals.expand_days(lines, F.to_date("o_orderdate"), F.to_date("l_shipdate"))
+    return days.groupBy("active_date").agg(
+        F.count(F.lit(1)).alias("open_lines"), F.sum((F.col("l_returnflag") == "R").cast("int")).alias("open_returns")
     )
 
 

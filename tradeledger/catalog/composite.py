@@ -384,7 +384,7 @@ def deal_active_days(t: Inputs):
 STAGES["changes"] = """
   SELECT DISTINCT a.top_level_id, a.created_at AS account_created, h.changed_at, coalesce(o.user_name, h.old_value) AS old_owner,
     coalesce(n.user_name, h.new_value) AS new_owner
-  FROM (SELECT top_level_id, min(created_at) AS created_at FROM {accounts} JOIN {top_levels} USING (account_id) GROUP BY ALL) a
+  FROM (SELECT top_level_id, min(created_at) AS created_at FROM {accounts} LEFT JOIN {top_levels} USING (account_id) GROUP BY ALL) a
   LEFT JOIN {account_history} h ON h.account_id = a.top_level_id AND h.field = 'Owner'
   LEFT JOIN {owners} o ON o.user_id = h.old_value LEFT JOIN {owners} n ON n.user_id = h.new_value"""
 STAGES["owner_spans"] = """

@@ -146,7 +146,7 @@ def owner_changes(
     Children of one account may be created on different days: the earliest counts.
     """
     created = (
-        accounts.join(top_levels, "account_id")
+        accounts.join(top_levels, "account_id", "left")
         .groupBy("top_level_id")
         .agg(F.min("created_at").alias("account_created"))
     )

@@ -31,9 +31,7 @@ IMPRESSION_FIELDS = [
     "brand_id",
     "product_id",
     "position",
-    "timestamp",
 ]
-IMPRESSION_TYPE = "array<struct<" + ",".join(f"{f}: string" for f in IMPRESSION_FIELDS) + ">>"
 
 
 def batches_of_days(batches: DataFrame, first: dt.date, end: dt.date, tz: str) -> DataFrame:
@@ -48,17 +46,19 @@ def impression_flatten(
     tz: str = "America/Los_Angeles",
     platform: str = "Web",
     keep: Sequence[str] = (),
+    time_field: str = "timestamp",
 ) -> DataFrame:
     """One row per impression; which ids are kept depends on the section.
 
-    ``keep`` names further batch columns to carry along.
+    ``keep`` names further batch columns to carry along, ``time_field`` the key of the ISO time.
 
     The array is parsed as JSON, so its size, field order and nested values do not matter.
     A missing key gives NULL.
     """
     chosen = batches if location is None else batches.filter(F.col("location") == location)
+    fields = ",".join(f"`{name}`: string" for name in [*IMPRESSION_FIELDS, time_field])
     shared = [*keep, "anonymous_id", "location", "region_name"]
-    one = chosen.select(*shared, F.from_json("events", IMPRESSION_TYPE).alias("_all")).select(
+    one = chosen.select(*shared, F.from_json("events", f"array<struct<{fields}>>").alias("_all")).select(
         *shared, F.posexplode("_all").alias("impression_index", "_one")
     )
     section = F.col("_one.section_name")
@@ -68,7 +68,7 @@ def impression_flatten(
         return F.when(condition, null_if_blank(F.col(f"_one.{field}")))
 
     # Zone marks are cut off: the text is UTC and the result zone-free.
-    shown_at = F.regexp_replace(F.regexp_replace("_one.timestamp", "T", " "), "Z$", "").try_cast("timestamp_ntz")
+    shown_at = F.regexp_replace(F.regexp_replace(F.col("_one")[time_field], "T", " "), "Z$", "").try_cast("timestamp_ntz")
     return one.select(
         *keep,
         local_time(shown_at, tz).alias("impression_time"),
