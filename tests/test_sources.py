@@ -63,6 +63,17 @@ def test_appending_a_day_twice_does_not_repeat_it(tmp_path, spark):
     assert [(i, d.day) for i, d in rows(back, "id", "local_day")] == [(1, 10), (2, 10), (3, 11)]
 
 
+def test_reports_per_file(tmp_path, spark):
+    one = spark.createDataFrame([("007", 1), ("b", 2)], "source_file string, x int")
+    two = spark.createDataFrame([("007", "n")], "source_file string, note string")
+    back = write.sink_multi_report({"all": one, "noted": two}, str(tmp_path / "reports"))
+    assert rows(back, "report", "source_file", "x", "note") == [
+        ("all", "007", 1, None),
+        ("all", "b", 2, None),
+        ("noted", "007", None, "n"),
+    ]
+
+
 def test_stages(spark):
     df = spark.range(5)
     assert write.materialise_stage(df).count() == 5

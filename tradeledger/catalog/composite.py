@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
-from tradeledger.catalog.analytic import CONVERSION, CURVE, FEES, HIGH, LOW, OLS, PERIODS_SQL, ROLLING, SUMMARY, curve, monthly, shown
+from tradeledger.catalog.analytic import (
+    CONVERSION,
+    CURVE,
+    OLS,
+    PERIODS_SQL,
+    ROLLING,
+    SUMMARY,
+    curve,
+    monthly,
+    shown,
+)
 from tradeledger.catalog.inputs import Inputs
 from tradeledger.catalog.registry import STAGES, query
 from tradeledger.catalog.relational import AS_OF, MILES_SQL, RATE_SQL, TZ
@@ -438,13 +446,17 @@ def status_history(t: Inputs):
     return history.retailer_status_history(t.retailers, t.status_audits, tz=TZ)
 
 
+def stores(t: Inputs):
+    return history.store_entities(t.dispensaries, t.deliveries)
+
+
 def brand_sales(t: Inputs):
     return history.brand_sales_base(
         t.market_orders,
         t.order_items,
         t.listings,
         t.buyers,
-        t.stores,
+        stores(t),
         t.regions,
         t.region_names,
         dt.date(1995, 6, 1),
@@ -465,7 +477,7 @@ def brand_sales_base(t: Inputs):
 
 @query("menu_override_history", "SELECT * FROM {override_spans}")
 def menu_override_history(t: Inputs):
-    return history.menu_override_history(t.stores, t.menu_audits, TZ)
+    return history.menu_override_history(stores(t), t.menu_audits, TZ)
 
 
 STAGES["known_overrides"] = "SELECT * FROM {override_spans} WHERE update_date IS NOT NULL"
@@ -489,8 +501,8 @@ STAGES["placed"] = """
          AND p.order_date >= v.start_date AND p.order_date < coalesce(v.end_date, TIMESTAMP '2999-01-01')""",
 )
 def sales_at_retailer_status(t: Inputs):
-    overrides = history.menu_override_history(t.stores, t.menu_audits, TZ)
-    return history.sales_at_retailer_status(brand_sales(t), overrides, status_history(t), t.stores)
+    overrides = history.menu_override_history(stores(t), t.menu_audits, TZ)
+    return history.sales_at_retailer_status(brand_sales(t), overrides, status_history(t), stores(t))
 
 
 # ---------------------------------------------------------------- impressions

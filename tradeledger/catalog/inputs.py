@@ -192,6 +192,8 @@ VIEWS: dict[str, str | tuple[str, str]] = {
           n_regionkey AS region_id,
           CASE WHEN c_acctbal < 1000 THEN 100000000 + CAST(floor(c_custkey / 2) AS BIGINT) END AS menu_override_id
         FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey""",
+    "dispensaries": "SELECT * EXCEPT (core_type) FROM {stores} WHERE core_type = 'Dispensary'",
+    "deliveries": "SELECT * EXCEPT (core_type) FROM {stores} WHERE core_type = 'Delivery'",
     "regions": "SELECT r_regionkey AS region_id, r_name AS region FROM {region}",
     "region_names": """
         SELECT lower(r_name) AS region_name,

@@ -38,7 +38,10 @@ def resolve_chain(edges: DataFrame, max_rounds: int = 10) -> DataFrame:
     # A chain that ends within reach has fewer hops than reach; a cycle always has exactly reach.
     done = F.col("hops") <= max_rounds - 1
     return state.select(
-        "source", "first_target", F.when(done, F.col("at")).alias("final_target"), F.when(done, F.col("hops")).alias("hops")
+        "source",
+        "first_target",
+        F.when(done, F.col("at")).alias("final_target"),
+        F.when(done, F.col("hops")).alias("hops"),
     )
 
 

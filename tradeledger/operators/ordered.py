@@ -120,7 +120,8 @@ def carry(
     new |= {n: F.coalesce(F.col("__known")[n], F.col("__before")[n]) for n in known}
     if index:
         new[index] = (F.col("__place") + F.coalesce("__offset", F.lit(0))).cast("bigint")
-    return both.withColumns(new).drop("__next", "__known", "__place", "__after", "__before", "__offset", "__key", _SLICE)
+    own = ["__next", "__known", "__place", "__after", "__before", "__offset", "__key", _SLICE]
+    return both.withColumns(new).drop(*own)
 
 
 def _with_slices(df: DataFrame, keys: Sequence[str], hot: DataFrame, slice_of: Column) -> DataFrame:

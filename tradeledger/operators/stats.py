@@ -68,9 +68,8 @@ def kernel_density(
     iqr = (F.col("_q3") - F.col("_q1")) / 1.34
     narrow = F.least("_sd", iqr)
     # Fallbacks when the spread is zero: sd, then the size of the values, then 1.
-    width = F.coalesce(
-        F.nullif(narrow, F.lit(0.0)), F.nullif(F.col("_sd"), F.lit(0.0)), F.nullif(F.abs("_min"), F.lit(0.0)), F.lit(1.0)
-    )
+    spreads = (narrow, F.col("_sd"), F.abs("_min"))
+    width = F.coalesce(*[F.nullif(s, F.lit(0.0)) for s in spreads], F.lit(1.0))
     shape = (
         moments.join(spread, list(by))
         .withColumn("_bw", 0.9 * width * F.pow("_total", F.lit(-0.2)))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tradeledger.functions.audit import (
     audit_new_value,
     audit_old_value,
-    json_path_text,
     rrule_days,
     rrule_frequency,
     rrule_until,
@@ -228,9 +227,11 @@ def retailer_status_history(
     """Status intervals per retailer, decoded; retailers without audit keep their current status."""
     chosen = retailers if brand_ids is None else retailers.filter(F.col("brand_id").isin(list(brand_ids)))
     value = audit_new_value(F.col("changes"), "status")
-    rows = (
-        audits.filter(F.col("auditable_type") == "VerifiedRetailer")
-        .select(F.col("auditable_id").alias("vr_id"), "audit_id", F.col("created_at").alias("audited_at"), value.alias("audited_status"))
+    rows = audits.filter(F.col("auditable_type") == "VerifiedRetailer").select(
+        F.col("auditable_id").alias("vr_id"),
+        "audit_id",
+        F.col("created_at").alias("audited_at"),
+        value.alias("audited_status"),
     )
     joined = left_join_hot_right(chosen, rows, ["vr_id"])
     ended = carry(
@@ -391,7 +392,9 @@ def sales_at_retailer_status(
         F.when(F.col("update_date").isNull(), F.col("first_override")).otherwise(F.col("new_override")),
     ).otherwise(F.col("menu_override_id"))
     by_wmid = stores.select(
-        F.col("wmid").alias("current_override"), F.col("core_id").alias("override_id"), F.col("core_type").alias("override_type")
+        F.col("wmid").alias("current_override"),
+        F.col("core_id").alias("override_id"),
+        F.col("core_type").alias("override_type"),
     )
     placed = materialise_stage(
         valid.join(first, store, "left")

@@ -68,7 +68,8 @@ def impression_flatten(
         return F.when(condition, null_if_blank(F.col(f"_one.{field}")))
 
     # Zone marks are cut off: the text is UTC and the result zone-free.
-    shown_at = F.regexp_replace(F.regexp_replace(F.col("_one")[time_field], "T", " "), "Z$", "").try_cast("timestamp_ntz")
+    iso = F.regexp_replace(F.regexp_replace(F.col("_one")[time_field], "T", " "), "Z$", "")
+    shown_at = iso.try_cast("timestamp_ntz")
     return one.select(
         *keep,
         local_time(shown_at, tz).alias("impression_time"),

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeledger.functions.dates import local_day_bounds
 from tradeledger.session import cut_lineage
@@ -65,9 +66,12 @@ def sink_incremental_append(
 
 def sink_multi_report(reports: dict[str, DataFrame], path: str, file_column: str = "source_file") -> DataFrame:
     """Several result tables per input file, in ``report=/<file>=`` folders."""
+    fields = {}
     for name, df in reports.items():
-        df.hint("rebalance", F.col(file_column)).write.mode("overwrite").partitionBy(file_column).parquet(f"{path}/report={name}")
-    spark = df.sparkSession
-    return spark.read.option("basePath", path).option("mergeSchema", "true").parquet(
-        *[f"{path}/report={name}" for name in reports]
-    )
+        even = df.hint("rebalance", F.col(file_column))
+        even.write.mode("overwrite").partitionBy(file_column).parquet(f"{path}/report={name}")
+        fields |= {field.name: field for field in df.schema.fields}
+    # A stated schema keeps file names that look like numbers as text.
+    schema = T.StructType([*fields.values(), T.StructField("report", T.StringType())])
+    reader = df.sparkSession.read.schema(schema).option("basePath", path)
+    return reader.parquet(*[f"{path}/report={name}" for name in reports])
