@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -51,6 +52,13 @@ def test_cycles_and_self_loops_stay_unresolved(spark):
     assert {s: v[1] for s, v in got.items()} == loop_model(links) == {1: None, 2: None, 5: None, 7: None, 8: 9}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_random_graphs_follow_the_rounds(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randrange(150), rng.randrange(220)) for _ in range(160)]
+    assert {s: v[1] for s, v in resolve(spark, links).items()} == loop_model(links)
+
+
 def test_the_smallest_of_several_targets_wins(spark):
     assert resolve(spark, [(1, 9), (1, 4), (4, 6)])[1] == (4, 6, 2)
 

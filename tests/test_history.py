@@ -50,6 +50,10 @@ def test_weekly_rule_without_end(spark):
     assert days(spark, (at(2), "create", weekly)) == [7, 14, 21, 28]
     # Literally it lasts two days: Monday the 6th and Tuesday the 7th.
     assert days(spark, (at(2), "create", weekly), literal=True) == [7]
+    # Without a list it repeats on the weekday of the first day.
+    plain = CREATE | {"rrule": "FREQ=WEEKLY;UNTIL=20200121"}
+    assert days(spark, (at(2), "create", plain)) == [6, 13, 20]
+    assert days(spark, (at(2), "create", plain), literal=True) == [6]
     none = CREATE | {"rrule": "FREQ=WEEKLY;BYDAY=SA"}
     assert days(spark, (at(2), "create", none), literal=True) == [6]
 

@@ -123,6 +123,20 @@ def test_one_opportunity_per_visit(spark, matched):
     ]
 
 
+def test_vehicle_zero_is_an_ordinary_vehicle(spark):
+    sold = spark.createDataFrame([sale(1, 1, car=0), sale(2, 1, car=0), sale(3, 1, car=4)], SALE)
+    asked = spark.createDataFrame([(D(2016, 1, 1), 1, "bob", "A", 0, "x")], "day date, customer_id long, salesperson string, cuc string, car_id long, core_type string")
+    stock = spark.createDataFrame([("A", D(2016, 1, 1), 4)], "cuc string, inventory_date date, on_hand int")
+    calendar = spark.createDataFrame([(D(2016, 1, 1), 1, 1)], "day date, fiscal_week int, fiscal_month int")
+    stocked = opportunity.with_stock(opportunity.lookup_sale_match(sold, asked), stock, calendar)
+    got = opportunity.in_stock_opportunity(stocked)
+    assert rows(got, "so_number", "car_id", "is_lookup", "sales_opp", "opp_converted") == [
+        (1, 0, True, 1, 1),
+        (2, 0, True, 0, 0),
+        (3, 4, False, 1, 1),
+    ]
+
+
 def test_null_keys_are_ordinary_rows(spark):
     df = spark.createDataFrame([(None, "bob"), (1, None), (None, None), (9, None), (None, "ec2")], "customer_id int, salesperson string")
     assert [r[2] for r in rows(df.select("*", opportunity.is_house_row([9], "ec")))] == [False, False, True, False, True]

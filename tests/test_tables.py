@@ -99,6 +99,12 @@ def test_shares_add_up_to_the_promo_amount(spark, promos):
     assert [r[2] for r in got if r[0] == 2] == [0.0]
 
 
+def test_whole_numbers_are_divided_exactly(spark):
+    lines = spark.createDataFrame([(1, 1), (1, 2)], "so int, line int")
+    parents = spark.createDataFrame([(1, 7)], "so int, amount int")
+    assert [r[2] for r in rows(allocate.allocate_evenly(lines, parents, "so", ["amount"]))] == [3.5, 3.5]
+
+
 def test_one_line_gets_the_whole_coupon(spark):
     df = spark.createDataFrame([(1, 2, -0.5), (1, 1, -0.5), (2, 1, 0.25), (3, 1, 2.0), (4, 1, 0.0)], "so int, line int, q double")
     got = allocate.reassign_to_representative(df, "so", ["line"], "q", 1 - F.abs("q") > 0)

@@ -382,7 +382,7 @@ STAGES["schedules"] = f"""
          AND day <= CASE WHEN r NOT LIKE '%WEEKLY%' AND r NOT LIKE '%DAILY%' THEN start WHEN r LIKE '%UNTIL=%'
              THEN CAST(strptime(substring(r, position('UNTIL=' IN r) + 6, 8), '%Y%m%d') AS DATE) ELSE DATE '2024-01-31' END
          AND (r NOT LIKE '%WEEKLY%' OR CASE WHEN r LIKE '%BYDAY=%' THEN contains(lower(split_part(split_part(r, 'BYDAY=', 2), ';', 1)), lower(left(dayname(day), 2)))
-             ELSE day = start END)
+             ELSE dayofweek(day) = dayofweek(start) END)
        GROUP BY ALL""",
 )
 def deal_active_days(t: Inputs):

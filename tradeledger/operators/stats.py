@@ -104,7 +104,7 @@ def kernel_density(
     kernel = F.exp(-0.5 * F.pow((grid - centre) / F.col("_bw"), F.lit(2)))
     scale = F.col("_total") * F.col("_bw") * math.sqrt(2 * math.pi)
     # The few bins turn into many rows: a stated partition count keeps them on all cores.
-    cores = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return (
         weights.join(shape, list(by))
         .repartition(cores, *by, "_bin")

@@ -65,9 +65,13 @@ def deal_schedules(audits: DataFrame, tz: str = TZ, hot_rows: int = HOT_ROWS) ->
     )
 
 
+def weekday_code(day: Column) -> Column:
+    """First two letters of the weekday in lower case."""
+    return F.lower(F.substring(F.date_format(day, "EEEE"), 1, 2))
+
+
 def on_listed_weekday(day: Column, weekdays: Column) -> Column:
-    """Whether the first two letters of the weekday are in the list."""
-    return F.contains(weekdays, F.lower(F.substring(F.date_format(day, "EEEE"), 1, 2)))
+    return F.contains(weekdays, weekday_code(day))
 
 
 def deal_days(
@@ -80,8 +84,8 @@ def deal_days(
 ) -> DataFrame:
     """Distinct (listing, day) with a deal in the ``days`` before ``as_of``.
 
-    Weekly rules apply on their weekdays, daily ones every day, others on the first day only; an
-    open end is ``as_of``. ``literal`` takes creation rows only, ends open rules one day after their
+    Weekly rules apply on their weekdays (without a list, on that of the first day), daily ones every
+    day, others on the first day only; an open end is ``as_of``. ``literal`` takes creation rows only, ends open rules one day after their
     start, and gives a rule without matching weekday its first day.
     Ranges are clipped to the window before they are expanded, so a rule gives at most ``days`` rows.
     """
@@ -113,11 +117,8 @@ def deal_days(
             F.coalesce("until", F.lit(as_of))
         )
         spread = expand_days(planned, F.greatest(first, window_start), F.least(until, ended, window_end))
-        on_day = (F.col("frequency") != "Weekly") | F.coalesce(
-            on_listed_weekday(F.col("active_date"), F.col("weekdays")),
-            F.col("active_date") == F.col("first_day"),
-        )
-        found = spread.filter(on_day)
+        listed = F.coalesce("weekdays", weekday_code(F.col("first_day")))
+        found = spread.filter((F.col("frequency") != "Weekly") | on_listed_weekday(F.col("active_date"), listed))
     return found.select("listing_id", "listing_type", "active_date").distinct()
 
 
