@@ -13,21 +13,35 @@ def json_path_text(json: Column, key: str) -> Column:
     return F.get_json_object(json, f"$.{key}")
 
 
-def _element(pair: Column, index: int) -> Column:
-    """Element of a JSON array as text; a JSON null is NULL."""
-    return null_if_blank(F.get(F.from_json(pair, "array<string>"), F.lit(index)))
+def changed_fields(json: Column) -> Column:
+    """All changed fields as a map of texts, so that the JSON is parsed once for several fields."""
+    return F.from_json(json, "map<string,string>")
 
 
-def audit_new_value(json: Column, key: str) -> Column:
+def _element(fields: Column, key: str, index: int) -> tuple[Column, Column]:
+    """The field as text, and one element of it if it is an ``[old, new]`` array."""
+    whole = F.try_element_at(fields, F.lit(key))
+    return whole, null_if_blank(F.get(F.from_json(whole, "array<string>"), F.lit(index)))
+
+
+def new_value(fields: Column, key: str) -> Column:
     """New value of a field: second element of ``[old, new]``, or the plain value of a create row."""
-    whole = json_path_text(json, key)
-    return F.when(whole.startswith("["), _element(whole, 1)).otherwise(null_if_blank(whole))
+    whole, second = _element(fields, key, 1)
+    return F.when(whole.startswith("["), second).otherwise(null_if_blank(whole))
 
 
-def audit_old_value(json: Column, key: str) -> Column:
+def old_value(fields: Column, key: str) -> Column:
     """First element of ``[old, new]``; NULL on create rows."""
-    whole = json_path_text(json, key)
-    return F.when(whole.startswith("["), _element(whole, 0))
+    whole, first = _element(fields, key, 0)
+    return F.when(whole.startswith("["), first)
+
+
+def audit_new_value(json: Column, key: str) -> Column:
+    return new_value(changed_fields(json), key)
+
+
+def audit_old_value(json: Column, key: str) -> Column:
+    return old_value(changed_fields(json), key)
 
 
 def rrule_frequency(rule: Column) -> Column:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tradeledger.functions.audit import (
     audit_new_value,
-    audit_old_value,
+    changed_fields,
+    new_value,
+    old_value,
     rrule_days,
     rrule_frequency,
     rrule_until,
@@ -39,27 +41,28 @@ def deal_schedules(audits: DataFrame, tz: str = TZ, hot_rows: int = HOT_ROWS) ->
 
     ``own_start`` is the start date the row itself states on creation.
     """
-    parsed = audits.select(
+    fields = F.col("_fields")
+    parsed = audits.withColumn("_fields", changed_fields(F.col("changes"))).select(
         "deal_date_id",
         "deal_id",
         "created_at",
         "audit_id",
         local_date(F.col("created_at"), tz).alias("effective_date"),
         "action",
-        audit_new_value(F.col("changes"), "listing_id").alias("listing_id"),
-        audit_new_value(F.col("changes"), "listing_type").alias("listing_type"),
-        F.substring(audit_new_value(F.col("changes"), "dtstart"), 1, 10).alias("day_1_start"),
-        audit_new_value(F.col("changes"), "rrule").alias("rule"),
+        new_value(fields, "listing_id").alias("listing_id"),
+        new_value(fields, "listing_type").alias("listing_type"),
+        F.substring(new_value(fields, "dtstart"), 1, 10).alias("day_1_start"),
+        new_value(fields, "rrule").alias("rule"),
     ).withColumns(
         {"own_start": F.when(F.col("action") == "create", F.col("day_1_start")), "own_rule": F.col("rule")}
     )
-    fields = ["listing_id", "listing_type", "day_1_start", "rule"]
+    filled = ["listing_id", "listing_type", "day_1_start", "rule"]
     return carry(
         parsed,
         ["deal_date_id"],
         ["created_at", "audit_id"],
         following={"ineffective_date": "effective_date"},
-        known={c: c for c in fields},
+        known={c: c for c in filled},
         include_current=True,
         hot=hot_keys(audits, ["deal_date_id"], hot_rows),
     )
@@ -339,13 +342,14 @@ def menu_override_history(
     def wmid(value: Column) -> Column:
         return number_from_text(value, min_length)
 
-    rows = touched.select(
+    fields = F.col("_fields")
+    rows = touched.withColumn("_fields", changed_fields(F.col("changes"))).select(
         "core_id",
         "core_type",
         "audit_id",
         local_time(F.col("created_at"), tz).alias("update_date"),
-        wmid(audit_old_value(F.col("changes"), "menu_override_id")).alias("old_override"),
-        wmid(audit_new_value(F.col("changes"), "menu_override_id")).alias("new_override"),
+        wmid(old_value(fields, "menu_override_id")).alias("old_override"),
+        wmid(new_value(fields, "menu_override_id")).alias("new_override"),
     )
     known = stores.select("core_id", "core_type").distinct()
     store = ["core_id", "core_type"]
