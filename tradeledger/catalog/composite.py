@@ -203,12 +203,12 @@ def dashboard_rows(t: Inputs):
 
 @query(
     "dashboard_kpis",
-    """SELECT fiscal_week, quant::DOUBLE AS ext_quant, dollar::DOUBLE AS ext_dollar, round(dollar::DOUBLE / nullif(quant::DOUBLE, 0), 10) AS avg_unit_price,
-         (dollar - cost)::DOUBLE AS margin, round((dollar - cost)::DOUBLE / nullif(dollar::DOUBLE, 0), 10) AS margin_pct,
-         round((dollar::DOUBLE * 0.98 - cost::DOUBLE) / nullif(dollar::DOUBLE, 0), 10) AS margin_with_rebate_pct,
-         round(coupon_orders / nullif(orders, 0)::DOUBLE, 10) AS coupon_redemption_pct, round(-returned::DOUBLE / nullif(sold::DOUBLE, 0), 10) AS return_pct,
-         round(stock_opps / nullif(opps, 0)::DOUBLE, 10) AS in_stock_lookup_pct, round(orders / nullif(stock_opps, 0)::DOUBLE, 10) AS total_conversion,
-         round(converted / nullif(opps, 0)::DOUBLE, 10) AS application_conversion, round(model_opps / nullif(stock_opps, 0)::DOUBLE, 10) AS fill_rate,
+    """SELECT fiscal_week, quant::DOUBLE AS ext_quant, dollar::DOUBLE AS ext_dollar, round(dollar::DOUBLE / nullif(quant::DOUBLE, 0), 9) AS avg_unit_price,
+         (dollar - cost)::DOUBLE AS margin, round((dollar - cost)::DOUBLE / nullif(dollar::DOUBLE, 0), 9) AS margin_pct,
+         round((dollar::DOUBLE * 0.98 - cost::DOUBLE) / nullif(dollar::DOUBLE, 0), 9) AS margin_with_rebate_pct,
+         round(coupon_orders / nullif(orders, 0)::DOUBLE, 9) AS coupon_redemption_pct, round(-returned::DOUBLE / nullif(sold::DOUBLE, 0), 9) AS return_pct,
+         round(stock_opps / nullif(opps, 0)::DOUBLE, 9) AS in_stock_lookup_pct, round(orders / nullif(stock_opps, 0)::DOUBLE, 9) AS total_conversion,
+         round(converted / nullif(opps, 0)::DOUBLE, 9) AS application_conversion, round(model_opps / nullif(stock_opps, 0)::DOUBLE, 9) AS fill_rate,
          customers, value::DOUBLE AS inventory_value
        FROM (SELECT fiscal_week, sum(quant_sold) AS quant, sum(ext_sold) AS dollar, sum(ext_cost) AS cost, sum(positive_sales) AS sold,
                sum(negative_sales) AS returned, count(DISTINCT so_number) AS orders, count(DISTINCT CASE WHEN coupon_code IS NOT NULL THEN so_number END) AS coupon_orders,
@@ -217,7 +217,7 @@ def dashboard_rows(t: Inputs):
        LEFT JOIN (SELECT fiscal_week, max_by(value, day) AS value FROM (
            SELECT k.fiscal_week, v.inventory_date AS day, sum(v.on_hand * u.cost) AS value FROM {inventory} v JOIN {unit_cost} u USING (cuc)
            JOIN {calendar} k ON k.day = v.inventory_date GROUP BY ALL) GROUP BY fiscal_week) USING (fiscal_week)""",
-    places=10,
+    places=9,
 )
 def dashboard_kpis(t: Inputs):
     stock = materialise_stage(inventory(t))
