@@ -1,9 +1,10 @@
 """MinHash near-duplicates: banded minima, signature check, full check, connected components.
 
 Documents of equal shingle sets are one class; the work is on one row per class. Members of a bucket
-are compared with a pivot, not with each other. Buckets whose members then still lie in several
-components get further pivots, and at last all pairs of members of different components, so no link
-is lost however large a bucket is.
+are compared with its smallest one, not with each other. Where they then still lie in several
+components, those outside the bucket's main component are compared with all of it, block by block on
+full sets, so no link is lost however large a bucket is, and only links that join components are
+returned.
 """
 
 from __future__ import annotations
@@ -22,8 +23,11 @@ from tradeledger.session import cut_lineage
 
 BANDS, ROWS = 30, 5
 
-#: Members of a bucket per block when all its pairs of different components are formed.
-BLOCK = 500
+#: Shingles of a bucket's members that one task holds on either side when a bucket is compared.
+BLOCK = 1_000_000
+
+#: Cells of a table of members and shingles.
+CELLS = 16_000_000
 
 
 def shingles(text: bytes | None, n: int) -> np.ndarray:
@@ -148,59 +152,135 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(heads)
 
 
-def _all_pairs(members: DataFrame, block: int) -> DataFrame:
-    """Pairs of members of a bucket that lie in different components, a < b.
-
-    A bucket of more than ``block`` members is dealt out block by block.
+def _distinct_buckets(members: DataFrame) -> DataFrame:
+    """Members of one bucket of those that have equal members."""
+    alike = members.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.count(F.lit(1)).alias("n"))
+    return members.join(alike.groupBy("x", "n").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Sizes of all intersections as tables, with the first row and column of each."""
+    at = 0
+    while at < len(left):
+        end, size = at, 0
+        while end < len(left) and (end == at or size + len(left[end]) <= 100_000):
+            size += len(left[end])
+            end += 1
+        part = left[at:end]
+        terms = np.unique(np.concatenate(part))
+        rows = np.zeros((len(part), len(terms)), np.float32)
+        for row, found in zip(rows, part, strict=True):
+            row[np.searchsorted(terms, found)] = 1
+        step = max(1, CELLS // len(terms))
+        for first in range(0, len(right), step):
+            others = right[first : first + step]
+            table = np.zeros((len(others), len(terms)), np.float32)
+            for row, found in zip(table, others, strict=True):
+                places = np.searchsorted(terms, found)
+                places[places == len(terms)] = 0
+                row[places[terms[places] == found]] = 1
+            yield at, first, rows @ table.T
+        at = end
+
+
+def bucket_links(group: list[tuple], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that join components; rows (node, component, outside, set) of a bucket or a part of it."""
+    left, right = [r for r in group if r[2]], [r for r in group if not r[2]]
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    out = []
+    sizes = np.array([len(r[3]) for r in right])
+    if not left or not right:
+        return out
+    for at, first, common in _common([r[3] for r in left], [r[3] for r in right]):
+        own = np.array([len(r[3]) for r in left[at : at + len(common)]])
+        common = common.astype(np.int64)
+        union = own[:, None] + sizes[None, first : first + common.shape[1]] - common
+        for i, j in np.argwhere(den * common >= num * union).tolist():
+            a, b = left[at + i], right[first + j]
+            x, y = root(a[1]), root(b[1])
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((a[0], b[0]))
+    return out
+
+
+def compare_buckets(rest: DataFrame, texts: DataFrame, words: int, num: int, den: int, block: int) -> DataFrame:
+    """Links (a, b) between components that meet in a bucket; ``rest`` has key, node, component, n_shingles.
+
+    A bucket of more than ``block`` shingles is dealt out, every block of members outside its main
+    component with every block of all members.
     """
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    sized = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    left = sized.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("own").alias("x"),
-                        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"))
-    right = sized.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("own").alias("y"))
-    met = left.join(right, ["key", "y"]).where("a < b and ca <> cb")
-    return met.select("a", "b").distinct()
+    buckets = _distinct_buckets(rest)
+    parts = buckets.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+    top = parts.groupBy("key").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"),
+        F.ceil(F.sum("w") / block).cast("int").alias("blocks"),
+    )
+    sized = buckets.join(top, "key").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    outside = sized.where("component <> main").select(
+        "key", F.col("own").alias("x"), every.alias("y"), "node", "component", F.lit(True).alias("outside")
+    )
+    inside = sized.select("key", every.alias("x"), F.col("own").alias("y"), "node", "component", F.lit(False).alias("outside"))
+    held = outside.select("key", "x", "y").distinct()
+    rows = outside.unionByName(inside.join(held, ["key", "x", "y"], "left_semi")).join(texts, "node")
+    rows = rows.select("key", "x", "y", "node", "component", "outside", "text")
+    dealt = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(group):
+            found = bucket_links(group, num, den)
+            columns = list(zip(*found, strict=True)) if found else [[], []]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+        held, group, known = [], None, {}
+        for batch in batches:
+            columns = (batch.column(i).to_pylist() for i in range(6))
+            for key, x, y, node, component, outside, text in zip(*columns, texts_of(batch.column(6)), strict=True):
+                if (key, x, y) != group:
+                    if held:
+                        yield out(held)
+                    held, group, known = [], (key, x, y), {}
+                if node not in known:
+                    known[node] = shingles(text, words)
+                held.append((node, component, outside, known[node]))
+        if held:
+            yield out(held)
+
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def link(
-    docs: DataFrame, sketches: DataFrame, words: int, num: int, den: int, rounds: int = 2, block: int = BLOCK
+    docs: DataFrame, sketches: DataFrame, words: int, num: int, den: int, block: int = BLOCK
 ) -> DataFrame:
-    """(node, component) of linked classes; ``sketches`` has node, signature and bands per class.
+    """(node, component) of linked classes; ``sketches`` has node, n_shingles, signature and bands per class.
 
-    ``docs`` has node and text of one document of each class.
+    ``docs`` has node and text of the documents of each class.
     """
-    size = BANDS * ROWS
     share = num / den
-    least = max(0.0, share - 6 * math.sqrt(share * (1 - share) / size))
+    least = max(0.0, share - 6 * math.sqrt(share * (1 - share) / (BANDS * ROWS)))
     members = sketches.select("node", F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     members = cut_lineage(members.join(shared, "key"))
     nodes = members.select("node").distinct()
-    known = cut_lineage(sketches.select("node", "signature").join(nodes, "node", "left_semi"))
+    known = cut_lineage(sketches.select("node", "signature", "n_shingles").join(nodes, "node", "left_semi"))
     texts = docs.select("node", "text").join(nodes, "node", "left_semi")
     texts = cut_lineage(texts.withColumn("x", F.xxhash64("text")).dropDuplicates(["node", "x"]).drop("x"))
-    edges = None
-    found = nodes.select("node", F.col("node").alias("component"))
-    rest = members.withColumn("component", F.col("node"))
-    for turn in range(rounds + 1):
-        if turn < rounds:
-            # The first pivot is the smallest member, the next ones lie in a component of few.
-            order = F.struct("node") if turn == 0 else F.struct(F.xxhash64("component", F.lit(turn)), "node")
-            pivots = rest.groupBy("key").agg(F.min_by(F.struct("node", "component"), order).alias("p"))
-            met = rest.join(pivots, "key").where("p.component <> component")
-            pairs = met.select(F.least("p.node", "node").alias("a"), F.greatest("p.node", "node").alias("b")).distinct()
-        else:
-            pairs = _all_pairs(rest, block)
-        linked = confirmed(likely(pairs, known, least), texts, words, num, den)
-        edges = linked if edges is None else edges.union(linked)
-        edges = cut_lineage(edges)
-        found = components(edges)
-        rest = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        rest = cut_lineage(rest.join(split.select("key"), "key", "left_semi"))
-        if rest.isEmpty():
-            break
-    return found
+    smallest = members.groupBy("key").agg(F.min("node").alias("a"))
+    pairs = members.join(smallest, "key").where("a < node").select("a", F.col("node").alias("b")).distinct()
+    edges = cut_lineage(confirmed(likely(pairs, known, least), texts, words, num, den))
+    found = components(edges)
+    rest = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    split = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    rest = rest.join(split.select("key"), "key", "left_semi").join(known.select("node", "n_shingles"), "node")
+    more = cut_lineage(compare_buckets(cut_lineage(rest), texts, words, num, den, block))
+    return components(edges.union(more))
 
 
 def judged(docs: DataFrame, words: int, num: int, den: int, id_column: str) -> DataFrame:
@@ -211,7 +291,7 @@ def judged(docs: DataFrame, words: int, num: int, den: int, id_column: str) -> D
     # A class is worked on by the row of its smallest id; equal sets have equal sketches.
     classes = stage.where(F.col("set_id").isNotNull() & F.col("id").isNotNull()).groupBy("set_id")
     sketches = cut_lineage(
-        classes.agg(F.min("id").alias("node"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
+        classes.agg(*[F.first(c).alias(c) for c in ("n_shingles", "signature", "bands")], F.min("id").alias("node"))
     )
     found = link(rows.withColumnRenamed("id", "node"), sketches.drop("set_id"), words, num, den)
     place = sketches.select("set_id", "node").join(found, "node", "left")
