@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -10,6 +13,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tradeledger
+
 #: Rows an Arrow batch may hold, so that a batch of long texts stays small.
 BATCH_ROWS = 500
 
@@ -17,9 +22,28 @@ BATCH_ROWS = 500
 CACHE_WORDS = 400_000
 
 
+_SENT: set[str] = set()
+
+
 def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches for tables of texts."""
+    """Small Arrow batches for tables of texts, and this package on the workers' path.
+
+    The package is sent by Spark as a zip file of its sources, once per application, so executors
+    need not have it installed.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    application, root = spark.sparkContext.applicationId, os.path.dirname(tradeledger.__file__)
+    if application in _SENT or not os.path.isdir(root):
+        return
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp()), "tradeledger_sources.zip")
+    with zipfile.ZipFile(path, "w") as sources:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    sources.write(file, os.path.relpath(file, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+    _SENT.add(application)
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
