@@ -92,9 +92,12 @@ def agg_group_conversion(t: Inputs):
     return prices.price_summary(t.price_rows, ["pricing_plan"])
 
 
-FEES = """SELECT so_number, sum(CASE WHEN fee_code IN (113, 114, 104, 105, 123, 133, 131, 115, 116, 117) THEN amount ELSE 0 END) AS roy,
-  sum(CASE WHEN fee_code IN (110, 156, 124) THEN amount ELSE 0 END) AS ntl,
-  sum(CASE WHEN fee_code IN (111) THEN amount ELSE 0 END) AS loc FROM {charges} GROUP BY so_number"""
+# Fee codes by the column they are summed in.
+FEES = """SELECT so_number, coalesce(sum(amount) FILTER (kind = 'roy'), 0) AS roy, coalesce(sum(amount) FILTER (kind = 'ntl'), 0) AS ntl,
+    coalesce(sum(amount) FILTER (kind = 'loc'), 0) AS loc
+  FROM {charges} LEFT JOIN (VALUES (104, 'roy'), (105, 'roy'), (110, 'ntl'), (111, 'loc'), (113, 'roy'), (114, 'roy'), (115, 'roy'), (116, 'roy'),
+    (117, 'roy'), (123, 'roy'), (124, 'ntl'), (131, 'roy'), (133, 'roy'), (156, 'ntl')) k(fee_code, kind) USING (fee_code)
+  GROUP BY so_number"""
 
 
 @query(
@@ -560,7 +563,7 @@ def ols_simple(t: Inputs):
     """SELECT round(max(CASE WHEN n = 51 THEN mean END), 6) AS low, round(max(CASE WHEN n = 951 THEN mean END), 6) AS high FROM (
          SELECT mean, row_number() OVER (ORDER BY mean, g) AS n FROM (
            SELECT id // 100 AS g, avg(o_totalprice) AS mean
-           FROM (SELECT id, CAST('0x' || substring(md5('0-' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % (SELECT count(*) FROM {orders}) AS i
+           FROM (SELECT id, CAST('0x' || substring(md5('0-' || CAST(id AS VARCHAR)), 1, 15) AS BIGINT) % (SELECT count(*) FROM {orders}) AS i
                  FROM (SELECT unnest(range(100000)) AS id))
            JOIN (SELECT o_totalprice, row_number() OVER (ORDER BY substring(md5(CAST(o_orderkey AS VARCHAR)), 1, 4), o_orderkey) - 1 AS i FROM {orders})
            USING (i) GROUP BY g))""",

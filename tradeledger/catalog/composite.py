@@ -70,7 +70,7 @@ def sold_lines(t: Inputs):
 
 
 def with_coupons(t: Inputs, sold):
-    return sales.sales_with_coupons(sold, sales.order_coupons(t.order_line, t.order_header, t.items, PROMO))
+    return sales.sales_with_coupons(sold, sales.order_coupons(t.order_line, t.order_header, t.items, PROMO, SINCE))
 
 
 def rolled_sales(t: Inputs):
@@ -139,9 +139,8 @@ STAGES["opps"] = """
 STAGES["dash"] = f"""
   SELECT o.*, CASE WHEN in_stock_opp = 1 AND roh > 0 THEN 1 ELSE 0 END AS in_model_opp,
     CASE WHEN in_stock_opp = 1 AND opp_converted = 1 THEN 1 ELSE 0 END AS in_stock_sale,
-    CASE WHEN quant_sold > 0 THEN quant_sold ELSE 0 END AS positive_sales, CASE WHEN coupon_quant > 0 THEN coupon_quant ELSE 0 END AS positive_coupons,
-    CASE WHEN quant_sold < 0 THEN quant_sold ELSE 0 END AS negative_sales, CASE WHEN coupon_quant < 0 THEN coupon_quant ELSE 0 END AS negative_coupons,
-    CASE WHEN quant_sold > 0 THEN ext_sold ELSE 0 END AS gross_sales, CASE WHEN quant_sold < 0 THEN ext_sold ELSE 0 END AS gross_returns
+    greatest(quant_sold, 0) AS positive_sales, greatest(coupon_quant, 0) AS positive_coupons, least(quant_sold, 0) AS negative_sales,
+    least(coupon_quant, 0) AS negative_coupons, if(quant_sold > 0, ext_sold, 0) AS gross_sales, if(quant_sold < 0, ext_sold, 0) AS gross_returns
   FROM {{opps}} o LEFT JOIN (SELECT cuc, fiscal_week, max(roh) AS roh FROM {{model_stock}} WHERE warehouse_id = {WAREHOUSE} GROUP BY ALL) r
     ON o.cuc = r.cuc AND o.fiscal_week = r.fiscal_week"""
 ROW_COLUMNS = f"""customer_id, day, salesperson, cuc, core_type, {LINE_COLUMNS}, quant_sold::DOUBLE AS quant_sold, ext_sold::DOUBLE AS ext_sold,
@@ -238,8 +237,9 @@ STAGES["rates"] = """
     coalesce(p.sales, 0) AS sales, coalesce(p.roy, 0) AS roy, coalesce(p.ntl, 0) AS ntl, coalesce(p.loc, 0) AS loc, {RATE} AS new_rebate_pct
   FROM {{members}} m JOIN {{customer_view}} c USING (customer_id)
   JOIN (SELECT group_id, group_name, CASE group_name WHEN 'NATION_4' THEN 2.0 ELSE rebate_pct::DOUBLE END AS rebate_pct,
-          CASE WHEN group_id IN (22, 25, 7, 9, 26, 20, 21, 14, 8) THEN 'Quarter' WHEN group_id IN (17, 18, 13) THEN 'Annual'
-            WHEN group_id IN (4, 3) THEN 'Bi-Monthly' WHEN group_id IN (2) THEN 'Monthly' END AS frequency FROM {{buying_groups}}) r ON r.group_id = m.group_id
+          frequency FROM {{buying_groups}} LEFT JOIN (VALUES (2, 'Monthly'), (3, 'Bi-Monthly'), (4, 'Bi-Monthly'), (7, 'Quarter'), (8, 'Quarter'),
+            (9, 'Quarter'), (13, 'Annual'), (14, 'Quarter'), (17, 'Annual'), (18, 'Annual'), (20, 'Quarter'), (21, 'Quarter'), (22, 'Quarter'),
+            (25, 'Quarter'), (26, 'Quarter')) closing(group_id, frequency) USING (group_id)) r ON r.group_id = m.group_id
   LEFT JOIN {{period_sales}} p ON p.customer_id = m.customer_id AND p.group_id = m.group_id AND p.frequency = r.frequency
   WHERE m.deactivated IS NULL AND c.status = 1 AND r.frequency IS NOT NULL""".replace(
     "{RATE}", RATE_SQL.format(g="m.group_id", a="coalesce(p.sales, 0)", d="r.rebate_pct")
@@ -336,7 +336,7 @@ def pricing_noise_cleanup(t: Inputs):
     "customers_within_radius",
     f"""SELECT * REPLACE (round(latitude, 9) AS latitude, round(longitude, 9) AS longitude) FROM (SELECT *, {MILES_SQL} AS distance FROM {{route_customers}} JOIN {{geocodes}} USING (customer_id) JOIN {{warehouses}} USING (warehouse_id)
           WHERE warehouse_id NOT IN (4, 16) AND lower(route_code) IN ('a', 'b', 'c', 'd', 'f') AND lower(status) NOT IN ('x', 'm', 'v')
-            AND company_name NOT LIKE '%800%' AND lower(company_name) NOT LIKE '%test%' AND customer_id <> 600251981
+            AND company_name NOT LIKE '%800%' AND lower(company_name) NOT LIKE '%test%'
             AND geocode_status_id IN (SELECT geocode_status_id FROM {{geocode_status}}))
         WHERE distance <= 5""",
     places=9,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -105,7 +106,7 @@ def sink_ctas(t: Inputs):
     summary = t.orders.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("orders"), F.sum(money("o_totalprice")).alias("total")
     )
-    return write.sink_ctas(summary, "priority_summary", scratch_path(t.spark, "ctas"))
+    return write.sink_ctas(summary, f"priority_summary_{uuid.uuid4().hex}", scratch_path(t.spark, "ctas"))
 
 
 @query(
@@ -225,14 +226,11 @@ def decode_codes(t: Inputs):
     )
 
 
-RATE_SQL = """CASE
-  WHEN {g} = 22 AND {a} BETWEEN 0 AND 3000 THEN 10 WHEN {g} = 22 AND {a} > 3000 THEN 15
-  WHEN {g} = 13 AND {a} > 3000 THEN 2
-  WHEN {g} IN (17, 18) AND {a} BETWEEN 1000 AND 1999.99 THEN 1
-  WHEN {g} IN (17, 18) AND {a} BETWEEN 2000 AND 2999.99 THEN 2
-  WHEN {g} IN (17, 18) AND {a} BETWEEN 3000 AND 3499.99 THEN 3
-  WHEN {g} IN (17, 18) AND {a} > 3499.99 THEN 3.5
-  WHEN {g} = 13 AND {a} < 3000 THEN 0 ELSE {d} END::DOUBLE"""
+# Group, first and last amount of a band, rate. Amounts have two places.
+RATE_SQL = """coalesce((SELECT max(rate) FROM (VALUES
+    (13, -1e15, 2999.995, 0), (13, 3000.005, 1e15, 2), (17, 1000, 1999.99, 1), (17, 2000, 2999.99, 2), (17, 3000, 3499.99, 3), (17, 3499.995, 1e15, 3.5),
+    (18, 1000, 1999.99, 1), (18, 2000, 2999.99, 2), (18, 3000, 3499.99, 3), (18, 3499.995, 1e15, 3.5), (22, 0, 3000, 10), (22, 3000.005, 1e15, 15)
+  ) band(member_group, low, high, rate) WHERE member_group = {g} AND {a} BETWEEN low AND high)::DOUBLE, ({d})::DOUBLE)"""
 
 
 @query(

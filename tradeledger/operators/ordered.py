@@ -179,7 +179,7 @@ def value_positions(
 
 
 def counted_positions(
-    counted: DataFrame, value: str, by: Sequence[str] = (), hot_rows: int = HOT_ROWS, pieces: int = 64
+    counted: DataFrame, value: str, by: Sequence[str] = (), hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """``value_positions`` of materialised (by, value, _n) rows.
 
@@ -187,7 +187,8 @@ def counted_positions(
     split at approximate quantiles, so no task sorts a whole group.
     """
     sizes = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("_values"))
-    if sizes.filter(F.col("_values") > hot_rows).isEmpty():
+    largest = sizes.agg(F.max("_values")).first()[0] or 0
+    if largest <= hot_rows:
         group = Window.partitionBy(*by)
         running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         end = F.sum("_n").over(running)
@@ -198,6 +199,8 @@ def counted_positions(
             end.alias("end_position"),
             F.sum("_n").over(group).alias("total"),
         )
+    # As many pieces as the largest group needs for ``hot_rows`` values in each.
+    pieces = max(2, -(-largest // hot_rows))
     quantiles = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
     sketch = F.percentile_approx(value, quantiles, F.lit(pieces * 16)).alias("_cuts")
     if by:

@@ -31,6 +31,13 @@ def zscore(df: DataFrame, value: str, name: str) -> DataFrame:
     return df.withColumn(name, (F.col(value) - moments["mean"]) / moments["sd"])
 
 
+def _join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Inner join on the group, in which NULL is a group like any other."""
+    other = groups.withColumnsRenamed({k: f"_of_{k}" for k in by})
+    on = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in by]
+    return rows.join(other, on).drop(*[f"_of_{k}" for k in by])
+
+
 def kernel_density(
     df: DataFrame,
     value: str,
@@ -48,6 +55,9 @@ def kernel_density(
     ``weight`` says how many rows a row stands for, if values were counted before.
     Output: ``by``, grid_index, grid, density.
     """
+    if not by:
+        whole = df.withColumn("_all", F.lit(0))
+        return kernel_density(whole, value, ["_all"], points, bins, weight).drop("_all")
     number = F.lit(1) if weight is None else F.col(weight)
     rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"), number.alias("_n"))
     counted = cut_lineage(rows.groupBy(*by, "_x").agg(F.sum("_n").alias("_n")))
@@ -61,7 +71,7 @@ def kernel_density(
     )
     squares = F.sum(F.col("_n") * F.pow(F.col("_x") - F.col("_mean"), F.lit(2)))
     moments = (
-        counted.join(extent, list(by))
+        _join_groups(counted, extent, by)
         .groupBy(*by, "_total", "_min", "_max")
         .agg(F.sqrt(squares / F.nullif(F.col("_total") - 1, F.lit(0))).alias("_sd"))
     )
@@ -71,7 +81,7 @@ def kernel_density(
     spreads = (narrow, F.col("_sd"), F.abs("_min"))
     width = F.coalesce(*[F.nullif(s, F.lit(0.0)) for s in spreads], F.lit(1.0))
     shape = (
-        moments.join(spread, list(by))
+        _join_groups(moments, spread, by)
         .withColumn("_bw", 0.9 * width * F.pow("_total", F.lit(-0.2)))
         .withColumn("_lo", F.col("_min") - 3 * F.col("_bw"))
         .withColumn("_hi", F.col("_max") + 3 * F.col("_bw"))
@@ -80,7 +90,7 @@ def kernel_density(
     place = (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * (bins - 1)
     left = F.least(F.floor(place), F.lit(bins - 2))
     binned = (
-        counted.join(shape, list(by))
+        _join_groups(counted, shape, by)
         .withColumn("_place", place)
         .withColumn("_bin", left)
         .groupBy(*by, "_bin")
@@ -106,7 +116,7 @@ def kernel_density(
     # The few bins turn into many rows: a stated partition count keeps them on all cores.
     cores = df.sparkSession.sparkContext.defaultParallelism
     return (
-        weights.join(shape, list(by))
+        _join_groups(weights, shape, by)
         .repartition(cores, *by, "_bin")
         .withColumn("grid_index", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
         .groupBy(*by, "grid_index")
@@ -178,7 +188,8 @@ def histogram_density(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
         ).alias("e")
     ).scalar()
     lo, hi = extent["lo"], extent["hi"]
-    cell = (hi - lo) / bins
+    # A constant column gets one bin of width 1 around its value.
+    cell = F.coalesce(F.nullif((hi - lo) / bins, F.lit(0.0)), F.lit(1.0))
     base = F.pow(F.lit(10.0), F.floor(F.log10(cell)))
     # A larger step is taken when the cell is nearer to it; 5 is favoured (fixed values 1.5, 2.75).
     unit = (
@@ -249,20 +260,25 @@ def ols_terms(df: DataFrame, y: str, x: str) -> DataFrame:
     return df.sparkSession.createDataFrame(terms, schema)
 
 
+def drawn_index(draw: Column, n: Column, seed: str) -> Column:
+    """Row number of a draw: 60 bits of its md5 modulo n, so every row of any table can be drawn."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}-"), draw.cast("string"))), 1, 15)
+    return F.conv(digits, 16, 10).cast("bigint") % F.nullif(n, F.lit(0))
+
+
 def bootstrap_means(
     sample: DataFrame, key: str, value: str, groups: int = 1000, per_group: int = 100, seed: str = "0"
 ) -> DataFrame:
     """Mean of each group of draws with replacement.
 
-    Draw ``i`` takes row ``md5(seed-i) mod n`` of the indexed sample, so the result does not depend
+    Draw ``i`` takes the row that ``drawn_index`` names of the indexed sample, so the result does not depend
     on partitioning. ``key`` is unique in the sample.
     """
     indexed = dense_index(sample.filter(F.col(value).isNotNull()).select(key, value), key)
     n = sample.agg(F.count(value).alias("n")).scalar()
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}-"), F.col("id").cast("string"))), 1, 8)
     draws = sample.sparkSession.range(groups * per_group).select(
         F.floor(F.col("id") / per_group).alias("draw_group"),
-        (F.conv(digits, 16, 10).cast("bigint") % F.nullif(n, F.lit(0))).alias("row_index"),
+        drawn_index(F.col("id"), n, seed).alias("row_index"),
     )
     # The number of draws is fixed by the arguments, not by the data.
     if groups * per_group <= MAX_BROADCAST_DRAWS:

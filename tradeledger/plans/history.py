@@ -90,7 +90,7 @@ def deal_days(
     Weekly rules apply on their weekdays (without a list, on that of the first day), daily ones every
     day, others on the first day only; an open end is ``as_of``. ``literal`` takes creation rows only, ends open rules one day after their
     start, and gives a rule without matching weekday its first day.
-    Ranges are clipped to the window before they are expanded, so a rule gives at most ``days`` rows.
+    A start that is no date gives no day. Ranges are clipped to the window before they are expanded, so a rule gives at most ``days`` rows.
     """
     window_start, window_end = F.lit(as_of - dt.timedelta(days=days)), F.lit(as_of - dt.timedelta(days=1))
     schedules = deal_schedules(audits, tz, hot_rows)
@@ -98,7 +98,7 @@ def deal_days(
     planned = (
         schedules.filter((F.col("action") != "destroy") & F.col(stated).isNotNull())
         .withColumn("frequency", rrule_frequency(F.coalesce(rule, F.lit(""))))
-        .withColumn("first_day", F.to_date(F.col(stated)))
+        .withColumn("first_day", F.col(stated).try_cast("date"))
         .withColumn("weekdays", F.lower(rrule_days(F.col(rule))))
         .withColumn("until", rrule_until(F.col(rule)))
     )

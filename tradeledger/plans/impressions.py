@@ -40,6 +40,18 @@ def batches_of_days(batches: DataFrame, first: dt.date, end: dt.date, tz: str) -
     return batches.filter((F.col("batch_time") >= low) & (F.col("batch_time") < high))
 
 
+def event_rows(time_field: str = "timestamp") -> Column:
+    """The events text as an array; NULL where it is no valid JSON array."""
+    fields = ",".join(f"`{name}`: string" for name in [*IMPRESSION_FIELDS, time_field])
+    return F.from_json("events", f"array<struct<{fields}>>")
+
+
+def malformed_batches(batches: DataFrame, location: str | None = "Home", time_field: str = "timestamp") -> DataFrame:
+    """Batches whose events cannot be read, which ``impression_flatten`` has no rows for."""
+    chosen = batches if location is None else batches.filter(F.col("location") == location)
+    return chosen.filter(F.col("events").isNotNull() & event_rows(time_field).isNull())
+
+
 def impression_flatten(
     batches: DataFrame,
     location: str | None = "Home",
@@ -53,12 +65,12 @@ def impression_flatten(
     ``keep`` names further batch columns to carry along, ``time_field`` the key of the ISO time.
 
     The array is parsed as JSON, so its size, field order and nested values do not matter.
-    A missing key gives NULL.
+    A missing key gives NULL. Batches that are no JSON array have no rows here; they are those of
+    ``malformed_batches``.
     """
     chosen = batches if location is None else batches.filter(F.col("location") == location)
-    fields = ",".join(f"`{name}`: string" for name in [*IMPRESSION_FIELDS, time_field])
     shared = [*keep, "anonymous_id", "location", "region_name"]
-    one = chosen.select(*shared, F.from_json("events", f"array<struct<{fields}>>").alias("_all")).select(
+    one = chosen.select(*shared, event_rows(time_field).alias("_all")).select(
         *shared, F.posexplode("_all").alias("impression_index", "_one")
     )
     section = F.col("_one.section_name")

@@ -14,20 +14,6 @@ from tradeledger.operators.tables import delete_from_join
 # What counts as noise unless the caller says otherwise.
 EXCLUDED_PLANS = ["b1", "b2", "b3", "b4", "f1", "j2", "vp", "p3"]
 WEB_USERS = ["ecmccc", "ecom", "ecmnxprt", "ecmaconx"]
-STAFF_USERS = [
-    "andrewb",
-    "davids",
-    "julian",
-    "jasonm",
-    "blakek",
-    "kyle",
-    "naldana",
-    "borisb",
-    "jpeter",
-    "billm",
-    "carlol",
-    "phillipc",
-]
 EXCLUDED_COMPANIES = ["Test"]
 RETURN_REASONS = [
     "Cust did not order",
@@ -60,7 +46,7 @@ def pricing_noise_cleanup(
     reasons: DataFrame,
     excluded_shop_type: str = "Re",
     excluded_plans: Sequence[str] = EXCLUDED_PLANS,
-    excluded_users: Sequence[str] = (*WEB_USERS, *STAFF_USERS),
+    excluded_users: Sequence[str] = WEB_USERS,
     excluded_companies: Sequence[str] = EXCLUDED_COMPANIES,
     return_reasons: Sequence[str] = RETURN_REASONS,
     keep_unresolved: bool = True,
@@ -116,7 +102,7 @@ def customers_within_radius(
     route_codes: Sequence[str] = ("a", "b", "c", "d"),
     excluded_status: Sequence[str] = ("x", "m", "v"),
     excluded_companies: Sequence[str] = ("800", "Test", "Insurance"),
-    excluded_customers: Sequence[int] = (600251981,),
+    excluded_customers: Sequence[int] = (),
     literal: bool = False,
 ) -> DataFrame:
     """Active customers within some miles of their own warehouse."""

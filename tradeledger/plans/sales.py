@@ -69,13 +69,20 @@ def sales_lines(
 
 
 def order_coupons(
-    lines: DataFrame, orders: DataFrame, items: DataFrame, promo_category: str = PROMO_CATEGORY
+    lines: DataFrame,
+    orders: DataFrame,
+    items: DataFrame,
+    promo_category: str = PROMO_CATEGORY,
+    since: str | None = None,
 ) -> DataFrame:
     """Promo lines per order: coupon code, quantity and amount.
 
+    ``since`` is the bound of the sales the coupons are for, so that older orders are not read.
+
     A positive amount belongs to a return, so its quantity is made negative.
     """
-    promo = category_lines(lines, orders, items, promo_category)
+    recent = orders if since is None else orders.filter(F.col("ordered_at") >= F.lit(since).cast("timestamp_ntz"))
+    promo = category_lines(lines, recent, items, promo_category)
     ext = F.col("quantity") * F.col("sale_price")
     quantity = F.when(ext > 0, -F.abs("quantity")).otherwise(F.col("quantity"))
     return promo.groupBy("so_number").agg(

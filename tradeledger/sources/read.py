@@ -15,8 +15,11 @@ def scan_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, D
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A CSV extract with a header row and a stated schema (no inference pass)."""
-    return spark.read.csv(path, header=True, schema=schema)
+    """A CSV extract with a header row and a stated schema (no inference pass).
+
+    A header whose names are not those of the schema, in order, is an error.
+    """
+    return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
 
 
 def scan_file_set(
@@ -30,13 +33,14 @@ def scan_file_set(
     """All files of one kind below ``folder`` as one table, with ``source_file``.
 
     A workbook is a sub-folder with one file per sheet. ``table_hint`` keeps the sheets whose
-    name contains it; workbooks without such a sheet use their ``fallback`` sheet ("last" or
-    "second_to_last" by name).
+    name contains it, even if they have a header only; workbooks without such a sheet use their
+    ``fallback`` sheet ("last" or "second_to_last" by name). A header that differs from the schema
+    is an error.
     """
     rows = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{suffix}")
-        .csv(folder, header=True, schema=schema)
+        .csv(folder, header=True, schema=schema, enforceSchema=False)
         .withColumn("source_path", F.col("_metadata.file_path"))
     )
     parts = F.split("source_path", "/")
@@ -44,8 +48,15 @@ def scan_file_set(
     book = F.element_at(parts, -2)
     if table_hint is None:
         return rows.withColumn("source_file", sheet).drop("source_path")
-    # One row per file, then per workbook: a listing, not data.
-    sheets = rows.select(book.alias("source_file"), sheet.alias("sheet")).distinct()
+    # One row per file, then per workbook: a listing, no content is read.
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", f"*{suffix}")
+        .load(folder)
+        .select(F.split("_metadata.file_path", "/").alias("parts"))
+    )
+    sheets = files.select(F.element_at("parts", -2).alias("source_file"), F.element_at("parts", -1).alias("sheet"))
     hinted = F.filter("sheets", lambda s: s.contains(table_hint))
     position = {"last": 1, "second_to_last": 2, None: 0}[fallback]
     other = F.reverse("sheets")[position - 1] if position else F.lit(None).cast("string")

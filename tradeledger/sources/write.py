@@ -27,9 +27,9 @@ def materialise_stage(df: DataFrame, how: str = "table") -> DataFrame:
     raise ValueError(f"unknown kind of stage: {how}")
 
 
-def sink_ctas(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Create (or replace) a table from a query and return it."""
-    writer = df.write.mode("overwrite").format("parquet")
+def sink_ctas(df: DataFrame, name: str, path: str | None = None, replace: bool = False) -> DataFrame:
+    """Create a table from a query and return it; an existing one is an error unless it is to be replaced."""
+    writer = df.write.mode("overwrite" if replace else "errorifexists").format("parquet")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeledger.functions.dates import local_date
-from tradeledger.plans.impressions import impression_flatten
+from tradeledger.plans.impressions import impression_flatten, malformed_batches
 
 BATCH_SCHEMA = (
     "location string, region_name string, batch_time timestamp, anonymous_id string, events string"
@@ -19,29 +19,45 @@ def read_batches(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(BATCH_SCHEMA).parquet(folder)
 
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def append_impressions(
     batches: DataFrame,
     target: str,
     checkpoint: str,
     location: str | None = "Home",
     tz: str = "America/Los_Angeles",
-    late: str = "2 days",
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Append the impressions of all new batches, one partition per local day, then stop.
 
-    Batches that are sent again within ``late`` are dropped, and late ones reach the partition of
-    their own day.
+    A batch is known by user and time. Those sent again are dropped before they are unnested: within
+    a run by their key, and against the partitions of the days in question, so a batch of any age
+    reaches its day and no state is kept between runs. A run that is repeated after a failure finds
+    what it wrote. Batches that cannot be read are appended to ``rejects`` (``target`` and
+    "-rejects" by default).
     """
-    flat = impression_flatten(batches, location, tz, keep=["batch_time"])
-    once = flat.withWatermark("batch_time", late).dropDuplicatesWithinWatermark(
-        ["anonymous_id", "batch_time", "impression_index"]
-    )
+    key = ["anonymous_id", "batch_time"]
+    refused = rejects or f"{target}-rejects"
+
+    def write(arrived: DataFrame, _: int) -> None:
+        day = local_date(F.col("batch_time").cast("timestamp_ntz"), tz)
+        once = arrived.withColumn("local_day", day).dropDuplicates(key)
+        if _exists(arrived.sparkSession, target):
+            days = once.select("local_day").distinct()
+            known = arrived.sparkSession.read.parquet(target).join(days, "local_day", "left_semi").select(*key).distinct()
+            known = known.toDF(*[f"_{c}" for c in key])
+            once = once.join(known, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key], "left_anti")
+        flat = impression_flatten(once, location, tz, keep=["batch_time", "local_day"])
+        flat.write.mode("append").partitionBy("local_day").parquet(target)
+        malformed_batches(arrived, location).write.mode("append").parquet(refused)
+
     return (
-        once.withColumn("local_day", local_date(F.col("batch_time").cast("timestamp_ntz"), tz))
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("local_day")
+        batches.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )
