@@ -54,6 +54,29 @@ def test_carry_equals_plain_window(marks, hot_rows, current):
     assert rows(got, *names) == rows(want, *names)
 
 
+def test_one_key_on_one_day_is_cut(spark):
+    # All rows lie in one day, a part of them at no time at all.
+    at = F.when(F.col("id") % 5 > 0, F.lit(dt.datetime(2024, 1, 1)) + F.expr("make_dt_interval(0, 0, 0, id % 40)"))
+    data = spark.range(20_000).select("id", F.lit("k").alias("key"), at.cast("timestamp_ntz").alias("at"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("value"))
+    hot = ordered.hot_keys(data, ["key"], 1000)
+    sliced = ordered._with_slices(data, ["key"], hot, ordered.day_slice("at"), ["at", "id"], 1000)
+    sizes = [r["count"] for r in sliced.groupBy("__slice").count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) > 12 and max(sizes) < 3000
+    asked = dict(following={"next": "id"}, known={"last": "value"}, index="n")
+    got = ordered.carry(data, ["key"], ["at", "id"], **asked, hot=hot, hot_rows=1000)
+    want = ordered.carry(data, ["key"], ["at", "id"], **asked)
+    assert rows(got, "id", "next", "last", "n") == rows(want, "id", "next", "last", "n")
+
+
+def test_facts_of_one_instant_are_cut(spark):
+    noon = dt.datetime(2024, 1, 1, 12)
+    facts = spark.range(5000).select("id", F.lit("k").alias("key"), F.lit(noon).cast("timestamp_ntz").alias("at"))
+    history = spark.createDataFrame([("k", noon, None, 1)], "key string, s timestamp_ntz, e timestamp_ntz, v int")
+    hot = ordered.hot_keys(facts, ["key"], 500)
+    got = intervals.join_asof(facts, history, ["key"], "at", "s", "e", {"v": "v"}, hot, 500)
+    assert got.groupBy("v").count().collect()[0][:] == (1, 5000)
+
+
 def test_an_order_is_required(marks):
     with pytest.raises(ValueError):
         ordered.carry(marks, ["key"], [], index="n")
@@ -108,9 +131,9 @@ def test_rolling_needs_full_windows_and_counts_rows_not_days(spark, count, left)
     assert len(got) == left and all(r[2] == 30 for r in got)
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 0])
+@pytest.mark.parametrize("hot_rows", [10**9, 40, 0])
 def test_positions_and_order_statistics(spark, monkeypatch, hot_rows):
-    monkeypatch.setattr(ordered.counted_positions, "__defaults__", ((), hot_rows, 64))
+    monkeypatch.setattr(ordered.counted_positions, "__defaults__", ((), hot_rows))
     monkeypatch.setattr(ordered.value_positions, "__defaults__", ((), hot_rows))
     rng = np.random.default_rng(1)
     # One value is a third of all rows.

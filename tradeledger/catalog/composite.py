@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tradeledger.catalog.analytic import (
     CONVERSION,
     CURVE,
@@ -20,7 +22,7 @@ from tradeledger.catalog.registry import STAGES, query
 from tradeledger.catalog.relational import AS_OF, MILES_SQL, RATE_SQL, TZ
 from tradeledger.plans import history, impressions, opportunity, prices, pricing, rebates, release_notes, sales
 from tradeledger.session import scratch_path
-from tradeledger.sources.write import materialise_stage, sink_multi_report
+from tradeledger.sources.write import materialise_stage, sink_incremental_append, sink_multi_report
 
 CATEGORY, PROMO, SINCE, WAREHOUSE = "STANDARD", "PROMO", "1995-01-01", 30
 LINE_COLUMNS = "so_number, item, car_id, jobber_price::DOUBLE AS jobber_price, item_cost::DOUBLE AS item_cost, sale_price::DOUBLE AS sale_price"
@@ -208,11 +210,13 @@ def dashboard_rows(t: Inputs):
          round(coupon_orders / nullif(orders, 0)::DOUBLE, 9) AS coupon_redemption_pct, round(-returned::DOUBLE / nullif(sold::DOUBLE, 0), 9) AS return_pct,
          round(stock_opps / nullif(opps, 0)::DOUBLE, 9) AS in_stock_lookup_pct, round(orders / nullif(stock_opps, 0)::DOUBLE, 9) AS total_conversion,
          round(converted / nullif(opps, 0)::DOUBLE, 9) AS application_conversion, round(model_opps / nullif(stock_opps, 0)::DOUBLE, 9) AS fill_rate,
-         customers, value::DOUBLE AS inventory_value
+         customers, admins, adjustments, warranties::BIGINT AS warranties, fit_issues::BIGINT AS fit_issues, value::DOUBLE AS inventory_value
        FROM (SELECT fiscal_week, sum(quant_sold) AS quant, sum(ext_sold) AS dollar, sum(ext_cost) AS cost, sum(positive_sales) AS sold,
                sum(negative_sales) AS returned, count(DISTINCT so_number) AS orders, count(DISTINCT CASE WHEN coupon_code IS NOT NULL THEN so_number END) AS coupon_orders,
                count(DISTINCT customer_id) AS customers, sum(sales_opp) AS opps, sum(in_stock_opp) AS stock_opps, sum(opp_converted) AS converted,
-               sum(in_model_opp) AS model_opps FROM {dash} GROUP BY fiscal_week)
+               sum(in_model_opp) AS model_opps, count(DISTINCT so_number) FILTER (was_admin = 1) AS admins,
+               count(DISTINCT so_number) FILTER (was_adjust = 1 OR adjustments > 0) AS adjustments, count(*) FILTER (return_reason = 'FRANCE') AS warranties,
+               count(*) FILTER (return_reason IN ('Phone mistake', 'PERU')) AS fit_issues FROM {dash} GROUP BY fiscal_week)
        LEFT JOIN (SELECT fiscal_week, max_by(value, day) AS value FROM (
            SELECT k.fiscal_week, v.inventory_date AS day, sum(v.on_hand * u.cost) AS value FROM {inventory} v JOIN {unit_cost} u USING (cuc)
            JOIN {calendar} k ON k.day = v.inventory_date GROUP BY ALL) GROUP BY fiscal_week) USING (fiscal_week)""",
@@ -220,7 +224,7 @@ def dashboard_rows(t: Inputs):
 )
 def dashboard_kpis(t: Inputs):
     stock = materialise_stage(inventory(t))
-    return opportunity.dashboard_kpis(dashboard(t, stock), stock, t.unit_cost, t.calendar, rebate_pct=2.0)
+    return opportunity.dashboard_kpis(dashboard(t, stock), stock, t.unit_cost, t.calendar, 2.0, ["FRANCE"], ["Phone mistake", "PERU"])
 
 
 # ---------------------------------------------------------------- rebates
@@ -311,14 +315,34 @@ STAGES["pricing_final"] = """
     AND NOT (coalesce(p.sales_qty, 0) > 0 AND p.so_number IN (SELECT source FROM {relations} WHERE relation_type = 5))"""
 
 
-@query(
-    "pricing_noise_cleanup",
-    """SELECT p.* REPLACE (sales_qty::DOUBLE AS sales_qty, sale_price::DOUBLE AS sale_price) FROM {pricing_final} p
+STAGES["pricing_cleaned"] = """
+  SELECT * FROM {pricing_final} p
        WHERE NOT EXISTS (SELECT 1 FROM {pickups} k JOIN {pickup_lines} l USING (pickup_id) JOIN {reasons} r USING (reason_id)
          WHERE k.pickup_type = 9 AND coalesce(k.deleted, 0) = 0 AND CAST(k.created_at AS DATE) >= (SELECT min(priced_on) FROM {pricing_final})
-           AND r.reason_name IN ('Phone mistake', 'Shop Lost Customer', 'Cust did not order') AND k.so_number = p.so_number AND l.item = p.item)""",
+           AND r.reason_name IN ('Phone mistake', 'Shop Lost Customer', 'Cust did not order') AND k.so_number = p.so_number AND l.item = p.item)"""
+
+
+@query(
+    "pricing_noise_cleanup",
+    "SELECT p.* REPLACE (sales_qty::DOUBLE AS sales_qty, sale_price::DOUBLE AS sale_price) FROM {pricing_cleaned} p",
 )
 def pricing_noise_cleanup(t: Inputs):
+    return cleaned_prices(t)
+
+
+@query(
+    "pricing_sample",
+    """SELECT p.* REPLACE (sales_qty::DOUBLE AS sales_qty, sale_price::DOUBLE AS sale_price) FROM {pricing_cleaned} p
+       WHERE category LIKE 'PROMO%' ORDER BY category, so_number, line_number LIMIT 1000""",
+)
+def pricing_sample(t: Inputs):
+    """The first 1,000 rows of a category for inspection: the limit is the feature."""
+    extract = cleaned_prices(t).withColumn("_type", F.col("category")).withColumn("category", F.substring("category", 1, 5))
+    found = pricing.pricing_sample(extract, "PROMO", ["_type", "so_number", "line_number"], 1000)
+    return found.withColumn("category", F.col("_type")).drop("_type")
+
+
+def cleaned_prices(t: Inputs):
     return pricing.pricing_noise_cleanup(
         t.pricing,
         t.relations,
@@ -510,9 +534,8 @@ def sales_at_retailer_status(t: Inputs):
 LISTED = "('Deals Nearby', 'Delivery Services', 'Dispensary Storefronts', 'Doctors', 'Mail Order / Delivery Services', 'CBD Stores')"
 
 
-@query(
-    "impression_flatten",
-    f"""SELECT {local("CAST(replace(replace(json_extract_string(one, '$.timestamp'), 'T', ' '), 'Z', '') AS TIMESTAMP)")} AS impression_time,
+def flat_sql(more: str = "") -> str:
+    return f"""SELECT {more}{local("CAST(replace(replace(json_extract_string(one, '$.timestamp'), 'T', ' '), 'Z', '') AS TIMESTAMP)")} AS impression_time,
           'Web' AS platform, anonymous_id, location, region_name, i::INT AS impression_index, section AS section_name,
           CASE WHEN section IN {LISTED} THEN json_extract_string(one, '$.listing_id') END AS listing_id,
           CASE WHEN section IN {LISTED} THEN json_extract_string(one, '$.listing_type') END AS listing_type,
@@ -522,12 +545,31 @@ LISTED = "('Deals Nearby', 'Delivery Services', 'Dispensary Storefronts', 'Docto
           json_extract_string(one, '$.position') AS section_position
         FROM (SELECT *, json_extract_string(one, '$.section_name') AS section FROM (
           SELECT *, json_extract(events, '$[' || i || ']') AS one FROM (
-            SELECT *, unnest(range(json_array_length(events)::BIGINT)) AS i FROM {{batches}} WHERE location = 'Home')))""",
-)
+            SELECT *, unnest(range(json_array_length(events)::BIGINT)) AS i FROM {{batches}} WHERE location = 'Home')))"""
+
+
+@query("impression_flatten", flat_sql())
 def impression_flatten(t: Inputs):
     return impressions.impression_flatten(t.batches, "Home", TZ)
 
 
+@query(
+    "daily_impressions",
+    "SELECT * FROM ({flat}) WHERE local_day >= DATE '2024-01-13' AND local_day < DATE '2024-01-15'".replace(
+        "{flat}", flat_sql(f"CAST({local('batch_time')} AS DATE) AS local_day, ")
+    ),
+)
+def daily_impressions(t: Inputs):
+    """Two local days of batches, flattened and appended day by day; the second run repeats the first day."""
+    path, day = scratch_path(t.spark, "impressions"), dt.timedelta(days=1)
+    for as_of in (dt.date(2024, 1, 14), dt.date(2024, 1, 15)):
+        chosen = impressions.batches_of_days(t.batches, as_of - 2 * day, as_of, TZ)
+        flat = impressions.impression_flatten(chosen, "Home", TZ, keep=["batch_time"])
+        days = 1 if as_of.day == 14 else 2
+        loaded = sink_incremental_append(flat, path, "batch_time", as_of, days=days, tz=TZ)
+    return loaded.drop("batch_time")
+
+
 # ---------------------------------------------------------------- prices
 
 
@@ -581,9 +623,9 @@ STAGES["annotated"] = """
 @query(
     "release_note_crosscheck",
     """SELECT 'annotated' AS report, * FROM {annotated}
-       UNION ALL SELECT 'lines_with_notes', * FROM {annotated} WHERE release_notes IS NOT NULL OR product_notes IS NOT NULL""",
+       UNION ALL SELECT 'lines_with_notes', * FROM {annotated} WHERE release_notes IS NOT NULL OR product_notes IS NOT NULL
+       UNION ALL BY NAME SELECT 'uploads' AS report, source_file, release_name, release_version, part_number FROM {uploads}""",
 )
 def release_note_crosscheck(t: Inputs):
     reports = release_notes.release_note_crosscheck(t.uploads, t.releases, t.products)
-    del reports["uploads"]
     return sink_multi_report(reports, scratch_path(t.spark, "notes"))

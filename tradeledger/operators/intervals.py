@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tradeledger.operators.ordered import carry, first_per_key
+from tradeledger.operators.ordered import HOT_ROWS, carry, first_per_key
 
 
 def lead_intervals(
@@ -31,28 +32,38 @@ def join_asof(
     end: str,
     columns: dict[str, str],
     hot: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Each fact with the interval ``[start, end)`` valid at its time, or NULLs.
 
     Intervals of one key must not overlap. Facts and interval starts are stacked and the last
     start is carried forward, so work grows with rows, not with facts x intervals of a key.
-    ``end`` NULL means still open. ``hot`` are the keys with very many facts or intervals.
+    ``end`` NULL means still open. ``hot`` are the keys with very many facts or intervals; facts of
+    one instant are told apart by a hash, so that they can be cut as well.
     """
+    hashed = [f.name for f in facts.schema.fields if isinstance(f.dataType, T.AtomicType)]
     payload = F.struct(F.col(end).cast("timestamp_ntz").alias("_end"), *[F.col(s).alias(n) for n, s in columns.items()])
     not_null = F.lit(True)
     for key in keys:
         not_null = not_null & F.col(key).isNotNull()
     starts = history.filter(not_null & F.col(start).isNotNull()).select(
-        *keys, F.col(start).cast("timestamp_ntz").alias("_at"), F.lit(0).alias("_side"), payload.alias("_valid")
+        *keys,
+        F.col(start).cast("timestamp_ntz").alias("_at"),
+        F.lit(0).alias("_side"),
+        F.lit(0).cast("bigint").alias("_tie"),
+        payload.alias("_valid"),
     )
     marks = facts.select(
         *keys,
         F.col(at).cast("timestamp_ntz").alias("_at"),
         F.lit(1).alias("_side"),
+        F.xxhash64(*hashed).alias("_tie"),
         F.struct(*[F.col(c) for c in facts.columns if c not in keys]).alias("_fact"),
     )
     stacked = starts.unionByName(marks, allowMissingColumns=True)
-    carried = carry(stacked, keys, ["_at", "_side"], known={"_found": "_valid"}, hot=hot)
+    carried = carry(
+        stacked, keys, ["_at", "_side", "_tie"], known={"_found": "_valid"}, hot=hot, hot_rows=hot_rows
+    )
     valid = F.col("_found._end").isNull() | (F.col("_at") < F.col("_found._end"))
     return carried.filter("_side = 1").select(
         *keys, "_fact.*", *[F.when(valid, F.col(f"_found.{n}")).alias(n) for n in columns]

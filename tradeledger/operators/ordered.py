@@ -2,8 +2,8 @@
 
 A window over ``partitionBy(key)`` puts a whole key into one task. ``hot_keys`` counts the rows per
 key and names the few keys above a limit. Without any, one plain window does the work. Hot keys are
-cut into time slices: windows run per (key, slice), and a summary with one row per hot key and
-slice carries values across the slice borders.
+cut into time slices, and a slice above the limit is cut again along the whole order: windows run per
+(key, slice), and a summary with one row per hot key and slice carries values across the slice borders.
 """
 
 from __future__ import annotations
@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 from tradeledger.session import cut_lineage
 
-# A key above this many rows is cut. The list of such keys has at most rows / HOT_ROWS entries
-# (100,000 keys for 2e11 rows), which is the size bound for broadcasting it.
+# A key above this many rows is cut. Lists of such keys and of cuts are written, so Spark knows their
+# size and broadcasts them only if they are small.
 HOT_ROWS = 2_000_000
 
+# Sampled places per ``hot_rows`` rows, from which the cuts inside a slice are taken.
+CUT_SAMPLE = 16
+
 # Columns the operators add for themselves start with two underscores.
 _SLICE = "__slice"
 
@@ -49,6 +52,7 @@ def carry(
     index: str | None = None,
     hot: DataFrame | None = None,
     slice_of: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Values carried along the rows of a key, all from one shuffle and one sort.
 
@@ -57,7 +61,7 @@ def carry(
     ``include_current`` (``lag ignore nulls``).
     ``index``: row number from 1. ``order_by`` must be a total order; NULLs come first.
     ``hot`` are the keys to cut into slices; ``slice_of`` rises with the order (default: the day of
-    the first order column).
+    the first order column). Slices above ``hot_rows`` rows are cut again.
     """
     if not order_by:
         raise ValueError("a total order is required")
@@ -73,7 +77,8 @@ def carry(
             new[index] = F.row_number().over(window).cast("bigint")
         return df.withColumns(new)
 
-    sliced = _with_slices(df, keys, hot, day_slice(order_by[0]) if slice_of is None else slice_of)
+    coarse = day_slice(order_by[0]) if slice_of is None else slice_of
+    sliced = _with_slices(df, keys, hot, coarse, order_by, hot_rows)
     # One struct as key: NULL keys equal each other, and the join below keeps the windows' partitioning.
     sliced = sliced.withColumn("__key", F.struct(*keys))
     window = Window.partitionBy("__key", _SLICE).orderBy(*order)
@@ -124,14 +129,40 @@ def carry(
     return both.withColumns(new).drop(*own)
 
 
-def _with_slices(df: DataFrame, keys: Sequence[str], hot: DataFrame, slice_of: Column) -> DataFrame:
-    """Add the slice column: NULL for ordinary keys, ``slice_of`` for hot ones."""
+def _with_slices(
+    df: DataFrame, keys: Sequence[str], hot: DataFrame, slice_of: Column, order_by: Sequence[str], hot_rows: int
+) -> DataFrame:
+    """Add the slice column: NULL for ordinary keys, (``slice_of``, part) for hot ones.
+
+    Parts are cut where a slice has more than ``hot_rows`` rows, NULL order values included. The cuts
+    are every ``CUT_SAMPLE``-th of the places whose hash falls into a sample, so that a part has about
+    ``hot_rows`` rows and every reading of ``df`` agrees on them. A slice holds rows / hot_rows cuts.
+    """
     few = hot.select(*keys, F.lit(True).alias("__hot")).alias("hot")
     match = [F.col(f"rows.{k}").eqNullSafe(F.col(f"hot.{k}")) for k in keys]
-    # See HOT_ROWS for the bound of the broadcast list. NULL order values come first.
-    return df.alias("rows").join(F.broadcast(few), match, "left").select(
-        "rows.*",
-        F.when(F.col("hot.__hot"), F.coalesce(slice_of.cast("bigint"), F.lit(-(2**62)))).alias(_SLICE),
+    # NULL order values come first.
+    coarse = F.when(F.col("hot.__hot"), F.coalesce(slice_of.cast("bigint"), F.lit(-(2**62))))
+    found = df.alias("rows").join(few, match, "left").select("rows.*", coarse.alias("__coarse"))
+    place = F.struct(*order_by)
+    drawn = F.pmod(F.xxhash64(*order_by), F.lit(max(1, hot_rows // CUT_SAMPLE))) == 0
+    large = (
+        found.filter(F.col("__coarse").isNotNull())
+        .groupBy(*keys, "__coarse")
+        .agg(F.count(F.lit(1)).alias("__rows"), F.sort_array(F.collect_list(F.when(drawn, place))).alias("__drawn"))
+        .filter(F.col("__rows") > hot_rows)
+    )
+    every = F.filter("__drawn", lambda _, i: i % CUT_SAMPLE == CUT_SAMPLE - 1)
+    cuts = cut_lineage(large.select(*keys, "__coarse", every.alias("__cuts"))).alias("cuts")
+    match = [F.col(f"rows.{k}").eqNullSafe(F.col(f"cuts.{k}")) for k in keys]
+    match.append(F.col("rows.__coarse") == F.col("cuts.__coarse"))
+    before = F.size(F.filter("cuts.__cuts", lambda cut: cut < F.struct(*[F.col(f"rows.{c}") for c in order_by])))
+    part = F.when(F.col("cuts.__cuts").isNull(), F.lit(0)).otherwise(before)
+    pair = F.struct(F.col("rows.__coarse").alias("slice"), part.alias("part"))
+    return (
+        found.alias("rows")
+        .join(cuts, match, "left")
+        .select("rows.*", F.when(F.col("rows.__coarse").isNotNull(), pair).alias(_SLICE))
+        .drop("__coarse")
     )
 
 
@@ -200,7 +231,7 @@ def counted_positions(
             F.sum("_n").over(group).alias("total"),
         )
     # As many pieces as the largest group needs for ``hot_rows`` values in each.
-    pieces = max(2, -(-largest // hot_rows))
+    pieces = max(2, -(-largest // max(hot_rows, 1)))
     quantiles = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
     sketch = F.percentile_approx(value, quantiles, F.lit(pieces * 16)).alias("_cuts")
     if by:

@@ -65,6 +65,7 @@ def deal_schedules(audits: DataFrame, tz: str = TZ, hot_rows: int = HOT_ROWS) ->
         known={c: c for c in filled},
         include_current=True,
         hot=hot_keys(audits, ["deal_date_id"], hot_rows),
+        hot_rows=hot_rows,
     )
 
 
@@ -244,6 +245,7 @@ def retailer_status_history(
         ["audited_at", "audit_id"],
         following={"_ended": "audited_at"},
         hot=hot_keys(rows, ["vr_id"], hot_rows),
+        hot_rows=hot_rows,
     )
     status = F.coalesce("audited_status", F.col("status").cast("string"))
     return ended.select(
@@ -388,6 +390,7 @@ def sales_at_retailer_status(
             "new_override": "new_override",
         },
         hot_keys(sales, store, hot_rows),
+        hot_rows,
     )
     first = changed.groupBy(*store).agg(
         F.min_by("old_override", F.struct("update_date", "audit_id")).alias("first_override")
@@ -419,4 +422,5 @@ def sales_at_retailer_status(
         "end_date",
         {"status_start": "start_date", "status_end": "end_date", "status_label": "status_label"},
         hot_keys(placed, listing, hot_rows),
+        hot_rows,
     )

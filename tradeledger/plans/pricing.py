@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradeledger.functions.geo import great_circle_miles
 from tradeledger.operators.chains import ADMIN, chain_first_date
 from tradeledger.operators.tables import delete_from_join
+from tradeledger.session import cut_lineage
 
 # What counts as noise unless the caller says otherwise.
 EXCLUDED_PLANS = ["b1", "b2", "b3", "b4", "f1", "j2", "vp", "p3"]
@@ -76,7 +77,8 @@ def pricing_noise_cleanup(
     )
     admins = relations.filter(F.col("relation_type") == ADMIN).select("source")
     sold_by_admin = (F.col("so_number") == F.col("source")) & (F.col("sales_qty") > 0)
-    final = kept.join(admins, sold_by_admin, "left_anti")
+    # Written, as it is both the result and the bound of the returns.
+    final = cut_lineage(kept.join(admins, sold_by_admin, "left_anti"))
     start = final.agg(F.min("priced_on")).scalar()
     returned = (
         pickups.filter((F.col("pickup_type") == 9) & (F.coalesce("deleted", F.lit(0)) == 0))
