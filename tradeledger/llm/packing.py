@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -173,12 +174,13 @@ def powers(pieces: list[tuple[int, int, int]], longest: int):
 def pack_documents(
     docs: DataFrame, definition: str, end_id: int = 1, tiers: tuple[int, ...] = TIERS, id_column: str = "doc_id"
 ) -> DataFrame:
-    """Rows of pieces: id, start, length, ids, doc_tokens, sequence_id, offset, tier.
+    """Rows of pieces: id, start, length, ids, doc_tokens, sequence_id, offset, tier, number.
 
     ``definition`` is the JSON of a tokenizer that drops white space and lowers case; every document is
     its ids and ``end_id``. A NULL or empty text has ``end_id`` alone. ``ids`` holds little-endian
     unsigned 32-bit values. Each id lies in one piece, pieces of a sequence lie without gaps from
-    offset 0, and every sequence is a power of two long. Repeated rows are packed each.
+    offset 0, and every sequence is a power of two long. ``number`` counts the sequences of a tier in a
+    task. Repeated rows are packed each.
 
     Rows stay in their tasks: no shuffle, and a task holds about ``CHUNK_TOKENS`` tokens.
     """
@@ -189,7 +191,7 @@ def pack_documents(
     longest = max(tiers)
     schema = (
         f"`{id_column}` {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, "
-        "sequence_id bigint, offset bigint, tier int"
+        "sequence_id bigint, offset bigint, tier int, number bigint"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,23 +199,25 @@ def pack_documents(
         sequence = TaskContext.get().partitionId() << 36
         held: dict[int, tuple[object, bytes]] = {}  # number in the task: id, ids
         waiting: list[tuple[int, int, int]] = []
+        made: Counter[int] = Counter()  # sequences of each tier so far
         number, tokens, id_type = 0, 0, None
 
         def rows_of(windows) -> pa.RecordBatch:
             nonlocal sequence
-            out = [[] for _ in range(8)]
+            out = [[] for _ in range(9)]
             for tier, pieces in windows:
                 offset = 0
                 for doc, start, length in pieces:
                     name, ids = held[doc]
                     piece = ids[4 * start : 4 * (start + length)]
-                    row = (name, start, length, piece, len(ids) // 4, sequence, offset, tier)
+                    row = (name, start, length, piece, len(ids) // 4, sequence, offset, tier, made[tier])
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
                     offset += length
                 sequence += 1
-            kinds = [id_type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-            names = [id_column, "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "tier"]
+                made[tier] += 1
+            kinds = [id_type, pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 3, pa.int32(), pa.int64()]
+            names = [id_column, "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "tier", "number"]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
 
         for batch in batches:
@@ -237,22 +241,20 @@ def pack_documents(
 
 
 def balance_steps(pieces: DataFrame, step_tokens: int = 65536) -> DataFrame:
-    """Adds ``step``: sequences of one tier in groups of ``step_tokens`` tokens, over all tasks.
+    """``step`` in place of ``number``: sequences of one tier in groups of ``step_tokens`` tokens, over all tasks.
 
-    ``pieces`` must be written, as its sequence ids must not change. Sequences of a task and tier are
-    numbered in the task; the first number of each task comes from one row per task and tier.
+    ``pieces`` must be written, as its sequence ids must not change. Sequences are numbered where they
+    are packed, so only one row per task and tier, the first number of each, is shuffled; it is written,
+    and joined by its size.
     """
-    firsts = pieces.where(F.col("offset") == 0).select("sequence_id", "tier")
-    firsts = firsts.withColumn("task", F.shiftright("sequence_id", 36))
-    in_task = Window.partitionBy("task", "tier").orderBy("sequence_id")
-    numbered = firsts.withColumn("n", F.row_number().over(in_task) - 1)
-    counts = firsts.groupBy("tier", "task").agg(F.count(F.lit(1)).alias("n_task"))
+    task = F.shiftright("sequence_id", 36).alias("task")
+    counts = pieces.where(F.col("offset") == 0).groupBy("tier", task).agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("tier").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("tier", "task", F.coalesce(F.sum("n_task").over(before), F.lit(0)).alias("first"))
+    starts = cut_lineage(counts.select("tier", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))
     per_step = F.greatest(F.lit(1).cast("bigint"), F.expr(f"{step_tokens} div tier"))
-    step = F.floor((F.col("first") + F.col("n")) / per_step).cast("bigint")
-    steps = numbered.join(starts, ["tier", "task"]).select("sequence_id", step.alias("step"))
-    return pieces.join(steps, "sequence_id")
+    step = F.floor((F.col("first") + F.col("number")) / per_step).cast("bigint")
+    met = pieces.withColumn("task", task).join(starts, ["tier", "task"])
+    return met.select(*[c for c in pieces.columns if c != "number"], step.alias("step"))
 
 
 def pack_with_steps(docs: DataFrame, definition: str, step_tokens: int = 65536, **options) -> DataFrame:
