@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tradeledger import session
 from tradeledger.plans import impressions, prices, release_notes
+from tradeledger.session import cut_lineage, shared_root, stage_scope
 from tradeledger.sources import read, write
 
 
@@ -47,6 +49,42 @@ def test_file_set_by_sheet_name_or_position(tmp_path, spark):
     assert everything.count() == 5
 
 
+def test_files_of_several_layouts_are_stacked_by_name(tmp_path, spark):
+    (tmp_path / "in").mkdir()
+    files = {
+        "1 first.csv": "Part_Number,Comments\n7,x\n8,y\n",
+        "a+b.csv": "comments,part number\nz,9\n",
+        "only header.csv": "Part_Number,Extra\n",
+        "nothing.csv": "",
+        "other.txt": "part,number\n1,2\n",
+    }
+    for name, text in files.items():
+        (tmp_path / "in" / name).write_text(text)
+    got = read.stack_file_set(spark, str(tmp_path / "in"), ".csv")
+    assert rows(got, "source_file", "partnumber", "notes", "extra") == [
+        ("1 first.csv", "7", "x", None),
+        ("1 first.csv", "8", "y", None),
+        ("a+b.csv", "9", "z", None),
+    ]
+    (tmp_path / "none").mkdir()
+    assert read.stack_file_set(spark, str(tmp_path / "none"), ".csv").count() == 0
+
+
+def test_stages_go_with_their_scope(tmp_path, spark):
+    root = Path(shared_root(spark).removeprefix("file:"))
+    before = set(root.iterdir())
+    outer = cut_lineage(spark.range(3))
+    with pytest.raises(ZeroDivisionError), stage_scope(spark):
+        kept = cut_lineage(spark.range(5))
+        with stage_scope(spark):
+            assert cut_lineage(spark.range(4)).count() == 4
+        assert kept.count() == 5
+        assert len(set(root.iterdir()) - before) == 2
+        raise ZeroDivisionError
+    assert outer.count() == 3
+    assert len(set(root.iterdir()) - before) == 1
+
+
 def test_csv_with_schema(tmp_path, spark):
     (tmp_path / "x.csv").write_text("a,b\n1,2020-01-05\n,\n")
     got = read.scan_csv(spark, str(tmp_path / "x.csv"), "a int, b date")

@@ -64,6 +64,21 @@ def scan_file_set(t: Inputs):
     )
 
 
+@query(
+    "stack_file_set",
+    """SELECT s_suppkey::VARCHAR AS key, s_name AS name, NULL AS notes FROM {supplier}
+       UNION ALL SELECT c_custkey::VARCHAR, c_name, c_mktsegment FROM {customer}""",
+)
+def stack_file_set(t: Inputs):
+    path = scratch_path(t.spark, "files")
+    t.supplier.select(F.col("s_suppkey").alias("Key"), F.col("s_name").alias("Na_me")).write.csv(f"{path}/one", header=True)
+    customers = t.customer.select(
+        F.col("c_name").alias("NAME"), F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("Comments")
+    )
+    customers.write.csv(f"{path}/two", header=True)
+    return read.stack_file_set(t.spark, path, ".csv").select("key", "name", "notes")
+
+
 @query("normalise_headers", "SELECT p_partkey AS ppartkey, p_name AS partname, p_brand AS notes FROM {part}")
 def normalise_headers(t: Inputs):
     return read.normalise_headers(

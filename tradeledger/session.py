@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Paths of the innermost open ``stage_scope``, if there is one.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("stages", default=None)
+
 
 def build_session(app: str = "tradeledger", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every plan here relies on."""
@@ -41,7 +47,30 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    written = _SCOPE.get()
+    if written is not None:
+        written.append(path)
+    return path
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the stages written inside, also after an error.
+
+    Results may read stages, so write or collect them before the scope ends. Stages of an inner scope go
+    with that one. Without a scope they stay until the caller removes the shared folder.
+    """
+    written: list[str] = []
+    token = _SCOPE.set(written)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        conf, path_of = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for name in written:
+            path = path_of(name)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,31 @@ def scan_file_set(
     )
 
 
+def stack_file_set(spark: SparkSession, folder: str, suffix: str, renames: dict[str, str] | None = None) -> DataFrame:
+    """All files of one kind below ``folder`` stacked by normalised header name, as text, with ``source_file``.
+
+    Files may differ in the order and number of their columns: they are grouped by header line, each
+    layout is read once, and columns that a layout lacks are NULL. A file with a header only adds its
+    columns, an empty one nothing. ``renames`` is that of ``normalise_headers``; two columns of a file
+    with one normalised name are an error. Header lines hold no line breaks.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}")
+    path = F.col("_metadata.file_path")
+    lines = files.text(folder).select(path.alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+    # The first block of a file lies in one partition, in order.
+    numbered = lines.where("start = 0").withColumn("line", F.monotonically_increasing_id())
+    headers = numbered.groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    layouts = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header")
+    name = F.regexp_extract(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "[^/]+$", 0)
+    parts = []
+    # The driver holds file names, as it does for any scan; a layout is a distinct header.
+    for layout in layouts.collect():
+        rows = spark.read.csv([unquote(p) for p in layout["paths"]], header=True)
+        found = normalise_headers(rows.withColumn("sourcefile", name), renames)
+        parts.append(found.withColumnRenamed("sourcefile", "source_file"))
+    return append_ragged(*parts) if parts else spark.createDataFrame([], "source_file string")
+
+
 def normalise_headers(df: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
     """Lower-case names without blanks and underscores; ``comments`` becomes ``notes``."""
     renames = {"comments": "notes"} if renames is None else renames
