@@ -119,7 +119,7 @@ class Pool:
     def fill(self, gap: int) -> list[tuple[int, int, int]]:
         """Pieces for a gap: the longest that fit, then the start of the shortest that does not."""
         out = []
-        while gap and self.pieces:
+        while gap > 0 and self.pieces:
             at = bisect_right(self.lengths, gap) - 1
             doc, start, length = self.take(max(at, 0))
             used = min(length, gap)
@@ -143,9 +143,12 @@ def pack(pieces: list[tuple[int, int, int]], tiers: tuple[int, ...]):
     pool, total = Pool(rest), sum(p[2] for p in rest)
     for tier in sorted(tiers, reverse=True):
         shorter = max((t for t in tiers if t < tier), default=0)
-        while total >= tier and pool.lengths[-1] > shorter:
-            first = pool.take(len(pool) - 1)
-            windows.append((tier, [first, *pool.fill(tier - first[2])]))
+        while total >= tier and pool.pieces and pool.lengths[-1] > shorter:
+            doc, start, length = pool.take(len(pool) - 1)
+            used = min(length, tier)
+            if used < length:  # A longer tier could not be filled any more.
+                pool.put((doc, start + used, length - used))
+            windows.append((tier, [(doc, start, used), *pool.fill(tier - used)]))
             total -= tier
     return windows, pool.pieces
 
