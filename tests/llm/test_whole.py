@@ -1,8 +1,12 @@
 """Cases in which a text operator once did less than its whole job."""
 
+import random
+
+import brute
 import pytest
 
-from tradeledger.llm import packing
+from tradeledger.llm import packing, repeats
+from tradeledger.llm.batches import prepare
 
 
 @pytest.mark.parametrize("beside", [0, 1, 50, 255, 300])
@@ -24,3 +28,27 @@ def test_pack_single_documents_of_any_length(beside):
                 assert start == at
                 at += n
             assert at == whole
+
+
+def test_repeats_gather_no_large_fingerprint(spark, monkeypatch):
+    """A notice shorter than the window with unique text around it; a third of the texts share one long passage."""
+    prepare(spark)
+    pick = random.Random(8)
+
+    def letters(n):
+        return "".join(pick.choice("abcdefgh ") for _ in range(n))
+
+    notice, passage = letters(40), letters(70)
+    rows = [(i, letters(60 + i % 7) + (passage if i % 3 == 0 else notice) + letters(60)) for i in range(90)]
+    gathered, compare = [], repeats.compare
+
+    def counting(found, length):
+        gathered.extend(r["count"] for r in found.groupBy("k").count().collect())
+        return compare(found, length)
+
+    monkeypatch.setattr(repeats, "compare", counting)
+    found = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=50, reach=20, group=5)
+    out = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, brute.sha(bytes(r.kept))) for r in found.collect()]
+    assert sorted(out) == sorted(brute.without_repeats(rows, 50))
+    assert any(r[2] for r in out) and not all(r[2] for r in out)
+    assert max(gathered, default=0) <= 5

@@ -25,7 +25,7 @@ from tradeledger.session import cut_lineage
 #: Bytes a task hashes at a time; a longer text is hashed alone.
 BLOCK_BYTES = 2_000_000
 
-#: Contexts of one fingerprint that one task compares; more are dealt out by window hash.
+#: Contexts of one fingerprint that one task compares; windows of more are counted by hash over all tasks.
 GROUP_CONTEXTS = 20_000
 
 
@@ -163,7 +163,7 @@ class IndexFamily:
 
 
 def contexts(texts: DataFrame, length: int) -> DataFrame:
-    """One row per context listed in ``edges`` of rows (key, text, edges), and per salt, with its bytes."""
+    """One row per context listed in ``edges`` of rows (key, text, edges), with its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,18 +171,53 @@ def contexts(texts: DataFrame, length: int) -> DataFrame:
             for key, text, edges in zip(
                 batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2).to_pylist(), strict=True
             ):
-                for e in edges:
-                    part = text[e["lo"] : e["hi"] + length]
-                    rows += [(key, e["k"], e["places"], e["lo"], e["salts"], i, part) for i in range(e["salts"])]
-            names = ["key", "k", "places", "lo", "salts", "salt", "bytes"]
-            kinds = [*[pa.int64()] * 6, pa.binary()]
-            columns = zip(*rows, strict=True) if rows else [[]] * 7
+                rows += [(key, e["k"], e["places"], e["lo"], text[e["lo"] : e["hi"] + length]) for e in edges]
+            names = ["key", "k", "places", "lo", "bytes"]
+            kinds = [*[pa.int64()] * 4, pa.binary()]
+            columns = zip(*rows, strict=True) if rows else [[]] * 5
             arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return texts.mapInArrow(
-        run, "key bigint, k bigint, places bigint, lo bigint, salts bigint, salt bigint, bytes binary"
-    )
+    return texts.mapInArrow(run, "key bigint, k bigint, places bigint, lo bigint, bytes binary")
+
+
+def window_rows(texts: DataFrame, length: int) -> DataFrame:
+    """(hash, key, at, alone) for each window of the contexts listed in ``edges`` of rows (key, text, edges)."""
+
+    def columns_of(key: int, text: bytes, edges: list[dict]):
+        prefix = Prefixes(np.frombuffer(text, np.uint8))
+        for e in edges:
+            n = e["hi"] + 1 - e["lo"]
+            hashes = prefix.sliding(e["lo"], e["hi"] + 1, length).view(np.int64)
+            yield hashes, np.full(n, key, np.int64), np.arange(e["lo"], e["hi"] + 1), np.full(n, e["places"] == 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(held):
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["hash", "key", "at", "alone"])
+
+        held, size = [], 0
+        for batch in batches:
+            for row in zip(
+                batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2).to_pylist(), strict=True
+            ):
+                for part in columns_of(*row):
+                    held.append(part)
+                    size += len(part[0])
+                    if size >= BLOCK_BYTES // 8:
+                        yield out(held)
+                        held, size = [], 0
+        if held:
+            yield out(held)
+
+    return texts.mapInArrow(run, "hash bigint, key bigint, at bigint, alone boolean")
+
+
+def count_windows(windows: DataFrame) -> DataFrame:
+    """(key, lo, hi) as ``compare`` gives them, from window rows counted by hash: no task holds a fingerprint."""
+    several = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    hit = windows.where("alone").join(several, "hash", "left_semi")
+    return hit.select("key", F.col("at").alias("lo"), F.col("at").alias("hi"))
 
 
 def _repeated(rows: list[tuple], length: int):
@@ -194,10 +229,6 @@ def _repeated(rows: list[tuple], length: int):
     at = np.concatenate([np.arange(b, b + c) for b, c in zip(begins, counts, strict=True)])
     own = np.repeat(np.arange(len(rows)), counts)
     hashes = Prefixes(data).sliding(0, len(data) - length + 1, length)[at]
-    salts = np.array([r["salts"] for r in rows], np.uint64)[own]
-    salt = np.array([r["salt"] for r in rows], np.uint64)[own]
-    mine = hashes % salts == salt
-    at, own, hashes = at[mine], own[mine], hashes[mine]
     _, where, n = np.unique(hashes, return_inverse=True, return_counts=True)
     alone = np.array([r["places"] == 1 for r in rows])[own]
     hit = (n[where] > 1) & alone
@@ -213,7 +244,7 @@ def _repeated(rows: list[tuple], length: int):
 
 def compare(found: DataFrame, length: int) -> DataFrame:
     """(key, lo, hi): starts of windows of single contexts that other contexts hold too."""
-    sized = found.repartition("k", "salt").sortWithinPartitions("k", "salt")
+    sized = found.repartition("k").sortWithinPartitions("k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows):
@@ -224,12 +255,12 @@ def compare(found: DataFrame, length: int) -> DataFrame:
         held, size, group = [], 0, None
         for batch in batches:
             for row in batch.to_pylist():
-                if size >= BLOCK_BYTES // 2 and (row["k"], row["salt"]) != group:
+                if size >= BLOCK_BYTES // 2 and row["k"] != group:
                     yield out(held)
                     held, size = [], 0
                 held.append(row)
                 size += len(row["bytes"])
-                group = (row["k"], row["salt"])
+                group = row["k"]
         if held:
             yield out(held)
 
@@ -268,7 +299,8 @@ def remove_repeats(
     texts have equal results, so the work is joined by text hash. Substrings are compared by 64-bit
     hashes. The remaining bytes need not be valid UTF-8.
 
-    A fingerprint with more than ``group`` contexts is dealt out over several tasks by window hash.
+    Contexts of a fingerprint that has at most ``group`` of them meet in one task; the windows of more are
+    counted by hash over all tasks.
     """
     if length < reach + 7:
         raise ValueError("length must exceed reach by the 8 bytes that an anchor is chosen by")
@@ -283,21 +315,28 @@ def remove_repeats(
     several = index.groupBy("k").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
     repeated = stage.join(index.where("places > 1").select("k", "f"), ["k", "f"], "left_semi")
     whole = repeated.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
-    salts = F.ceil(F.col("contexts") / group).cast("bigint").alias("salts")
-    edges = index.join(several, "k").select("place.key", F.struct("k", "places", "place.lo", "place.hi", salts).alias("e"))
-    edges = edges.groupBy("key").agg(F.collect_list("e").alias("edges"))
+    place = F.struct("k", "places", "place.lo", "place.hi")
+    edges = index.join(several, "k").select("place.key", (F.col("contexts") > group).alias("large"), place.alias("e"))
+    edges = edges.groupBy("key").agg(
+        F.collect_list(F.when(~F.col("large"), F.col("e"))).alias("edges"),
+        F.collect_list(F.when(F.col("large"), F.col("e"))).alias("many"),
+    )
+    edges = edges.select("key", *(F.when(F.size(c) > 0, F.col(c)).alias(c) for c in ("edges", "many")))
     listed = whole.join(edges, "key", "full")
     met = rows.join(listed, "key", "left")
-    touched = F.col("ranges").isNotNull() | F.col("edges").isNotNull()
+    touched = F.col("ranges").isNotNull() | F.col("edges").isNotNull() | F.col("many").isNotNull()
     data = F.col("text").cast("binary")
     done = F.when(~touched, F.sha2(data, 256) if digest else data)
     met = cut_lineage(
         met.select("id", "key", F.octet_length("text").cast("bigint").alias("n_bytes"), done.alias("whole"),
-                   F.when(touched, F.col("text")).alias("text"), "ranges", "edges")
+                   F.when(touched, F.col("text")).alias("text"), "ranges", "edges", "many")
     )
     # Equal texts need to be compared once.
     open_texts = met.where("edges is not null").select("key", "text", "edges").dropDuplicates(["key"])
-    more = compare(contexts(open_texts, length), length).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("more"))
+    many_texts = met.where("many is not null").select("key", "text", F.col("many").alias("edges")).dropDuplicates(["key"])
+    windows = cut_lineage(window_rows(many_texts, length))
+    hits = compare(contexts(open_texts, length), length).union(count_windows(windows))
+    more = hits.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("more"))
     final = met.where("text is not null").join(more, "key", "left")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
