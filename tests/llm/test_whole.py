@@ -5,7 +5,7 @@ import random
 import brute
 import pytest
 
-from tradeledger.llm import packing, repeats
+from tradeledger.llm import packing, repeats, textrules
 from tradeledger.llm.batches import prepare
 
 
@@ -52,3 +52,27 @@ def test_repeats_gather_no_large_fingerprint(spark, monkeypatch):
     assert sorted(out) == sorted(brute.without_repeats(rows, 50))
     assert any(r[2] for r in out) and not all(r[2] for r in out)
     assert max(gathered, default=0) <= 5
+
+
+def test_text_rules_reject_repeated_short_lines(spark):
+    """40 to 60 % duplicate short lines in a clean group; one repeated heading in a short text is no fault."""
+    prepare(spark)
+    pick = random.Random(5)
+
+    def words(n):
+        return " ".join("".join(pick.choice("abcdefghij") for _ in range(pick.randint(3, 7))) for _ in range(n))
+
+    rows = [(i, "\n".join(words(12) for _ in range(10))) for i in range(200)]
+    # Short lines come again, with other lines between: 40, 45, 50 and 60 % of the lines.
+    for i, (short, times) in enumerate([(1, 5), (1, 10), (2, 4), (2, 10)]):
+        blocks = ["\n".join(["read more", "next page"][:short] + [words(12)]) for _ in range(times)]
+        rows.append((1000 + i, "\n".join(blocks)))
+    heading = words(8)
+    rows.append((2000, "\n".join([heading, words(45), heading, words(45)])))
+    frame = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r for r in textrules.judge_texts(frame).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert [found[1000 + i].kept for i in range(4)] == [False] * 4
+    assert found[2000].n_dup_lines == 1 and found[2000].n_repeat_words > 0 and found[2000].kept
+    assert all(found[i].kept for i in range(200))
+    assert abs(textrules.consistency(0.75) - 1.4865) < 0.001

@@ -7,6 +7,7 @@ from it by Mahalanobis distance are rejected. DataFrame functions only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -22,9 +23,21 @@ SYMBOLS = "#*$%&|<>"
 #: The transformed statistics, in order.
 FEATURES = ("word_length", "symbol_share", "line_share", "repeat_share")
 
-#: Added to variances: the scatter granted to a statistic that is nearly constant in a group. Rates of repeats
-#: get more, as one repeated heading in a short text is no fault.
-RIDGE = (0.02, 0.0025, 0.04, 0.04)
+#: Added to variances, a floor for statistics that are constant in a group: a share of a sixteenth alone has
+#: a squared distance of 25 there. One repeated heading is no fault and is taken out of the statistics instead.
+RIDGE = (0.0025, 0.0025, 0.0025, 0.0025)
+
+
+def consistency(share: float) -> float:
+    """What a covariance of the central ``share`` of normal rows of four statistics is multiplied by.
+
+    share / F6(q), q the chi-square quantile of four degrees of freedom, F6 the distribution of six.
+    """
+    low, high = 0.0, 100.0
+    for _ in range(60):
+        half = (low + high) / 4
+        low, high = (2 * half, high) if 1 - math.exp(-half) * (1 + half) < share else (low, 2 * half)
+    return share / (1 - math.exp(-low / 2) * (1 + low / 2 + low * low / 8))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -79,8 +92,23 @@ def repeated_lines(text: Column) -> Column:
     return let(filled, lambda lines: F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint")
 
 
+def heading_words(text: Column) -> Column:
+    """Words of the longest line that the text repeats, in two places; 0 without a repeated line."""
+    filled = F.filter(F.split(text, "\n"), lambda line: F.translate(line, BLANKS, "") != "")
+
+    def of_sorted(lines: Column) -> Column:
+        again = F.filter(lines, lambda line, i: (i > 0) & (line == F.get(lines, i - 1)))
+        return F.array_max(F.transform(again, lambda line: F.size(words_of(line))))
+
+    def of_lines(lines: Column) -> Column:
+        some = F.size(lines) > F.size(F.array_distinct(lines))
+        return F.when(some, 2 * let(F.sort_array(lines), of_sorted)).otherwise(F.lit(0))
+
+    return let(filled, of_lines).cast("bigint")
+
+
 def text_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
+    """Columns ``keep`` with n_words, word_chars, n_symbols, n_dup_lines, n_lines, n_repeat_words, heading_words and base_failed."""
     rows = pick(docs, *dict.fromkeys([*keep, "text"]))
     text = F.coalesce("text", F.lit(""))
     words = let(words_of(text), lambda w: F.struct(F.size(w).cast("bigint").alias("n"), repeated_words(w).alias("r")))
@@ -93,34 +121,37 @@ def text_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
         symbols.alias("n_symbols"),
         repeated_lines(text).alias("n_dup_lines"),
         (F.size(F.split(text, "\n"))).cast("bigint").alias("n_lines"),
+        heading_words(text).alias("heading_words"),
     )
     failed = (F.col("w.n") < 10) | (100 * F.col("w.r") > 20 * F.col("w.n"))
     return out.select(
         *keep, F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", "n_lines",
-        F.col("w.r").alias("n_repeat_words"), failed.alias("base_failed"),
+        F.col("w.r").alias("n_repeat_words"), "heading_words", failed.alias("base_failed"),
     )
 
 
 def _features(stats: DataFrame) -> DataFrame:
-    """Logarithms and square roots of rates."""
+    """Logarithms and square roots of rates; one repeated heading is left out of both rates of repeats."""
+    more_lines = F.greatest(F.col("n_dup_lines") - 1, F.lit(0))
+    more_words = F.greatest(F.col("n_repeat_words") - F.col("heading_words"), F.lit(0))
     words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
     return stats.withColumns(
         {
             "word_length": F.log1p(F.col("word_chars") / words),
             "symbol_share": F.sqrt(F.col("n_symbols") / F.greatest("word_chars", F.lit(1))),
-            "line_share": F.sqrt(F.col("n_dup_lines") / lines),
-            "repeat_share": F.sqrt(F.col("n_repeat_words") / words),
+            "line_share": F.sqrt(more_lines / lines),
+            "repeat_share": F.sqrt(more_words / words),
         }
     )
 
 
-def _scatter(rows: DataFrame, groups: list[str]) -> DataFrame:
-    """Mean and covariance per group, with the ridge, as columns m0.. and c00.."""
+def _scatter(rows: DataFrame, groups: list[str], factor: float) -> DataFrame:
+    """Mean and covariance times the factor per group, with the ridge, as columns m0.. and c00.."""
     aggs = [F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)]
     for i, f in enumerate(FEATURES):
         for j in range(i + 1):
             value = F.covar_pop(f, FEATURES[j])
-            aggs.append((F.coalesce(value, F.lit(0.0)) + (RIDGE[i] if i == j else 0.0)).alias(f"c{i}{j}"))
+            aggs.append((factor * F.coalesce(value, F.lit(0.0)) + (RIDGE[i] if i == j else 0.0)).alias(f"c{i}{j}"))
     return rows.groupBy(*groups).agg(*aggs)
 
 
@@ -155,7 +186,8 @@ def robust_scatter(rows: DataFrame, groups: list[str], share: float = 0.75, step
 
     The first subset is the share of rows nearest to the medians; each concentration step keeps the
     share nearest to the centre of the last subset, which cannot raise the determinant. Shares are cut
-    at approximate quantiles, sums are combined before the shuffle: no task holds a group.
+    at approximate quantiles, sums are combined before the shuffle: no task holds a group. The scatter of
+    the subset is scaled to that of all rows.
     """
     median = [F.percentile_approx(f, 0.5, 1000).alias(f"m{i}") for i, f in enumerate(FEATURES)]
     scale = [F.lit(0.0 if i != j else RIDGE[i] ** 0.5).alias(f"l{i}{j}") for i in range(len(FEATURES)) for j in range(i + 1)]
@@ -166,7 +198,7 @@ def robust_scatter(rows: DataFrame, groups: list[str], share: float = 0.75, step
         limit = limit.toDF(*(f"__{g}" for g in groups), "_limit")
         on = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in groups]
         nearest = far.join(limit, on).where(F.col("_d") <= F.col("_limit"))
-        factors = cut_lineage(_factored(_scatter(nearest, groups), groups))
+        factors = cut_lineage(_factored(_scatter(nearest, groups, consistency(share)), groups))
     return factors
 
 
@@ -178,7 +210,8 @@ def judge_texts(
 ) -> DataFrame:
     """Columns ``keep`` (id by default) with the statistics, base_failed, distance and kept.
 
-    A row is kept if the fixed limits hold and its squared distance is at most ``most``. Centre and
+    A row is kept if the fixed limits hold and its squared distance is at most ``most``: 25 is the
+    chi-square quantile of four degrees of freedom that one normal row in 20,000 exceeds. Centre and
     scatter are those of the rows of its group that pass the limits; NULL is a group like any other.
     A NULL text has no words and fails, and so has no say in the estimate; a group of one row or of
     equal rows has the ridge as scatter. Repeated rows are judged each, and count each.
@@ -190,4 +223,4 @@ def judge_texts(
     small = passed.select(*groups, *FEATURES)
     judged = _distance(stats, robust_scatter(small, list(groups)), list(groups), "distance")
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= most, F.lit(True))
-    return judged.withColumn("kept", kept).drop(*FEATURES)
+    return judged.withColumn("kept", kept).drop(*FEATURES, "heading_words")
