@@ -5,7 +5,7 @@ import random
 import brute
 import pytest
 
-from tradeledger.llm import packing, repeats, textrules
+from tradeledger.llm import packing, repeats, secrets, textrules
 from tradeledger.llm.batches import prepare
 
 
@@ -76,3 +76,15 @@ def test_text_rules_reject_repeated_short_lines(spark):
     assert found[2000].n_dup_lines == 1 and found[2000].n_repeat_words > 0 and found[2000].kept
     assert all(found[i].kept for i in range(200))
     assert abs(textrules.consistency(0.75) - 1.4865) < 0.001
+
+
+def test_secret_in_many_documents_of_one_owner(spark):
+    """One value in 100 documents of one source, 40 of them copies; one in the texts of three sources."""
+    prepare(spark)
+    own, shared = "Xk3vQ9zLm2PwT7rBn4Yc", "aB3dE6gH9jK2mN5pQ8sT"
+    rows = [(i, f"page {min(i, 60)} uses {own} here", "s") for i in range(100)]
+    rows += [(200 + i, f"use {shared} here", f"s{i}") for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r.secrets for r in secrets.scan_secrets(frame).collect()}
+    assert all([(s["kind"], s["owners"], s["repositories"], s["live"]) for s in found[i]] == [("opaque", 1, 61, True)] for i in range(100))
+    assert [found[200 + i] for i in range(3)] == [[]] * 3

@@ -1,8 +1,8 @@
 """Secret scans: candidates by pattern, told apart by how many owners hold the same value.
 
 Fixed kinds of candidates are always reported. Further opaque tokens are candidates too: they are
-reported only if few owners and few repositories hold the same value, as a credential in use does;
-a value that many of them hold is a copied example. Only hashes of values leave the scan.
+reported only if few owners hold the same value, as a credential in use does, in however many of their
+texts; a value that many owners hold is a copied example. Only hashes of values leave the scan.
 """
 
 from __future__ import annotations
@@ -92,27 +92,28 @@ def scan_secrets(
     docs: DataFrame,
     id_column: str = "doc_id",
     owner: str = "source",
-    repository: str = "doc_id",
+    repository: str | None = None,
     most_owners: int = 2,
-    most_repositories: int = 5,
 ) -> DataFrame:
     """One row per row of docs: the id and ``secrets``, sorted by start and kind.
 
     A secret has kind, start, end (code points, end exclusive), owners, repositories and ``live``:
-    true if at most ``most_owners`` owners and ``most_repositories`` repositories hold its value.
-    Opaque tokens are listed only if live. Repositories are counted per owner: equal names under two
-    owners are two. A NULL or empty text has no secrets; repeated rows get a row each.
+    true if at most ``most_owners`` owners hold its value. Opaque tokens are listed only if live.
+    Repositories are counted per owner: equal names under two owners are two. Without a ``repository``
+    column they are the distinct texts, so copies count once; their number is told and decides nothing.
+    A NULL or empty text has no secrets; repeated rows get a row each.
     """
-    rows = pick(docs, *dict.fromkeys([id_column, "text", owner, repository]))
+    rows = pick(docs, *dict.fromkeys([id_column, "text", owner, *([repository] if repository else [])]))
+    place = F.col(repository) if repository else F.xxhash64("text")
     rows = rows.select(
-        F.col(id_column).alias("id"), "text", F.col(owner).alias("owner"), F.col(repository).alias("repository")
+        F.col(id_column).alias("id"), "text", F.col(owner).alias("owner"), place.alias("repository")
     )
     found = scan(rows, ["id", "owner", "repository"])
     # Row numbers are fixed by the written stage, so every later reading agrees on them.
     stage = cut_lineage(found.withColumn("row", F.monotonically_increasing_id()))
     held = ownership(stage)
     spans = stage.where(F.size("found") > 0).select("row", F.explode("found").alias("s"))
-    live = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
+    live = F.col("owners") <= most_owners
     judged = (
         spans.withColumn("value", F.col("s.value"))
         .join(held, "value")
