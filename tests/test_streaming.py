@@ -24,3 +24,28 @@ def test_stream_appends_each_impression_once(tmp_path, spark):
     names = ["anonymous_id", "impression_index", "listing_id"]
     assert rows(got, *names) == rows(impression_flatten(want), *names)
     assert {(r["anonymous_id"], r["local_day"].day) for r in got.collect()} == {("a", 2), ("b", 1), ("c", 1)}
+
+
+def test_stream_keeps_good_batches_beside_others_of_their_key(tmp_path, spark):
+    """Batches of another location, unreadable, empty and NULL ones share user and time with good ones."""
+    source, target, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    good = json.dumps([{"section_name": "Doctors", "listing_id": "1"}])
+    others = [("Away", good), ("Home", "no json"), ("Home", "[]"), ("Home", None)]
+    data = []
+    for i in range(40):
+        pair = [("Home", good), others[i % 4]]
+        data += [(place, "r", dt.datetime(2020, 7, 2, 12), f"u{i}", events) for place, events in pair[:: 1 if i % 8 < 4 else -1]]
+    spark.createDataFrame(data, BATCH_SCHEMA).coalesce(1).write.parquet(source)
+    append_impressions(read_batches(spark, source), target, marks).awaitTermination()
+    got = spark.read.parquet(target)
+    assert rows(got, "anonymous_id", "location") == sorted((f"u{i}", "Home") for i in range(40))
+    assert spark.read.parquet(f"{target}-rejects").count() == 10
+
+
+def test_stream_of_all_locations_keeps_each(tmp_path, spark):
+    source, target, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    good = json.dumps([{"section_name": "Doctors", "listing_id": "1"}])
+    for place in ("Home", "Away"):
+        spark.createDataFrame([(place, "r", dt.datetime(2020, 7, 2, 12), "u", good)], BATCH_SCHEMA).write.mode("append").parquet(source)
+        append_impressions(read_batches(spark, source), target, marks, location=None).awaitTermination()
+    assert rows(spark.read.parquet(target), "location") == [("Away",), ("Home",)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeledger.functions.dates import local_date
-from tradeledger.plans.impressions import impression_flatten, malformed_batches
+from tradeledger.plans.impressions import event_rows, impression_flatten, malformed_batches
 
 BATCH_SCHEMA = (
     "location string, region_name string, batch_time timestamp, anonymous_id string, events string"
@@ -34,18 +34,20 @@ def append_impressions(
 ) -> StreamingQuery:
     """Append the impressions of all new batches, one partition per local day, then stop.
 
-    A batch is known by user and time. Those sent again are dropped before they are unnested: within
-    a run by their key, and against the partitions of the days in question, so a batch of any age
-    reaches its day and no state is kept between runs. A run that is repeated after a failure finds
-    what it wrote. Batches that cannot be read are appended to ``rejects`` (``target`` and
-    "-rejects" by default).
+    A batch is known by user, time and location. Of the batches of the location that hold impressions,
+    those sent again are dropped before they are unnested: within a run by their key, and against the
+    partitions of the days in question, so a batch of any age reaches its day and no state is kept
+    between runs. A run that is repeated after a failure finds what it wrote. Batches that cannot be
+    read are appended to ``rejects`` (``target`` and "-rejects" by default).
     """
-    key = ["anonymous_id", "batch_time"]
+    key = ["anonymous_id", "batch_time", "location"]
     refused = rejects or f"{target}-rejects"
 
     def write(arrived: DataFrame, _: int) -> None:
         day = local_date(F.col("batch_time").cast("timestamp_ntz"), tz)
-        once = arrived.withColumn("local_day", day).dropDuplicates(key)
+        chosen = arrived if location is None else arrived.filter(F.col("location") == location)
+        # Unreadable and empty batches must not stand for a good one of the same key.
+        once = chosen.filter(F.size(event_rows()) > 0).withColumn("local_day", day).dropDuplicates(key)
         if _exists(arrived.sparkSession, target):
             days = once.select("local_day").distinct()
             known = arrived.sparkSession.read.parquet(target).join(days, "local_day", "left_semi").select(*key).distinct()
