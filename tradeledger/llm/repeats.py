@@ -1,8 +1,8 @@
-"""Removal of long byte strings that occur more than once, by a family of sparse suffix arrays.
+"""Removal of long byte strings that occur more than once, by content-defined anchors.
 
-A suffix is kept for each position whose 8 bytes have the least hash among those that follow some
+No suffix array is built and nothing is sorted as text. A suffix is kept for each position whose 8 bytes have the least hash among those that follow some
 start: every string of ``length`` bytes holds such an anchor, at the same place wherever it occurs.
-A run of the family is sorted by a fingerprint of the first bytes of the suffix (all suffixes with
+A run of the family is grouped by a fingerprint of the first bytes of the suffix (all suffixes with
 fewer in common are of no interest) and by one of its whole context, with the number of places and
 one of them. New batches become runs of level 0; two runs of a level are merged into one of the next.
 A merge adds up places, so at the end each context has its total. Suffixes of one fingerprint whose
