@@ -3,9 +3,10 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 
-from tradeledger.llm import packing, repeats, secrets, textrules
+from tradeledger.llm import neardup, packing, repeats, secrets, textrules
 from tradeledger.llm.batches import prepare
 
 
@@ -88,3 +89,21 @@ def test_secret_in_many_documents_of_one_owner(spark):
     found = {r.doc_id: r.secrets for r in secrets.scan_secrets(frame).collect()}
     assert all([(s["kind"], s["owners"], s["repositories"], s["live"]) for s in found[i]] == [("opaque", 1, 61, True)] for i in range(100))
     assert [found[200 + i] for i in range(3)] == [[]] * 3
+
+
+def test_tables_of_a_bucket_are_bounded(monkeypatch):
+    """Short template texts, ten shingles each and three of their own, in small tables on both sides."""
+    monkeypatch.setattr(neardup, "CELLS", 5000)
+    sets = [np.array([*range(7), *range(100 + 3 * i, 103 + 3 * i)], np.int64) for i in range(300)]
+    made, zeros, sizes = [], np.zeros, np.zeros((300, 300), np.int64)
+
+    def counting(shape, *args):
+        made.append(int(np.prod(shape)))
+        return zeros(shape, *args)
+
+    monkeypatch.setattr(neardup.np, "zeros", counting)
+    for row, column, table in neardup._common(sets, sets):
+        made.append(table.size)
+        sizes[row : row + table.shape[0], column : column + table.shape[1]] += table.astype(np.int64)
+    assert (sizes == np.where(np.eye(300, dtype=bool), 10, 7)).all()
+    assert max(made) <= 5000

@@ -159,11 +159,14 @@ def _distinct_buckets(members: DataFrame) -> DataFrame:
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Sizes of all intersections as tables, with the first row and column of each."""
+    """Sizes of all intersections as tables, with the first row and column of each.
+
+    No table has more than CELLS cells, unless one row alone does.
+    """
     at = 0
     while at < len(left):
-        end, size = at, 0
-        while end < len(left) and (end == at or size + len(left[end]) <= 100_000):
+        end, size = at + 1, len(left[at])
+        while end < len(left) and size + len(left[end]) <= 100_000 and (end + 1 - at) * (size + len(left[end])) <= CELLS:
             size += len(left[end])
             end += 1
         part = left[at:end]
@@ -171,7 +174,7 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[i
         rows = np.zeros((len(part), len(terms)), np.float32)
         for row, found in zip(rows, part, strict=True):
             row[np.searchsorted(terms, found)] = 1
-        step = max(1, CELLS // len(terms))
+        step = max(1, CELLS // max(len(terms), len(part)))
         for first in range(0, len(right), step):
             others = right[first : first + step]
             table = np.zeros((len(others), len(terms)), np.float32)
