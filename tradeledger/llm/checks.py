@@ -1,5 +1,14 @@
-"""DuckDB texts of the queries that SQL expresses."""
+"""DuckDB texts of the queries that SQL expresses in full."""
 
 from __future__ import annotations
 
 CHECKS: dict[str, str] = {}
+
+CHECKS["op11_exact"] = r"""
+WITH t AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size,
+  doc_id = first_value(doc_id) OVER w AS kept, sha256(plain) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY plain ORDER BY chars DESC, doc_id)"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeledger.llm import decontaminate, linedup, neardup, packing, quality, repeats, secrets, textrules, toxicity, urlrules
+from tradeledger.llm import decontaminate, exactdedup, linedup, neardup, packing, quality, repeats, secrets, textrules, toxicity, urlrules
 from tradeledger.llm.batches import prepare
 from tradeledger.llm.checks import CHECKS
 from tradeledger.session import apply_skew_settings
@@ -114,3 +114,8 @@ def op9_repeats(read) -> DataFrame:
 def op10_toxicity(read) -> DataFrame:
     scored = toxicity.score_toxicity(read("documents"), read("labels"), keep=["doc_id"])
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op11_exact(read) -> DataFrame:
+    return exactdedup.exact_duplicates(read("documents"))
