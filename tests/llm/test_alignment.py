@@ -141,3 +141,23 @@ def test_lanes_change_nothing(lane, seek):
     for i in (0, 2):
         assert sorted(zip(whole[i].tolist(), whole[i + 1].tolist())) == sorted(zip(cut[i].tolist(), cut[i + 1].tolist()))
     assert set(ends_a[whole[2]].tolist()) == set(ends_a.tolist()) & set(ends_b.tolist())
+
+
+def test_words_give_the_ids_of_whole_texts(monkeypatch):
+    """Random mixtures of letters, marks, digits and every kind of blank; a memory of a few words."""
+    monkeypatch.setattr(alignment, "CACHE_WORDS", 50)
+    words, encode = alignment.WordIds(*alignment.tokenizer_files()), tokens_of()
+    assert words.by_word
+    pick = random.Random(4)
+    parts = [
+        "a", "word", "Ab", "7", "12", "'s", "'", "!", "é", "x́", "日", "\U0001f600", "<s>", "▁", "\x1c", "\x85", "\xa0",
+        " ", "　", "​", "\n", "\t", "\r", "\x00", " ", " ", " ", " ", " ", " ", " ",
+    ]
+    texts = ["".join(pick.choices(parts, k=pick.randrange(1, 40))) for _ in range(3000)]
+    for at in range(0, len(texts), 100):
+        batch = texts[at : at + 100]
+        for text, found in zip(batch, words.of(batch), strict=True):
+            a, b, bytes_a, bytes_b = encode(text)
+            lost = b"".join(bytes_a) != b" " + text.encode() or b"".join(bytes_b) != b" " + text.encode()
+            want = ([], []) if lost else (a, b)
+            assert tuple(np.frombuffer(x, np.uint32).tolist() for x in found) == want, text

@@ -14,7 +14,10 @@ the sums of its own pairs back, so the pairs of single documents are never shuff
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -31,10 +34,13 @@ from tradeledger.session import cut_lineage
 LANE, SEEK = 256, 64
 
 #: Bytes of text that a task tokenizes and merges at a time; a longer text is taken alone.
-BLOCK_BYTES = 1_000_000
+BLOCK_BYTES = 500_000
+
+#: Words of at most so many characters whose ids a worker remembers; beyond it only those of the batch stay.
+CACHE_WORDS, CACHE_CHARS = 100_000, 32
 
 #: Distinct pairs of documents that a chunk holds; a document with more is a chunk of its own.
-CHUNK_PAIRS = 3_000_000
+CHUNK_PAIRS = 1_000_000
 
 
 # ------------------------------------------------------------------ the two tokenizers
@@ -62,6 +68,11 @@ class ByteLevel:
             token = self.tokenizer.id_to_token(i) or ""
             known = all(c in names for c in token)
             self.tokens.append(bytes(names[c] for c in token) if known else token.encode())
+        parts = json.loads(definition)
+        before = parts.get("pre_tokenizer") or {}
+        plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        #: Tokens of the kind's pattern hold a space only in front, or blanks alone.
+        self.by_word = bool(plain) and not parts.get("normalizer")
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         found = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
@@ -80,19 +91,73 @@ class Pieces:
             piece = self.model.id_to_piece(i)
             byte = self.model.is_byte(i)
             self.tokens.append(bytes([int(piece[3:5], 16)]) if byte else piece.replace("▁", " ").encode())
+        #: No piece goes on after a space that follows other characters, so no merge crosses one.
+        self.by_word = not any("▁" in self.model.id_to_piece(i).lstrip("▁") for i in range(len(self.tokens)))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
 
-_LOADED: dict[tuple[type, int], ByteLevel | Pieces] = {}
+#: A single space between characters that are not blank: tokens of both kinds end there.
+_WORD_END = re.compile(r"(?<=\S) (?=\S)")
+
 
+class WordIds:
+    """Ids of both tokenizers for a text's words, each with the space before it, as 32-bit values.
+
+    Both tokenizers cut the text at single spaces between other characters, so the ids of a text are
+    those of its words. Tokenizers without this property (``by_word``) get the whole text as one word.
+    """
 
-def _load(kind: type, definition: bytes):
-    """One of each per worker, kept between tasks."""
-    key = (kind, hash(definition))
+    def __init__(self, first: bytes, second: bytes):
+        self.one, self.two = ByteLevel(first), Pieces(second)
+        self.by_word = self.one.by_word and self.two.by_word
+        self.known_a: dict[str, bytes] = {}
+        self.known_b: dict[str, bytes] = {}
+        #: Words that one of the tokenizers does not give back.
+        self.lost: set[str] = set()
+
+    def _learn(self, met: set[str]) -> list[str]:
+        """Learn new words; gives those too long to be remembered after this batch."""
+        new = met.difference(self.known_a)
+        if len(self.known_a) + len(new) > CACHE_WORDS:
+            # The words of this batch stay, the common ones among them.
+            old = met.difference(new)
+            self.known_a, self.known_b = ({w: k[w] for w in old} for k in (self.known_a, self.known_b))
+            self.lost &= old
+        words = list(new)
+        tokens_a, tokens_b = self.one.tokens, self.two.tokens
+        for word, a, b in zip(words, self.one.encode(words), self.two.encode(words), strict=True):
+            whole = b" " + word.encode()
+            if b"".join([tokens_a[i] for i in a]) != whole or b"".join([tokens_b[i] for i in b]) != whole:
+                self.lost.add(word)
+            self.known_a[word] = array("I", a).tobytes()
+            self.known_b[word] = array("I", b).tobytes()
+        return [w for w in words if len(w) > CACHE_CHARS]
+
+    def of(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+        """Ids of A and B for each text; none for those without tokens."""
+        split = _WORD_END.split if self.by_word else lambda text: [text]
+        words = [split(t) if t else [] for t in texts]
+        long = self._learn(set().union(*words))
+        of_a, of_b = self.known_a.__getitem__, self.known_b.__getitem__
+        out = [
+            (b"".join(map(of_a, x)), b"".join(map(of_b, x))) if self.lost.isdisjoint(x) else (b"", b"") for x in words
+        ]
+        for word in long:
+            del self.known_a[word], self.known_b[word]
+            self.lost.discard(word)
+        return out
+
+
+_LOADED: dict[int, WordIds] = {}
+
+
+def _load(first: bytes, second: bytes) -> WordIds:
+    """One pair of tokenizers per worker, kept between tasks."""
+    key = hash((first, second))
     if key not in _LOADED:
-        _LOADED[key] = kind(definition)
+        _LOADED[key] = WordIds(first, second)
     return _LOADED[key]
 
 
@@ -172,23 +237,11 @@ class Aligned:
         return np.searchsorted(self.cuts_a, self.first_a)
 
 
-def align_batch(texts: list[str | None], one: ByteLevel, two: Pieces, sizes: tuple[np.ndarray, np.ndarray]) -> Aligned:
+def align_batch(texts: list[str | None], words: WordIds, sizes: tuple[np.ndarray, np.ndarray]) -> Aligned:
     """Tokenize and merge a batch. ``sizes``: bytes of each token of the two vocabularies."""
-    given = [t for t in texts if t]
-    found = zip(given, one.encode(given), two.encode(given), strict=True) if given else iter(())
-    ids_a, ids_b, counts_a, counts_b = [], [], [], []
-    for text in texts:
-        a, b = [], []
-        if text:
-            _, a, b = next(found)
-            whole = b" " + text.encode()
-            if b"".join(map(one.tokens.__getitem__, a)) != whole or b"".join(map(two.tokens.__getitem__, b)) != whole:
-                a, b = [], []
-        ids_a.append(np.array(a, np.int64))
-        ids_b.append(np.array(b, np.int64))
-        counts_a.append(len(a))
-        counts_b.append(len(b))
-    a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (ids_a, ids_b))
+    found = words.of(texts)
+    a, b = (np.frombuffer(b"".join(x[i] for x in found), np.uint32).astype(np.int64) for i in (0, 1))
+    counts_a, counts_b = ([len(x[i]) // 4 for x in found] for i in (0, 1))
     first_a, first_b = (np.concatenate([[0], np.cumsum(x)]).astype(np.int64) for x in (counts_a, counts_b))
     none = np.zeros(0, np.int64)
     if not len(a):
@@ -199,8 +252,8 @@ def align_batch(texts: list[str | None], one: ByteLevel, two: Pieces, sizes: tup
     order = np.argsort(cuts_a)
     doc = np.repeat(np.arange(len(texts)), counts_a)[links_a]
     # Document, A id and B id in one number, so that one sort finds the distinct pairs of each document.
-    width = len(two.tokens)
-    room = len(one.tokens) * width
+    width = len(words.two.tokens)
+    room = len(words.one.tokens) * width
     pairs, times = np.unique(doc * room + a[links_a] * width + b[links_b], return_counts=True)
     first_pair = np.searchsorted(pairs, np.arange(len(texts) + 1) * room)
     return Aligned(
@@ -307,15 +360,15 @@ def align_tokens(
     schema = f"chunk bigint, id {kind}, {numbers}, groups {groups_ddl}, held binary, pairs array<bigint>, docs array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = _load(ByteLevel, sent.value[0]), _load(Pieces, sent.value[1])
-        sizes = tuple(np.array([len(t) for t in x.tokens], np.int64) for x in (one, two))
-        listing = Listing(max(len(one.tokens), len(two.tokens)))
+        words = _load(*sent.value)
+        sizes = tuple(np.array([len(t) for t in x.tokens], np.int64) for x in (words.one, words.two))
+        listing = Listing(max(map(len, sizes)))
         chunk, id_type = TaskContext.get().partitionId() << 32, None
         held: list[Row] = []
         pairs_held = 0
 
         def merged(names: list, texts: list[str | None]) -> Iterator[Row]:
-            made = align_batch(texts, one, two, sizes)
+            made = align_batch(texts, words, sizes)
             cuts = made.groups_of()
             written, ends = listing.of(made) if digest else (b"", None)
             for i, name in enumerate(names):
@@ -377,7 +430,7 @@ def align_tokens(
             yield flushed()
 
     stage = cut_lineage(rows.mapInArrow(run, schema))
-    known = _with_counts(stage, len(_load(Pieces, second).tokens))
+    known = _with_counts(stage, len(Pieces(second).tokens))
     found = stage.where("held is not null").drop("pairs", "docs")
     names = [f.name for f in found.schema.fields if f.name not in ("chunk", "held")]
     result = ", ".join([f"id {kind}", numbers, f"groups {groups_ddl}", "n_best bigint", "count_sum bigint"])
