@@ -12,3 +12,22 @@ WITH t AS (
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size,
   doc_id = first_value(doc_id) OVER w AS kept, sha256(plain) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY plain ORDER BY chars DESC, doc_id)"""
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+
+CHECKS["op12_search"] = f"""
+WITH word AS (SELECT doc_id, {_TERMS} AS term FROM documents),
+  size AS (SELECT doc_id, count(*) AS n FROM word GROUP BY doc_id),
+  whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM size),
+  held AS (SELECT doc_id, term, count(*) AS tf FROM word GROUP BY ALL),
+  spread AS (SELECT term, count(*) AS df FROM held GROUP BY term),
+  asked AS (SELECT DISTINCT item_id, {_TERMS} AS term FROM benchmark),
+  score AS (
+    SELECT item_id, doc_id, sum(
+      floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT
+        * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))))::BIGINT AS score
+    FROM asked JOIN held USING (term) JOIN spread USING (term) JOIN size USING (doc_id) CROSS JOIN whole
+    GROUP BY ALL HAVING score > 0)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS "rank", doc_id, score
+FROM score QUALIFY "rank" <= 10"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeledger.llm import alignment, decontaminate, exactdedup, linedup, neardup, packing, quality, repeats, secrets, textrules, toxicity, urlrules
+from tradeledger.llm import alignment, decontaminate, exactdedup, lexical, linedup, neardup, packing, quality, repeats, secrets, textrules, toxicity, urlrules
 from tradeledger.llm.batches import prepare
 from tradeledger.llm.checks import CHECKS
 from tradeledger.session import apply_skew_settings
@@ -121,6 +121,11 @@ def op11_exact(read) -> DataFrame:
     return exactdedup.exact_duplicates(read("documents"))
 
 
+@query
+def op12_search(read) -> DataFrame:
+    return lexical.rank_documents(read("documents"), read("benchmark"))
+
+
 @query
 def op13_align(read) -> DataFrame:
     first, second = alignment.tokenizer_files()
