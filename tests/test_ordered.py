@@ -25,11 +25,11 @@ def marks(spark):
     return spark.createDataFrame(data, "id int, key string, at timestamp_ntz, value int").cache()
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 300, 0])
+@pytest.mark.parametrize("hot_rows", [10**9, 300, 20])
 @pytest.mark.parametrize("current", [True, False])
 def test_carry_equals_plain_window(marks, hot_rows, current):
-    hot = ordered.hot_keys(marks, ["key"], hot_rows)
-    assert (hot is None) == (hot_rows == 10**9)
+    slices = ordered.slices_needed(marks, ["key"], hot_rows)
+    assert slices == {10**9: None, 300: 4, 20: 60}[hot_rows]
     got = ordered.carry(
         marks,
         ["key"],
@@ -38,7 +38,8 @@ def test_carry_equals_plain_window(marks, hot_rows, current):
         known={"known": "value"},
         include_current=current,
         index="n",
-        hot=hot,
+        running={"total": "value"},
+        slices=slices,
     )
     w = Window.partitionBy("key").orderBy(F.col("at").asc_nulls_first(), "id")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow if current else -1)
@@ -48,32 +49,61 @@ def test_carry_equals_plain_window(marks, hot_rows, current):
             "next_value": F.lead("value").over(w),
             "known": F.last("value", ignorenulls=True).over(upto),
             "n": F.row_number().over(w).cast("bigint"),
+            "total": F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
         }
     )
-    names = ["id", "next_at", "next_value", "known", "n"]
+    names = ["id", "next_at", "next_value", "known", "n", "total"]
     assert rows(got, *names) == rows(want, *names)
 
 
-def test_one_key_on_one_day_is_cut(spark):
-    # All rows lie in one day, a part of them at no time at all.
-    at = F.when(F.col("id") % 5 > 0, F.lit(dt.datetime(2024, 1, 1)) + F.expr("make_dt_interval(0, 0, 0, id % 40)"))
-    data = spark.range(20_000).select("id", F.lit("k").alias("key"), at.cast("timestamp_ntz").alias("at"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("value"))
-    hot = ordered.hot_keys(data, ["key"], 1000)
-    sliced = ordered._with_slices(data, ["key"], hot, ordered.day_slice("at"), ["at", "id"], 1000)
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_key_in_one_instant_spreads_evenly(spark):
+    """All rows of one key at one time, a part of them at no time at all; ids alone tell them apart."""
+    at = F.when(F.col("id") % 5 > 0, F.lit(dt.datetime(2024, 1, 1)))
+    data = spark.range(200_000).select("id", F.lit("k").alias("key"), at.cast("timestamp_ntz").alias("at"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("value"))
+    slices = ordered.slices_needed(data, ["key"], 10_000)
+    sliced = ordered.range_slices(data, ["key"], ["at", "id"], slices)
     sizes = [r["count"] for r in sliced.groupBy("__slice").count().collect()]
-    assert sum(sizes) == 20_000 and len(sizes) > 12 and max(sizes) < 3000
-    asked = dict(following={"next": "id"}, known={"last": "value"}, index="n")
-    got = ordered.carry(data, ["key"], ["at", "id"], **asked, hot=hot, hot_rows=1000)
+    assert slices == 20 and len(sizes) == 20 and sum(sizes) == 200_000 and max(sizes) < 2 * 10_000
+    asked = dict(following={"next": "id"}, known={"last": "value"}, index="n", running={"sum": "id"})
+    got = ordered.carry(data, ["key"], ["at", "id"], **asked, slices=slices)
     want = ordered.carry(data, ["key"], ["at", "id"], **asked)
-    assert rows(got, "id", "next", "last", "n") == rows(want, "id", "next", "last", "n")
+    names = ["id", "next", "last", "n", "sum"]
+    assert got.select(names).exceptAll(want.select(names)).isEmpty() and got.count() == 200_000
+    # Slices are read where they were written: no shuffle, no list of keys, one summary row or two per slice.
+    plan = plan_of(got)
+    assert "Exchange hashpartitioning" not in plan and "Bucketed: true" in plan and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("slices", [2, 7, 50])
+def test_keys_over_many_slices_and_slices_of_many_keys(spark, slices):
+    """Keys of every size, NULL keys and NULL places among them."""
+    rng = random.Random(slices)
+    data, n = [], 0
+    for key, size in [(None, 90), ("a", 1), ("b", 300), ("c", 2), ("d", 2), ("e", 150), *[(f"k{i}", 3) for i in range(40)]]:
+        for _ in range(size):
+            data.append((n, key, None if rng.random() < 0.1 else rng.randrange(5), None if rng.random() < 0.9 else n))
+            n += 1
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "id int, key string, at int, value int").repartition(5)
+    asked = dict(following={"next": "id"}, known={"last": "value"}, index="n", running={"sum": "value"})
+    for current in (True, False):
+        got = ordered.carry(df, ["key"], ["at", "id"], **asked, include_current=current, slices=slices)
+        want = ordered.carry(df, ["key"], ["at", "id"], **asked, include_current=current)
+        assert rows(got, "id", "next", "last", "n", "sum") == rows(want, "id", "next", "last", "n", "sum")
+    empty = ordered.carry(df.limit(0), ["key"], ["at", "id"], **asked, slices=slices)
+    assert empty.collect() == []
 
 
 def test_facts_of_one_instant_are_cut(spark):
     noon = dt.datetime(2024, 1, 1, 12)
     facts = spark.range(5000).select("id", F.lit("k").alias("key"), F.lit(noon).cast("timestamp_ntz").alias("at"))
     history = spark.createDataFrame([("k", noon, None, 1)], "key string, s timestamp_ntz, e timestamp_ntz, v int")
-    hot = ordered.hot_keys(facts, ["key"], 500)
-    got = intervals.join_asof(facts, history, ["key"], "at", "s", "e", {"v": "v"}, hot, 500)
+    slices = ordered.slices_needed(facts, ["key"], 500)
+    got = intervals.join_asof(facts, history, ["key"], "at", "s", "e", {"v": "v"}, slices)
     assert got.groupBy("v").count().collect()[0][:] == (1, 5000)
 
 
@@ -92,8 +122,8 @@ def test_asof_equals_range_join(spark, marks, hot_rows):
     # Every third interval ends early, so that there are gaps.
     history = history.withColumn("end", F.when(F.col("span") % 3 == 0, F.least("end", F.col("start") + F.expr("interval 2 hours"))).otherwise(F.col("end")))
     facts = marks.filter("id % 5 <> 0").select("id", "key", "at")
-    hot = ordered.hot_keys(marks, ["key"], hot_rows)
-    got = intervals.join_asof(facts, history, ["key"], "at", "start", "end", {"span": "span", "begun": "start"}, hot)
+    slices = ordered.slices_needed(marks, ["key"], hot_rows)
+    got = intervals.join_asof(facts, history, ["key"], "at", "start", "end", {"span": "span", "begun": "start"}, slices)
     f, h = facts.alias("f"), history.alias("h")
     inside = (F.col("f.key") == F.col("h.key")) & (F.col("at") >= F.col("start")) & (F.col("end").isNull() | (F.col("at") < F.col("end")))
     want = f.join(h, inside, "left").select("id", "span", F.col("start").alias("begun"))

@@ -277,8 +277,8 @@ def window_latest_per_period(t: Inputs):
 )
 def window_group_index(t: Inputs):
     rows = t.events.select("event_id", "user_id", "ts")
-    hot = ordered.hot_keys(rows, ["user_id"])
-    return ordered.carry(rows, ["user_id"], ["ts", "event_id"], index="row_index", hot=hot).drop("ts")
+    slices = ordered.slices_needed(rows, ["user_id"])
+    return ordered.carry(rows, ["user_id"], ["ts", "event_id"], index="row_index", slices=slices).drop("ts")
 
 
 @query(
@@ -287,8 +287,8 @@ def window_group_index(t: Inputs):
 )
 def window_lead_interval(t: Inputs):
     rows = t.events.select("event_id", "user_id", F.col("ts").alias("start_date"))
-    hot = ordered.hot_keys(rows, ["user_id"])
-    return intervals.lead_intervals(rows, ["user_id"], "start_date", ["event_id"], hot=hot)
+    slices = ordered.slices_needed(rows, ["user_id"])
+    return intervals.lead_intervals(rows, ["user_id"], "start_date", ["event_id"], slices=slices)
 
 
 @query(
@@ -300,8 +300,8 @@ def window_lead_interval(t: Inputs):
 def window_lag_ignore_nulls(t: Inputs):
     bought = F.when(F.col("event_type") == "purchase", F.col("value"))
     rows = t.events.select("event_id", "user_id", "ts", bought.alias("bought"))
-    hot = ordered.hot_keys(rows, ["user_id"])
-    filled = ordered.carry(rows, ["user_id"], ["ts", "event_id"], known={"last_bought": "bought"}, hot=hot)
+    slices = ordered.slices_needed(rows, ["user_id"])
+    filled = ordered.carry(rows, ["user_id"], ["ts", "event_id"], known={"last_bought": "bought"}, slices=slices)
     return filled.drop("ts", "bought")
 
 
@@ -368,11 +368,11 @@ def join_range_calendar(t: Inputs):
 )
 def join_interval_asof(t: Inputs):
     signups = t.events.filter("event_type = 'signup'").select("user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("start_at"))
-    hot = ordered.hot_keys(t.events, ["user_id"])
-    history = intervals.lead_intervals(signups, ["user_id"], "start_at", ["signup_id"], "end_at", hot)
+    slices = ordered.slices_needed(t.events, ["user_id"])
+    history = intervals.lead_intervals(signups, ["user_id"], "start_at", ["signup_id"], "end_at", slices)
     facts = t.events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     return intervals.join_asof(
-        facts, history, ["user_id"], "ts", "start_at", "end_at", {"signup_id": "signup_id", "start_at": "start_at"}, hot
+        facts, history, ["user_id"], "ts", "start_at", "end_at", {"signup_id": "signup_id", "start_at": "start_at"}, slices
     ).drop("ts")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeledger.operators.ordered import HOT_ROWS, carry, first_per_key
+from tradeledger.operators.ordered import carry, first_per_key
 
 
 def lead_intervals(
@@ -17,10 +17,10 @@ def lead_intervals(
     start: str,
     tie: Sequence[str] = (),
     end: str = "end_date",
-    hot: DataFrame | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Half-open validity: a row ends where the next one of its key starts."""
-    return carry(df, keys, [start, *tie], following={end: start}, hot=hot)
+    return carry(df, keys, [start, *tie], following={end: start}, slices=slices)
 
 
 def join_asof(
@@ -31,15 +31,14 @@ def join_asof(
     start: str,
     end: str,
     columns: dict[str, str],
-    hot: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Each fact with the interval ``[start, end)`` valid at its time, or NULLs.
 
     Intervals of one key must not overlap. Facts and interval starts are stacked and the last
     start is carried forward, so work grows with rows, not with facts x intervals of a key.
-    ``end`` NULL means still open. ``hot`` are the keys with very many facts or intervals; facts of
-    one instant are told apart by a hash, so that they can be cut as well.
+    ``end`` NULL means still open. ``slices`` is set where a key has very many facts (``slices_needed``);
+    facts of one instant are told apart by a hash, so that they spread as well.
     """
     hashed = [f.name for f in facts.schema.fields if isinstance(f.dataType, T.AtomicType)]
     payload = F.struct(F.col(end).cast("timestamp_ntz").alias("_end"), *[F.col(s).alias(n) for n, s in columns.items()])
@@ -62,7 +61,7 @@ def join_asof(
     )
     stacked = starts.unionByName(marks, allowMissingColumns=True)
     carried = carry(
-        stacked, keys, ["_at", "_side", "_tie"], known={"_found": "_valid"}, hot=hot, hot_rows=hot_rows
+        stacked, keys, ["_at", "_side", "_tie"], known={"_found": "_valid"}, slices=slices
     )
     valid = F.col("_found._end").isNull() | (F.col("_at") < F.col("_found._end"))
     return carried.filter("_side = 1").select(

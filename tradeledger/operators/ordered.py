@@ -1,9 +1,10 @@
 """Order-dependent operators that stay parallel when one key holds a large part of the rows.
 
-A window over ``partitionBy(key)`` puts a whole key into one task. ``hot_keys`` counts the rows per
-key and names the few keys above a limit. Without any, one plain window does the work. Hot keys are
-cut into time slices, and a slice above the limit is cut again along the whole order: windows run per
-(key, slice), and a summary with one row per hot key and slice carries values across the slice borders.
+A window over ``partitionBy(key)`` puts a whole key into one task. ``slices_needed`` tells from the rows
+of the largest key whether that is too much. If not, one plain window does the work. Otherwise the rows are
+dealt by ranges of the whole order (key, then order), from a sample that Spark takes, so that a key
+spreads over as many slices as its rows need, also within one instant. Each slice is scanned by
+itself, and one summary of its first and last key carries values over its borders.
 """
 
 from __future__ import annotations
@@ -12,34 +13,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tradeledger.session import cut_lineage
+from tradeledger.operators.ranks import quantile_of, values_at_ranks
+from tradeledger.session import bucketed_stage, cut_lineage
 
-# A key above this many rows is cut. Lists of such keys and of cuts are written, so Spark knows their
-# size and broadcasts them only if they are small.
+# A key above this many rows is spread over slices of about so many.
 HOT_ROWS = 2_000_000
 
-# Sampled places per ``hot_rows`` rows, from which the cuts inside a slice are taken.
-CUT_SAMPLE = 16
-
 # Columns the operators add for themselves start with two underscores.
 _SLICE = "__slice"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None if there are none.
+def slices_needed(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> int | None:
+    """Slices of about ``hot_rows`` rows if some key has more than that, else None.
 
-    Runs one count over the key columns, summed before the shuffle. Give it the base table, not a
-    derived one, so that nothing else has to be computed for it.
+    Runs one count over the key columns, summed before the shuffle; two numbers come back. Give it the
+    base table, not a derived one, so that nothing else has to be computed for it.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = cut_lineage(counts.filter(F.col("_rows") > hot_rows).select(*keys))
-    return None if hot.isEmpty() else hot
+    found = counts.agg(F.max("_rows").alias("most"), F.sum("_rows").alias("all")).first()
+    if (found["most"] or 0) <= hot_rows:
+        return None
+    return max(2, -(-found["all"] // max(hot_rows, 1)))
+
 
+def range_slices(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], slices: int) -> DataFrame:
+    """The rows with the number of their slice, written in buckets of it.
 
-def day_slice(column: str) -> Column:
-    """One slice per day of a date or timestamp."""
-    return F.unix_date(F.to_date(F.col(column)))
+    Slices are ranges of (keys, order), NULLs first; rows equal in all of it share a slice. What follows
+    by slice needs no further shuffle.
+    """
+    order = [F.col(c).asc_nulls_first() for c in (*keys, *order_by)]
+    ranged = df.repartitionByRange(slices, *order).withColumn(_SLICE, F.spark_partition_id())
+    return bucketed_stage(ranged, [_SLICE], slices)
 
 
 def carry(
@@ -50,119 +57,101 @@ def carry(
     known: dict[str, str] | None = None,
     include_current: bool = False,
     index: str | None = None,
-    hot: DataFrame | None = None,
-    slice_of: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    running: dict[str, str] | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Values carried along the rows of a key, all from one shuffle and one sort.
 
     ``following`` {new: source}: value of the next row (``lead``).
     ``known`` {new: source}: last non-NULL value before the row, or up to it with
     ``include_current`` (``lag ignore nulls``).
-    ``index``: row number from 1. ``order_by`` must be a total order; NULLs come first.
-    ``hot`` are the keys to cut into slices; ``slice_of`` rises with the order (default: the day of
-    the first order column). Slices above ``hot_rows`` rows are cut again.
+    ``index``: row number from 1. ``running`` {new: source}: sum up to and with the row.
+    ``order_by`` must be a total order; NULLs come first.
+    ``slices``: number of ranges to scan instead of whole keys, see ``slices_needed``.
     """
     if not order_by:
         raise ValueError("a total order is required")
-    following, known = following or {}, known or {}
+    following, known, running = following or {}, known or {}, running or {}
     order = [F.col(c).asc_nulls_first() for c in order_by]
     upper = Window.currentRow if include_current else -1
-    if hot is None:
+    if slices is None:
         window = Window.partitionBy(*keys).orderBy(*order)
         before = window.rowsBetween(Window.unboundedPreceding, upper)
+        through = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         new = {name: F.lead(source).over(window) for name, source in following.items()}
         new |= {name: F.last(source, ignorenulls=True).over(before) for name, source in known.items()}
+        new |= {name: F.sum(source).over(through) for name, source in running.items()}
         if index:
             new[index] = F.row_number().over(window).cast("bigint")
         return df.withColumns(new)
 
-    coarse = day_slice(order_by[0]) if slice_of is None else slice_of
-    sliced = _with_slices(df, keys, hot, coarse, order_by, hot_rows)
-    # One struct as key: NULL keys equal each other, and the join below keeps the windows' partitioning.
-    sliced = sliced.withColumn("__key", F.struct(*keys))
-    window = Window.partitionBy("__key", _SLICE).orderBy(*order)
+    # One struct as key: NULL keys equal each other.
+    sliced = range_slices(df, keys, order_by, slices).withColumn("__key", F.struct(F.lit(0).alias("_"), *keys))
+    window = Window.partitionBy(_SLICE, "__key").orderBy(*order)
     before = window.rowsBetween(Window.unboundedPreceding, upper)
-    place = F.struct(*order_by)
-    next_of = F.struct(F.lit(True).alias("_row"), *[F.col(s).alias(n) for n, s in following.items()])
+    through = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    mark = F.lit(True).alias("_row")
+    next_of = F.struct(mark, *[F.col(s).alias(n) for n, s in following.items()])
     inside = sliced.withColumns(
         {
             "__next": F.lead(next_of).over(window),
-            "__known": F.struct(
-                F.lit(True).alias("_row"),
-                *[F.last(s, ignorenulls=True).over(before).alias(n) for n, s in known.items()],
-            ),
+            "__known": F.struct(mark, *[F.last(s, ignorenulls=True).over(before).alias(n) for n, s in known.items()]),
+            "__sums": F.struct(mark, *[F.sum(s).over(through).alias(n) for n, s in running.items()]),
             "__place": F.row_number().over(window),
         }
     )
-    # One row per hot key and slice, then moved on along the slices of the key.
-    last_in_slice = [
-        F.max_by(F.col(s), F.when(F.col(s).isNotNull(), place)).alias(n) for n, s in known.items()
-    ]
-    edges = (
-        sliced.filter(F.col(_SLICE).isNotNull())
-        .groupBy("__key", _SLICE)
-        .agg(
-            F.min_by(next_of, place).alias("__first"),
-            F.struct(F.lit(True).alias("_row"), *last_in_slice).alias("__last"),
-            F.count(F.lit(1)).alias("__rows"),
-        )
-    )
-    along = Window.partitionBy("__key").orderBy(_SLICE)
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    carried = edges.select(
-        "__key",
-        _SLICE,
-        F.lead("__first").over(along).alias("__after"),
-        F.struct(
-            F.lit(True).alias("_row"),
-            *[F.last(F.col("__last")[n], ignorenulls=True).over(earlier).alias(n) for n in known],
-        ).alias("__before"),
-        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__offset"),
-    )
+    carried = _over_borders(sliced, order_by, next_of, known, running)
     both = inside.join(carried, ["__key", _SLICE], "left")
     new = {n: F.coalesce("__next", "__after")[n] for n in following}
     new |= {n: F.coalesce(F.col("__known")[n], F.col("__before")[n]) for n in known}
+    new |= {n: _plus(F.col("__sums")[n], F.col("__earlier")[n]) for n in running}
     if index:
         new[index] = (F.col("__place") + F.coalesce("__offset", F.lit(0))).cast("bigint")
-    own = ["__next", "__known", "__place", "__after", "__before", "__offset", "__key", _SLICE]
+    own = ["__next", "__known", "__sums", "__place", "__after", "__before", "__earlier", "__offset", "__key", _SLICE]
     return both.withColumns(new).drop(*own)
 
 
-def _with_slices(
-    df: DataFrame, keys: Sequence[str], hot: DataFrame, slice_of: Column, order_by: Sequence[str], hot_rows: int
+def _plus(one: Column, two: Column) -> Column:
+    """Sum in which NULL stands for nothing; NULL if both are."""
+    return F.coalesce(one + two, one, two)
+
+
+def _over_borders(
+    sliced: DataFrame, order_by: Sequence[str], next_of: Column, known: dict[str, str], running: dict[str, str]
 ) -> DataFrame:
-    """Add the slice column: NULL for ordinary keys, (``slice_of``, part) for hot ones.
+    """What rows of a slice's first and last key get from other slices: at most two rows per slice, written.
 
-    Parts are cut where a slice has more than ``hot_rows`` rows, NULL order values included. The cuts
-    are every ``CUT_SAMPLE``-th of the places whose hash falls into a sample, so that a part has about
-    ``hot_rows`` rows and every reading of ``df`` agrees on them. A slice holds rows / hot_rows cuts.
+    Only these keys have rows in other slices. Their summaries come from one aggregate per slice, without
+    a shuffle, and are carried along the slices of a key.
     """
-    few = hot.select(*keys, F.lit(True).alias("__hot")).alias("hot")
-    match = [F.col(f"rows.{k}").eqNullSafe(F.col(f"hot.{k}")) for k in keys]
-    # NULL order values come first.
-    coarse = F.when(F.col("hot.__hot"), F.coalesce(slice_of.cast("bigint"), F.lit(-(2**62))))
-    found = df.alias("rows").join(few, match, "left").select("rows.*", coarse.alias("__coarse"))
     place = F.struct(*order_by)
-    drawn = F.pmod(F.xxhash64(*order_by), F.lit(max(1, hot_rows // CUT_SAMPLE))) == 0
-    large = (
-        found.filter(F.col("__coarse").isNotNull())
-        .groupBy(*keys, "__coarse")
-        .agg(F.count(F.lit(1)).alias("__rows"), F.sort_array(F.collect_list(F.when(drawn, place))).alias("__drawn"))
-        .filter(F.col("__rows") > hot_rows)
+    mark = F.lit(True).alias("_row")
+    last = [F.max_by(F.col(s), F.when(F.col(s).isNotNull(), place)).alias(n) for n, s in known.items()]
+    per_key = sliced.groupBy(_SLICE, "__key").agg(
+        F.struct(
+            F.col("__key").alias("key"),
+            F.min_by(next_of, place).alias("first"),
+            F.struct(mark, *last).alias("last"),
+            F.struct(mark, *[F.sum(s).alias(n) for n, s in running.items()]).alias("sums"),
+            F.count(F.lit(1)).alias("rows"),
+        ).alias("__of")
     )
-    every = F.filter("__drawn", lambda _, i: i % CUT_SAMPLE == CUT_SAMPLE - 1)
-    cuts = cut_lineage(large.select(*keys, "__coarse", every.alias("__cuts"))).alias("cuts")
-    match = [F.col(f"rows.{k}").eqNullSafe(F.col(f"cuts.{k}")) for k in keys]
-    match.append(F.col("rows.__coarse") == F.col("cuts.__coarse"))
-    before = F.size(F.filter("cuts.__cuts", lambda cut: cut < F.struct(*[F.col(f"rows.{c}") for c in order_by])))
-    part = F.when(F.col("cuts.__cuts").isNull(), F.lit(0)).otherwise(before)
-    pair = F.struct(F.col("rows.__coarse").alias("slice"), part.alias("part"))
-    return (
-        found.alias("rows")
-        .join(cuts, match, "left")
-        .select("rows.*", F.when(F.col("rows.__coarse").isNotNull(), pair).alias(_SLICE))
-        .drop("__coarse")
+    ends = per_key.groupBy(_SLICE).agg(F.min_by("__of", "__key").alias("a"), F.max_by("__of", "__key").alias("b"))
+    borders = F.when(F.col("a.key") == F.col("b.key"), F.array("a")).otherwise(F.array("a", "b"))
+    edges = ends.select(_SLICE, F.explode(borders).alias("__of")).select(_SLICE, F.col("__of.key").alias("__key"), "__of")
+    along = Window.partitionBy("__key").orderBy(_SLICE)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    return cut_lineage(
+        edges.select(
+            "__key",
+            _SLICE,
+            F.lead("__of.first").over(along).alias("__after"),
+            F.struct(
+                mark, *[F.last(F.col("__of.last")[n], ignorenulls=True).over(earlier).alias(n) for n in known]
+            ).alias("__before"),
+            F.struct(mark, *[F.sum(F.col("__of.sums")[n]).over(earlier).alias(n) for n in running]).alias("__earlier"),
+            F.coalesce(F.sum("__of.rows").over(earlier), F.lit(0)).alias("__offset"),
+        )
     )
 
 
@@ -212,76 +201,28 @@ def value_positions(
 def counted_positions(
     counted: DataFrame, value: str, by: Sequence[str] = (), hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """``value_positions`` of materialised (by, value, _n) rows.
-
-    A plain running sum, unless a group has more than ``hot_rows`` distinct values: then the sum is
-    split at approximate quantiles, so no task sorts a whole group.
-    """
-    sizes = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("_values"))
-    largest = sizes.agg(F.max("_values")).first()[0] or 0
-    if largest <= hot_rows:
-        group = Window.partitionBy(*by)
-        running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        end = F.sum("_n").over(running)
-        return counted.select(
-            *by,
-            value,
-            (end - F.col("_n")).alias("first_position"),
-            end.alias("end_position"),
-            F.sum("_n").over(group).alias("total"),
-        )
-    # As many pieces as the largest group needs for ``hot_rows`` values in each.
-    pieces = max(2, -(-largest // max(hot_rows, 1)))
-    quantiles = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    sketch = F.percentile_approx(value, quantiles, F.lit(pieces * 16)).alias("_cuts")
-    if by:
-        cuts = counted.groupBy(*by).agg(sketch).alias("cuts")
-        match = [F.col(f"c.{k}").eqNullSafe(F.col(f"cuts.{k}")) for k in by]
-        located = counted.alias("c").join(cuts, match).select("c.*", "cuts._cuts")
-    else:
-        located = counted.withColumn("_cuts", counted.agg(sketch).scalar())
-    pieced = located.withColumn(
-        "_piece", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
-    ).drop("_cuts")
-    along = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    # At most ``pieces`` rows per group.
-    offsets = (
-        pieced.groupBy(*by, "_piece")
-        .agg(F.sum("_n").alias("_sum"))
-        .select(
-            *by,
-            "_piece",
-            F.coalesce(F.sum("_sum").over(along), F.lit(0)).alias("_offset"),
-            F.sum("_sum").over(whole).alias("total"),
-        )
-        .alias("o")
-    )
-    match = [F.col(f"p.{k}").eqNullSafe(F.col(f"o.{k}")) for k in by]
-    match.append(F.col("p._piece") == F.col("o._piece"))
-    inside = (
-        Window.partitionBy(*by, "_piece")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    end = F.col("_offset") + F.col("_run")
-    return (
-        pieced.withColumn("_run", F.sum("_n").over(inside))
-        .alias("p")
-        .join(offsets, match)
-        .select(
-            *[f"p.{c}" for c in (*by, value)],
-            (end - F.col("_n")).alias("first_position"),
-            end.alias("end_position"),
-            "total",
-        )
-    )
+    """``value_positions`` of materialised (by, value, _n) rows: a running sum, over slices of a large group."""
+    slices = slices_needed(counted, by, hot_rows)
+    placed = carry(counted, by, [value], running={"end_position": "_n"}, slices=slices)
+    placed = placed.withColumn("first_position", F.col("end_position") - F.col("_n")).drop("_n")
+    totals = counted.groupBy(*by).agg(F.sum("_n").alias("total")).withColumnsRenamed({k: f"_of_{k}" for k in by})
+    # NULL is a group like any other.
+    same = F.lit(True)
+    for key in by:
+        same = same & F.col(key).eqNullSafe(F.col(f"_of_{key}"))
+    found = placed.join(totals, same) if by else placed.withColumn("total", totals.scalar())
+    return found.select(*by, value, "first_position", "end_position", "total")
 
 
 def order_statistic(
     df: DataFrame, value: str, positions: dict[str, int | float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact k-th smallest values: a position is a 0-based index, or a share of the row count (float)."""
+    """Exact k-th smallest values: a position is a 0-based index, or a share of the row count (float).
+
+    Numbers are narrowed down by rank (``values_at_ranks``); other values are put in their positions.
+    """
+    if isinstance(df.schema[value].dataType, T.NumericType):
+        return values_at_ranks(df, value, positions, by)
     places = value_positions(df, value, by)
 
     def pick(position: int | float) -> Column:
@@ -303,8 +244,7 @@ def exact_quantiles(places: DataFrame, value: str, shares: dict[str, float], by:
             hit = (F.col("first_position") <= index) & (index < F.col("end_position"))
             return F.max(F.when(hit, F.col(value).cast("double")))
 
-        low, high = at(F.floor(place)), at(F.ceil(place))
-        return low + (high - low) * F.max(place - F.floor(place))
+        return quantile_of(at(F.floor(place)), at(F.ceil(place)), F.max(place - F.floor(place)))
 
     picks = [pick(s).alias(name) for name, s in shares.items()]
     return places.groupBy(*by).agg(*picks) if by else places.agg(*picks)

@@ -10,18 +10,17 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeledger.operators.ordered import (
-    counted_positions,
-    dense_index,
-    exact_quantiles,
-    order_statistic,
-)
+from tradeledger.operators.ordered import order_statistic
+from tradeledger.operators.ranks import FETCH, narrow, quantiles, same_groups, summary_of
 from tradeledger.session import cut_lineage
 
 
 # Draws of 16 bytes each: 16 MB.
 MAX_BROADCAST_DRAWS = 1_000_000
 
+# Share of its peak below which a kernel is taken for nothing.
+KERNEL_END = 1e-12
+
 
 def zscore(df: DataFrame, value: str, name: str) -> DataFrame:
     """Centre and scale a column over all rows; NULLs are left out of both moments."""
@@ -31,13 +30,6 @@ def zscore(df: DataFrame, value: str, name: str) -> DataFrame:
     return df.withColumn(name, (F.col(value) - moments["mean"]) / moments["sd"])
 
 
-def _join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Inner join on the group, in which NULL is a group like any other."""
-    other = groups.withColumnsRenamed({k: f"_of_{k}" for k in by})
-    on = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in by]
-    return rows.join(other, on).drop(*[f"_of_{k}" for k in by])
-
-
 def kernel_density(
     df: DataFrame,
     value: str,
@@ -50,8 +42,9 @@ def kernel_density(
 
     Bandwidth ``0.9 * min(sd, IQR / 1.34) * n ** -0.2``, grid three bandwidths beyond the data.
     Equal values are counted first and the counts kept, so the input is read once. They are then
-    put in even bins, each value split linearly between its two neighbours, and each bin (at most
-    ``bins`` per group, whatever the data size) adds to the grid points.
+    put in even bins, each value split linearly between its two neighbours. A group's bins are one array
+    (``bins`` numbers, whatever the data size), with which the kernel is folded as far as it is above
+    ``KERNEL_END`` of its peak; only the finished curve becomes rows.
     ``weight`` says how many rows a row stands for, if values were counted before.
     Output: ``by``, grid_index, grid, density.
     """
@@ -61,8 +54,7 @@ def kernel_density(
     number = F.lit(1) if weight is None else F.col(weight)
     rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"), number.alias("_n"))
     counted = cut_lineage(rows.groupBy(*by, "_x").agg(F.sum("_n").alias("_n")))
-    places = counted_positions(counted, "_x", by)
-    spread = exact_quantiles(places, "_x", {"_q1": 0.25, "_q3": 0.75}, by)
+    spread = quantiles(counted, "_x", {"_q1": 0.25, "_q3": 0.75}, by, "_n")
     extent = counted.groupBy(*by).agg(
         F.sum("_n").alias("_total"),
         (F.sum(F.col("_x") * F.col("_n")) / F.sum("_n")).alias("_mean"),
@@ -71,7 +63,7 @@ def kernel_density(
     )
     squares = F.sum(F.col("_n") * F.pow(F.col("_x") - F.col("_mean"), F.lit(2)))
     moments = (
-        _join_groups(counted, extent, by)
+        same_groups(counted, extent, by)
         .groupBy(*by, "_total", "_min", "_max")
         .agg(F.sqrt(squares / F.nullif(F.col("_total") - 1, F.lit(0))).alias("_sd"))
     )
@@ -81,7 +73,7 @@ def kernel_density(
     spreads = (narrow, F.col("_sd"), F.abs("_min"))
     width = F.coalesce(*[F.nullif(s, F.lit(0.0)) for s in spreads], F.lit(1.0))
     shape = (
-        _join_groups(moments, spread, by)
+        same_groups(moments, spread, by)
         .withColumn("_bw", 0.9 * width * F.pow("_total", F.lit(-0.2)))
         .withColumn("_lo", F.col("_min") - 3 * F.col("_bw"))
         .withColumn("_hi", F.col("_max") + 3 * F.col("_bw"))
@@ -90,7 +82,7 @@ def kernel_density(
     place = (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * (bins - 1)
     left = F.least(F.floor(place), F.lit(bins - 2))
     binned = (
-        _join_groups(counted, shape, by)
+        same_groups(counted, shape, by)
         .withColumn("_place", place)
         .withColumn("_bin", left)
         .groupBy(*by, "_bin")
@@ -99,29 +91,48 @@ def kernel_density(
             F.sum(F.col("_n") * (F.col("_place") - F.col("_bin"))).alias("_right"),
         )
     )
-    sides = F.explode(
-        F.array(
-            F.struct(F.col("_bin").alias("b"), F.col("_left").alias("w")),
-            F.struct((F.col("_bin") + 1).alias("b"), F.col("_right").alias("w")),
-        )
-    )
-    weights = (
-        binned.select(*by, sides.alias("s")).groupBy(*by, F.col("s.b").alias("_bin")).agg(F.sum("s.w").alias("_w"))
-    )
-    step = (F.col("_hi") - F.col("_lo")) / (points - 1)
-    centre = F.col("_lo") + (F.col("_hi") - F.col("_lo")) / (bins - 1) * F.col("_bin")
-    grid = F.col("_lo") + step * F.col("grid_index")
-    kernel = F.exp(-0.5 * F.pow((grid - centre) / F.col("_bw"), F.lit(2)))
+    # One array of bin weights per group: the left and right shares of its bins, by bin.
+    sides = F.array_agg(F.struct(F.col("_bin").cast("int").alias("b"), F.col("_left").alias("l"), F.col("_right").alias("r")))
+    weights = binned.groupBy(*by).agg(F.map_from_entries(F.transform(sides, _pair)).alias("_of_bin"))
+    met = same_groups(weights, shape, by)
+
+    def weight_of(bin_: Column) -> Column:
+        here, before = (F.try_element_at("_of_bin", b) for b in (bin_, bin_ - 1))
+        return F.coalesce(here["l"], F.lit(0.0)) + F.coalesce(before["r"], F.lit(0.0))
+
+    span = F.col("_hi") - F.col("_lo")
+    step, width = span / (points - 1), span / (bins - 1)
     scale = F.col("_total") * F.col("_bw") * math.sqrt(2 * math.pi)
-    # The few bins turn into many rows: a stated partition count keeps them on all cores.
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return (
-        _join_groups(weights, shape, by)
-        .repartition(cores, *by, "_bin")
-        .withColumn("grid_index", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .groupBy(*by, "grid_index")
-        .agg(F.first(grid).alias("grid"), F.sum(F.col("_w") * kernel / scale).alias("density"))
-    )
+    # Written, one row per group, so that the array is there when each grid point reads from it.
+    folded = cut_lineage(
+        met.select(
+            *by, "_lo", "_bw", scale.alias("_scale"), width.alias("_width"), step.alias("_step"),
+            F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), weight_of).alias("_weights"),
+        )
+    )
+    # Bins at which the kernel is above ``KERNEL_END`` for a grid point: the others add nothing that counts.
+    reach = F.col("_bw") * math.sqrt(-2 * math.log(KERNEL_END))
+
+    def density_at(point: Column) -> Column:
+        at = F.col("_step") * point
+        first = F.greatest(F.ceil((at - reach) / F.col("_width")), F.lit(0)).cast("int")
+        last = F.least(F.floor((at + reach) / F.col("_width")), F.lit(bins - 1)).cast("int")
+
+        def add(sum_: Column, bin_: Column) -> Column:
+            far = (at - F.col("_width") * bin_) / F.col("_bw")
+            return sum_ + F.get("_weights", bin_) * F.exp(far * far * -0.5)
+
+        near = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(near, F.lit(0.0), add) / F.col("_scale")
+
+    curve = folded.withColumn("_curve", F.transform(F.sequence(F.lit(0), F.lit(points - 1)), density_at))
+    out = curve.select(*by, "_lo", "_step", F.posexplode("_curve").alias("grid_index", "density"))
+    return out.select(*by, "grid_index", (F.col("_lo") + F.col("_step") * F.col("grid_index")).alias("grid"), "density")
+
+
+def _pair(side: Column) -> Column:
+    """A bin number and its shares as an entry of a map."""
+    return F.struct(side["b"].alias("key"), F.struct(side["l"].alias("l"), side["r"].alias("r")).alias("value"))
 
 
 def linear_interpolate(
@@ -130,7 +141,7 @@ def linear_interpolate(
     """Piecewise-linear lookup in an evenly spaced curve (grid_index, grid, density).
 
     The segment number follows from the spacing, so the lookup is an equality join on
-    (group, segment). NULL outside the curve.
+    (group, segment), in which NULL is a group like any other. NULL outside the curve.
     """
     curve = cut_lineage(curve)
     ahead = Window.partitionBy(*by).orderBy("grid_index")
@@ -148,13 +159,14 @@ def linear_interpolate(
     place = F.floor((F.col(at) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_last"))
     inside = F.col(at).between(F.col("_lo"), F.col("_hi"))
     share = (F.col(at) - F.col("_x0")) / (F.col("_x1") - F.col("_x0"))
-    return (
-        df.join(extent, list(by), "left")
-        .withColumn("_segment", F.when(inside, F.least(place, F.col("_last") - 1)))
-        .join(segments, [*by, "_segment"], "left")
-        .withColumn(name, F.col("_y0") + (F.col("_y1") - F.col("_y0")) * share)
-        .drop("_segment", "_lo", "_hi", "_last", "_x0", "_x1", "_y0", "_y1")
-    )
+    of_group = {k: f"_of_{k}" for k in by}
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in by]
+    extent, segments = (x.withColumnsRenamed(of_group) for x in (extent, segments.withColumnRenamed("_segment", "_number")))
+    located = df.join(extent, same, "left").drop(*of_group.values())
+    located = located.withColumn("_segment", F.when(inside, F.least(place, F.col("_last") - 1)))
+    found = located.join(segments, [*same, F.col("_segment") == F.col("_number")], "left")
+    own = [*of_group.values(), "_segment", "_number", "_lo", "_hi", "_last", "_x0", "_x1", "_y0", "_y1"]
+    return found.withColumn(name, F.col("_y0") + (F.col("_y1") - F.col("_y0")) * share).drop(*own)
 
 
 def range_probability(curve: DataFrame, low: float, high: float, by: Sequence[str]) -> DataFrame:
@@ -266,24 +278,56 @@ def drawn_index(draw: Column, n: Column, seed: str) -> Column:
     return F.conv(digits, 16, 10).cast("bigint") % F.nullif(n, F.lit(0))
 
 
+def draws_by_bucket(counts: DataFrame, draws: DataFrame) -> DataFrame:
+    """(draw_group, _bucket, _rank): the bucket that a row number falls into and its place there.
+
+    ``counts``: _bucket, _n (at most 65,536 rows); ``draws``: draw_group, row_index. Both are of a size that
+    does not grow with the data, so they are put in order together.
+    """
+    along = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_n").over(along), F.lit(0)).cast("bigint")
+    starts = counts.select(start.alias("row_index"), F.lit(0).alias("_side"), F.col("_bucket").alias("_from"))
+    both = starts.unionByName(draws.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    upto = Window.orderBy("row_index", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = F.when(F.col("_side") == 0, F.col("row_index"))
+    return (
+        both.select(
+            "draw_group", "_side", "row_index",
+            F.last("_from", ignorenulls=True).over(upto).alias("_bucket"),
+            F.last(first, ignorenulls=True).over(upto).alias("_first"),
+        )
+        .where("_side = 1 and _bucket is not null")
+        .select("draw_group", "_bucket", (F.col("row_index") - F.col("_first")).alias("_rank"))
+    )
+
+
 def bootstrap_means(
-    sample: DataFrame, key: str, value: str, groups: int = 1000, per_group: int = 100, seed: str = "0"
+    sample: DataFrame, key: str, value: str, groups: int = 1000, per_group: int = 100, seed: str = "0", fetch: int = FETCH
 ) -> DataFrame:
     """Mean of each group of draws with replacement.
 
-    Draw ``i`` takes the row that ``drawn_index`` names of the indexed sample, so the result does not depend
-    on partitioning. ``key`` is unique in the sample.
+    Draw ``i`` takes the row that ``drawn_index`` names in the order of (hash bucket, key), so the result does
+    not depend on partitioning. ``key`` is a number, unique in the sample. The sample is not put in that order:
+    rows are counted per bucket, each draw is narrowed down to the key of its row (``narrow``), and the
+    drawn rows are picked by key, where they are.
     """
-    indexed = dense_index(sample.filter(F.col(value).isNotNull()).select(key, value), key)
-    n = sample.agg(F.count(value).alias("n")).scalar()
+    kept = sample.filter(F.col(value).isNotNull()).select(F.col(key).alias("_x"), F.col(value).alias("_value"))
+    kept = kept.withColumn("_bucket", F.substring(F.md5(F.col("_x").cast("string")), 1, 4))
+    rows = kept.select("_bucket", "_x", F.lit(1).cast("bigint").alias("_n"))
+    counts = cut_lineage(rows.groupBy("_bucket").agg(F.sum("_n").alias("_n"), *summary_of(rows)))
+    n = counts.agg(F.sum("_n").alias("n")).scalar()
     draws = sample.sparkSession.range(groups * per_group).select(
         F.floor(F.col("id") / per_group).alias("draw_group"),
         drawn_index(F.col("id"), n, seed).alias("row_index"),
     )
+    placed = cut_lineage(draws_by_bucket(counts, draws))
+    asked = placed.select("_bucket", "_rank").distinct().join(counts.drop("_n"), "_bucket")
+    found = narrow(rows, cut_lineage(asked.withColumn("_name", F.lit("drawn"))), ["_bucket"], fetch=fetch)
+    drawn = cut_lineage(placed.join(found, ["_bucket", "_rank"]).select("draw_group", "_x"))
     # The number of draws is fixed by the arguments, not by the data.
     if groups * per_group <= MAX_BROADCAST_DRAWS:
-        draws = F.broadcast(draws)
-    return indexed.join(draws, "row_index").groupBy("draw_group").agg(F.avg(value).alias("mean"))
+        drawn = F.broadcast(drawn)
+    return kept.select("_x", "_value").join(drawn, "_x").groupBy("draw_group").agg(F.avg("_value").alias("mean"))
 
 
 def bootstrap_ci(
@@ -297,5 +341,5 @@ def bootstrap_ci(
     seed: str = "0",
 ) -> DataFrame:
     """Interval between the order statistics ``int(groups * low)`` and ``int(groups * high)``."""
-    means = bootstrap_means(sample, key, value, groups, per_group, seed)
+    means = cut_lineage(bootstrap_means(sample, key, value, groups, per_group, seed))
     return order_statistic(means, "mean", {"low": int(groups * low), "high": int(groups * high)})

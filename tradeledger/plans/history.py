@@ -26,7 +26,7 @@ from tradeledger.operators.intervals import (
     latest_per_period,
     lead_intervals,
 )
-from tradeledger.operators.ordered import HOT_ROWS, carry, hot_keys
+from tradeledger.operators.ordered import HOT_ROWS, carry, slices_needed
 from tradeledger.operators.tables import decode_codes, existence_flag, left_join_hot_right, union_tagged
 from tradeledger.sources.write import materialise_stage
 
@@ -64,8 +64,7 @@ def deal_schedules(audits: DataFrame, tz: str = TZ, hot_rows: int = HOT_ROWS) ->
         following={"ineffective_date": "effective_date"},
         known={c: c for c in filled},
         include_current=True,
-        hot=hot_keys(audits, ["deal_date_id"], hot_rows),
-        hot_rows=hot_rows,
+        slices=slices_needed(audits, ["deal_date_id"], hot_rows),
     )
 
 
@@ -176,7 +175,7 @@ def owner_changes(
     return left_join_hot_right(created, named, ["top_level_id"])
 
 
-def owner_intervals(changes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def owner_intervals(changes: DataFrame, slices: int | None = None) -> DataFrame:
     """Owner intervals: from creation to the first change, then from change to change."""
     placed = carry(
         changes,
@@ -184,7 +183,7 @@ def owner_intervals(changes: DataFrame, hot: DataFrame | None = None) -> DataFra
         ["changed_at", "old_owner", "new_owner"],
         following={"_next": "changed_at"},
         index="_place",
-        hot=hot,
+        slices=slices,
     )
 
     def span(condition: Column, start: str, end: str, owner: str) -> Column:
@@ -210,8 +209,8 @@ def account_owner_history(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One owner per top-level account and month up to the last closed month."""
-    hot = hot_keys(history.select(F.col("account_id").alias("top_level_id")), ["top_level_id"], hot_rows)
-    intervals = owner_intervals(owner_changes(accounts, top_levels, history, users), hot)
+    slices = slices_needed(history.select(F.col("account_id").alias("top_level_id")), ["top_level_id"], hot_rows)
+    intervals = owner_intervals(owner_changes(accounts, top_levels, history, users), slices)
     last_day = month_start(as_of) - dt.timedelta(days=1)
     months = expand_months(
         intervals,
@@ -244,8 +243,7 @@ def retailer_status_history(
         ["vr_id"],
         ["audited_at", "audit_id"],
         following={"_ended": "audited_at"},
-        hot=hot_keys(rows, ["vr_id"], hot_rows),
-        hot_rows=hot_rows,
+        slices=slices_needed(rows, ["vr_id"], hot_rows),
     )
     status = F.coalesce("audited_status", F.col("status").cast("string"))
     return ended.select(
@@ -356,7 +354,7 @@ def menu_override_history(
     known = stores.select("core_id", "core_type").distinct()
     store = ["core_id", "core_type"]
     joined = left_join_hot_right(known, rows, store)
-    return lead_intervals(joined, store, "update_date", ["audit_id"], "end_date", hot_keys(touched, store, hot_rows))
+    return lead_intervals(joined, store, "update_date", ["audit_id"], "end_date", slices_needed(touched, store, hot_rows))
 
 
 def sales_at_retailer_status(
@@ -370,7 +368,7 @@ def sales_at_retailer_status(
 
     Both intervals are half-open. Before the first change of a store its old override holds.
     Retailers have one row per listing and brand, so the status intervals of a listing do not overlap.
-    The sales are kept as a table before each lookup: their hot keys are counted on it.
+    The sales are kept as a table before each lookup: the rows of their keys are counted on it.
     """
     sales = materialise_stage(sales)
     store = ["core_id", "core_type"]
@@ -389,8 +387,7 @@ def sales_at_retailer_status(
             "old_override": "old_override",
             "new_override": "new_override",
         },
-        hot_keys(sales, store, hot_rows),
-        hot_rows,
+        slices_needed(sales, store, hot_rows),
     )
     first = changed.groupBy(*store).agg(
         F.min_by("old_override", F.struct("update_date", "audit_id")).alias("first_override")
@@ -421,6 +418,5 @@ def sales_at_retailer_status(
         "start_date",
         "end_date",
         {"status_start": "start_date", "status_end": "end_date", "status_label": "status_label"},
-        hot_keys(placed, listing, hot_rows),
-        hot_rows,
+        slices_needed(placed, listing, hot_rows),
     )

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-# Paths of the innermost open ``stage_scope``, if there is one.
-_SCOPE: ContextVar[list[str] | None] = ContextVar("stages", default=None)
+# Paths and tables of the innermost open ``stage_scope``, if there is one.
+_SCOPE: ContextVar[tuple[list[str], list[str]] | None] = ContextVar("stages", default=None)
 
 
 def build_session(app: str = "tradeledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,7 +50,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
     written = _SCOPE.get()
     if written is not None:
-        written.append(path)
+        written[0].append(path)
     return path
 
 
@@ -61,14 +61,16 @@ def stage_scope(spark: SparkSession) -> Iterator[None]:
     Results may read stages, so write or collect them before the scope ends. Stages of an inner scope go
     with that one. Without a scope they stay until the caller removes the shared folder.
     """
-    written: list[str] = []
+    written: tuple[list[str], list[str]] = [], []
     token = _SCOPE.set(written)
     try:
         yield
     finally:
         _SCOPE.reset(token)
+        for name in written[1]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         conf, path_of = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for name in written:
+        for name in written[0]:
             path = path_of(name)
             path.getFileSystem(conf).delete(path, True)
 
@@ -84,6 +86,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed_stage(df: DataFrame, columns: list[str], buckets: int) -> DataFrame:
+    """Write the rows bucketed by ``columns`` to the shared folder, as an unmanaged table, and read them back.
+
+    Joins, windows and aggregates by these columns need no shuffle of the result. Rows should be
+    dealt by these columns already, or every task writes a file per bucket.
+    """
+    spark, name = df.sparkSession, f"stage_{uuid.uuid4().hex}"
+    path = scratch_path(spark, "bucketed")
+    written = _SCOPE.get()
+    if written is not None:
+        written[1].append(name)
+    df.write.format("parquet").option("path", path).bucketBy(min(buckets, MAX_BUCKETS), *columns).saveAsTable(name)
+    return spark.table(name)
+
+
+#: Spark's limit on the buckets of a table, as it stands by default.
+MAX_BUCKETS = 100_000
+
+
 # Split oversized partitions of joins even where that costs one more shuffle.
 SKEW_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
