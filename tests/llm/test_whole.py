@@ -1,6 +1,7 @@
 """Cases in which a text operator once did less than its whole job."""
 
 import random
+from collections import Counter
 
 import brute
 import numpy as np
@@ -107,3 +108,30 @@ def test_tables_of_a_bucket_are_bounded(monkeypatch):
         sizes[row : row + table.shape[0], column : column + table.shape[1]] += table.astype(np.int64)
     assert (sizes == np.where(np.eye(300, dtype=bool), 10, 7)).all()
     assert max(made) <= 5000
+
+
+def test_passages_below_the_byte_length_are_reported(spark):
+    """Every row that shares 50 words with another has shared windows; a row that shares no 26 words has none."""
+    prepare(spark)
+    pick = random.Random(12)
+
+    def words(n):
+        return ["".join(pick.choice("abcdefgh") for _ in range(pick.randint(1, 5))) for _ in range(n)]
+
+    rows, passages = [], [words(50) for _ in range(8)]
+    for i in range(60):
+        middle = passages[i % 8] if i < 30 else []
+        rows.append((i, " ".join(words(pick.randrange(0, 90)) + middle + words(pick.randrange(0, 90)))))
+    rows += [(100, " ".join(passages[0])), (100, "x"), (101, None), (102, ""), (None, " \n ".join(passages[1])), (103, " ".join(passages[0][:25]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = repeats.remove_repeats(docs, digest=True)
+    texts = [(t or "").split() for _, t in rows]
+
+    def runs(n):
+        held = Counter(w for t in texts for w in {tuple(t[i : i + n]) for i in range(len(t) - n + 1)})
+        return [any(held[tuple(t[i : i + n])] > 1 for i in range(len(t) - n + 1)) for t in texts]
+
+    got = sorted((r.n_bytes, r.n_shared > 0) for r in found.collect())
+    sizes = [len((t or "").encode()) for _, t in rows]
+    assert got == sorted(zip(sizes, runs(50))) == sorted(zip(sizes, runs(26)))
+    assert sum(x for _, x in got) >= 30 and found.agg({"n_removed": "sum"}).first()[0] == 0

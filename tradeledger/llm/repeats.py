@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeledger.llm.batches import mixed, odd_numbers, pick, texts_of
+from tradeledger.llm.batches import HASHES, mixed, odd_numbers, pick, texts_of, windows
 from tradeledger.session import cut_lineage
 
 #: Bytes a task hashes at a time; a longer text is hashed alone.
@@ -29,6 +29,10 @@ BLOCK_BYTES = 2_000_000
 GROUP_CONTEXTS = 20_000
 
 
+#: Words of a passage that is reported however few bytes it has, and of the windows that stand for it.
+PASSAGE_WORDS, WINDOW_WORDS = 50, 26
+
+
 class Prefixes:
     """Hashes of any substring of a byte array."""
 
@@ -267,6 +271,48 @@ def compare(found: DataFrame, length: int) -> DataFrame:
     return sized.mapInArrow(run, "key bigint, lo bigint, hi bigint")
 
 
+def least_of(values: np.ndarray, span: int) -> np.ndarray:
+    """Distinct minima of all runs of ``span`` values."""
+    if len(values) < span:
+        return values[:0]
+    low, size = values, 1
+    while 2 * size <= span:
+        low, size = np.minimum(low[:-size], low[size:]), 2 * size
+    count = len(values) - span + 1
+    return np.unique(np.minimum(low[:count], low[span - size : span - size + count]))
+
+
+def passage_windows(texts: DataFrame, words: int, window: int) -> DataFrame:
+    """(key, hash) of rows (key, text): windows of ``window`` words, so many that every run of ``words`` words holds one.
+
+    Of neighbouring windows the one of least hash is taken, wherever the run occurs. Words lie between ASCII
+    blanks. A row has each hash once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                least_of(windows(HASHES.of(text.split()), window), words - window + 1)
+                for text in texts_of(batch.column(1))
+            ]
+            keys = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) for x in found])
+            hashes = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hashes)], names=["key", "hash"])
+
+    return texts.mapInArrow(run, "key bigint, hash bigint")
+
+
+def shared_passages(texts: DataFrame, words: int, window: int) -> DataFrame:
+    """(key, n_shared) of rows (key, text): the taken windows of a text that more than one row holds.
+
+    Windows are computed twice instead of being written: only their counts are shuffled, and the list of those
+    held more than once is written, so that Spark joins it by its size.
+    """
+    held = passage_windows(texts, words, window)
+    several = cut_lineage(held.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"))
+    return held.join(several, "hash", "left_semi").groupBy("key").agg(F.count_distinct("hash").alias("n_shared"))
+
+
 def _kept(text: bytes, ranges: list[tuple[int, int]], length: int) -> tuple[int, int, bytes]:
     """Removed bytes, removed runs and the bytes left, for ranges of window starts."""
     runs: list[list[int]] = []
@@ -288,7 +334,7 @@ def remove_repeats(
     docs: DataFrame, length: int = 400, reach: int = 300, batches: int = 4, id_column: str = "doc_id",
     group: int = GROUP_CONTEXTS, digest: bool = False,
 ) -> DataFrame:
-    """One row per row of docs: id, n_bytes, n_removed, n_spans, kept (the remaining bytes).
+    """One row per row of docs: id, n_bytes, n_removed, n_spans, kept (the remaining bytes), n_shared.
 
     With ``digest`` the SHA-256 of the remaining bytes (``kept_sha256``, lowercase hex) replaces them,
     so that whole texts need not be written again.
@@ -299,6 +345,10 @@ def remove_repeats(
     texts have equal results, so the work is joined by text hash. Substrings are compared by 64-bit
     hashes. The remaining bytes need not be valid UTF-8.
 
+    A passage that repeats in fewer than ``length`` bytes is left in the text, but reported: ``n_shared`` counts
+    the windows of ``WINDOW_WORDS`` words, of those that stand for passages of ``PASSAGE_WORDS`` words, that other
+    rows hold too. It is positive wherever rows share such a passage, and 0 where they share no window.
+
     Contexts of a fingerprint that has at most ``group`` of them meet in one task; the windows of more are
     counted by hash over all tasks.
     """
@@ -322,14 +372,16 @@ def remove_repeats(
         F.collect_list(F.when(F.col("large"), F.col("e"))).alias("many"),
     )
     edges = edges.select("key", *(F.when(F.size(c) > 0, F.col(c)).alias(c) for c in ("edges", "many")))
-    listed = whole.join(edges, "key", "full")
+    shared = shared_passages(rows.select("key", "text"), PASSAGE_WORDS, WINDOW_WORDS)
+    listed = whole.join(edges, "key", "full").join(shared, "key", "full")
     met = rows.join(listed, "key", "left")
     touched = F.col("ranges").isNotNull() | F.col("edges").isNotNull() | F.col("many").isNotNull()
     data = F.col("text").cast("binary")
     done = F.when(~touched, F.sha2(data, 256) if digest else data)
     met = cut_lineage(
         met.select("id", "key", F.octet_length("text").cast("bigint").alias("n_bytes"), done.alias("whole"),
-                   F.when(touched, F.col("text")).alias("text"), "ranges", "edges", "many")
+                   F.when(touched, F.col("text")).alias("text"), "ranges", "edges", "many",
+                   F.coalesce("n_shared", F.lit(0)).alias("n_shared"))
     )
     # Equal texts need to be compared once.
     open_texts = met.where("edges is not null").select("key", "text", "edges").dropDuplicates(["key"])
@@ -350,15 +402,17 @@ def remove_repeats(
                 spans.append(runs)
                 left.append(hashlib.sha256(kept).hexdigest() if digest else kept)
             arrays = [part.column(0), part.column(1), pa.array(removed, pa.int64()), pa.array(spans, pa.int64())]
-            arrays.append(pa.array(left, pa.string() if digest else pa.binary()))
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_bytes", "n_removed", "n_spans", result])
+            arrays += [pa.array(left, pa.string() if digest else pa.binary()), part.column(5)]
+            names = ["id", "n_bytes", "n_removed", "n_spans", result, "n_shared"]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     result = "kept_sha256" if digest else "kept"
     kind = rows.schema["id"].dataType.simpleString()
-    changed = final.select("id", "n_bytes", "text", "ranges", "more").mapInArrow(
-        run, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, {result} {'string' if digest else 'binary'}"
+    left_kind = "string" if digest else "binary"
+    changed = final.select("id", "n_bytes", "text", "ranges", "more", "n_shared").mapInArrow(
+        run, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, {result} {left_kind}, n_shared bigint"
     )
     zero = F.lit(0).cast("bigint")
     same = met.where("text is null").select("id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"),
-                                            F.col("whole").alias(result))
+                                            F.col("whole").alias(result), "n_shared")
     return changed.union(same).withColumnRenamed("id", id_column)
