@@ -69,10 +69,25 @@ def stage_scope(spark: SparkSession) -> Iterator[None]:
         _SCOPE.reset(token)
         for name in written[1]:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-        conf, path_of = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         for name in written[0]:
-            path = path_of(name)
-            path.getFileSystem(conf).delete(path, True)
+            remove_path(spark, name)
+
+
+def hadoop_path(spark: SparkSession, name: str):
+    """A path and its file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_path(spark: SparkSession, name: str) -> None:
+    path, files = hadoop_path(spark, name)
+    files.delete(path, True)
+
+
+def drop_stage(stage: DataFrame) -> None:
+    """Remove a stage of ``cut_lineage`` whose last reader has been written."""
+    for name in stage.inputFiles()[:1]:
+        remove_path(stage.sparkSession, name.rsplit("/", 1)[0])
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
