@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeledger.llm.batches import HASHES, mixed, odd_numbers, pick, texts_of, windows
-from tradeledger.session import cut_lineage
+from tradeledger.llm.batches import mixed, odd_numbers, pick, texts_of
+from tradeledger.session import cut_lineage, drop_stage
 
 #: Bytes a task hashes at a time; a longer text is hashed alone.
 BLOCK_BYTES = 2_000_000
@@ -151,11 +151,15 @@ class IndexFamily:
         place = F.struct("key", "lo", "hi")
         run = _run_of(suffix_rows.select("k", "f", F.lit(1).cast("bigint").alias("places"), place.alias("place")))
         level = 0
+        merged = []
         # A run that meets an equal level is merged before anything is written.
         while level in self.levels:
-            run = _run_of(run.unionByName(self.levels.pop(level)))
+            merged.append(self.levels.pop(level))
+            run = _run_of(run.unionByName(merged[-1]))
             level += 1
         self.levels[level] = cut_lineage(run)
+        for old in merged:
+            drop_stage(old)
 
     def scan(self) -> DataFrame:
         """All contexts with their places over all levels."""
@@ -282,6 +286,35 @@ def least_of(values: np.ndarray, span: int) -> np.ndarray:
     return np.unique(np.minimum(low[:count], low[span - size : span - size + count]))
 
 
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def word_windows(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``n`` words of the texts, in order, and where those of each text begin.
+
+    Words lie between ASCII blanks, whatever their number. A run is hashed by its bytes without them.
+    """
+    data = np.frombuffer(b"".join(t + b" " for t in texts), np.uint8)
+    solid = ~_BLANK[data]
+    first = solid & ~np.concatenate([[False], solid[:-1]])
+    places = np.cumsum(solid) - 1
+    at = np.flatnonzero(first)
+    begins = np.searchsorted(at, np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]))
+    data = data[solid]
+    edges = np.append(places[at], len(data))
+    prefix = Prefixes(data)
+    # Words that start a run which stays in their text.
+    words = np.diff(begins)
+    runs = np.maximum(words - n + 1, 0)
+    firsts = np.concatenate([[0], np.cumsum(runs)])
+    which = np.arange(firsts[-1]) + np.repeat(begins[:-1] - firsts[:-1], runs)
+    start, end = edges[which], edges[which + n]
+    back = np.full(len(data) + 1, Prefixes._inverse, np.uint64)
+    back[0] = 1
+    np.cumprod(back, out=back)
+    return mixed((prefix.sums[end] - prefix.sums[start]) * back[start] + (end - start).astype(np.uint64)), firsts
+
+
 def passage_windows(texts: DataFrame, words: int, window: int) -> DataFrame:
     """(key, hash) of rows (key, text): windows of ``window`` words, so many that every run of ``words`` words holds one.
 
@@ -291,10 +324,8 @@ def passage_windows(texts: DataFrame, words: int, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                least_of(windows(HASHES.of(text.split()), window), words - window + 1)
-                for text in texts_of(batch.column(1))
-            ]
+            values, at = word_windows(texts_of(batch.column(1)), window)
+            found = [least_of(values[a:b], words - window + 1) for a, b in zip(at[:-1], at[1:])]
             keys = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) for x in found])
             hashes = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hashes)], names=["key", "hash"])
@@ -310,7 +341,8 @@ def shared_passages(texts: DataFrame, words: int, window: int) -> DataFrame:
     """
     held = passage_windows(texts, words, window)
     several = cut_lineage(held.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"))
-    return held.join(several, "hash", "left_semi").groupBy("key").agg(F.count_distinct("hash").alias("n_shared"))
+    hits = held.join(several, "hash", "left_semi")
+    return cut_lineage(hits.groupBy("key").agg(F.count_distinct("hash").alias("n_shared")))
 
 
 def _kept(text: bytes, ranges: list[tuple[int, int]], length: int) -> tuple[int, int, bytes]:
