@@ -1,8 +1,10 @@
 import datetime as dt
 import json
 
+import pytest
 from conftest import rows
 from tradeledger.plans.impressions import impression_flatten
+from tradeledger.streaming import impressions
 from tradeledger.streaming.impressions import BATCH_SCHEMA, append_impressions, read_batches
 
 
@@ -49,3 +51,56 @@ def test_stream_of_all_locations_keeps_each(tmp_path, spark):
         spark.createDataFrame([(place, "r", dt.datetime(2020, 7, 2, 12), "u", good)], BATCH_SCHEMA).write.mode("append").parquet(source)
         append_impressions(read_batches(spark, source), target, marks, location=None).awaitTermination()
     assert rows(spark.read.parquet(target), "location") == [("Away",), ("Home",)]
+
+
+@pytest.mark.parametrize("broken", [1, 2])
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_an_epoch_run_again_leaves_everything_once(tmp_path, spark, monkeypatch, broken, when):
+    """The run breaks off before or after each of its writes, and is started again."""
+    source, target, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    good = json.dumps([{"section_name": "Doctors", "listing_id": str(i)} for i in range(3)])
+
+    def arrive(day, *texts):
+        data = [("Home", "r", dt.datetime(2020, 7, day, 12), f"u{i}", x) for i, x in enumerate(texts)]
+        spark.createDataFrame(data, BATCH_SCHEMA).write.mode("append").parquet(source)
+
+    def run():
+        append_impressions(read_batches(spark, source), target, marks).awaitTermination()
+
+    arrive(2, good, "no json", good)
+    run()
+    arrive(2, good, good, good)  # The first and third are sent again, the second is new.
+    arrive(3, "no json", good)
+    plain, calls = impressions._replace_load, []
+
+    def breaking(*args):
+        calls.append(1)
+        if len(calls) == broken and when == "before":
+            raise RuntimeError("lost")
+        plain(*args)
+        if len(calls) == broken and when == "after":
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(impressions, "_replace_load", breaking)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    monkeypatch.setattr(impressions, "_replace_load", plain)
+    run()
+    got = rows(spark.read.parquet(target), "local_day", "anonymous_id", "impression_index")
+    want = [(dt.date(2020, 7, d), u, i) for d, u in ((2, "u0"), (2, "u1"), (2, "u2"), (3, "u1")) for i in range(3)]
+    assert got == want
+    lost = spark.read.schema(BATCH_SCHEMA).parquet(f"{target}-rejects")
+    assert [(b.day, u) for b, u in rows(lost, "batch_time", "anonymous_id")] == [(2, "u1"), (3, "u0")]
+    # A new checkpoint reads everything again and finds all of it known.
+    append_impressions(read_batches(spark, source), target, marks + "-new").awaitTermination()
+    assert spark.read.parquet(target).count() == len(want)
+
+
+def test_different_batches_of_one_key_both_arrive(tmp_path, spark):
+    source, target, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    texts = [json.dumps([{"section_name": "Doctors", "listing_id": i}]) for i in ("1", "2")]
+    for batch in ([texts[0], texts[1], texts[0]], [texts[1], texts[0]]):
+        data = [("Home", "r", dt.datetime(2020, 7, 2, 12), "u", x) for x in batch]
+        spark.createDataFrame(data, BATCH_SCHEMA).write.mode("append").parquet(source)
+        append_impressions(read_batches(spark, source), target, marks).awaitTermination()
+    assert rows(spark.read.parquet(target), "listing_id") == [("1",), ("2",)]

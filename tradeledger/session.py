@@ -84,6 +84,11 @@ def remove_path(spark: SparkSession, name: str) -> None:
     files.delete(path, True)
 
 
+def hadoop_exists(spark: SparkSession, name: str) -> bool:
+    path, files = hadoop_path(spark, name)
+    return files.exists(path)
+
+
 def drop_stage(stage: DataFrame) -> None:
     """Remove a stage of ``cut_lineage`` whose last reader has been written."""
     for name in stage.inputFiles()[:1]:
