@@ -7,6 +7,7 @@ import pytest
 from __spark_entry__ import queries
 from check import rows_of
 from conftest import SMALL
+from tradeledger.catalog.inputs import Inputs
 
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -46,3 +47,16 @@ def test_same_result_for_any_partition_count(spark, key):
         found.append(rows_of(df.columns, [tuple(r) for r in df.collect()]))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert found[0] == found[1]
+
+
+def test_weekly_figures_write_no_row_per_counted_column(spark):
+    """Orders, then customers, then weeks: distinct counts without Expand, from one reading of the rows."""
+    plan = physical(queries()["dashboard_kpis"](spark, SMALL))
+    assert "Expand" not in plan and "distinct" not in plan.lower().replace("distinct#", "")
+    months = physical(queries()["dashboard_months"](spark, SMALL))
+    assert "Expand" not in months
+
+
+def test_relations_are_read_in_one_scan(spark):
+    found = Inputs(spark, SMALL).relations
+    assert physical(found).count("FileScan") == 1

@@ -221,6 +221,7 @@ def cleaned(spark, data, links=((8, 9, 4),), pickups=((1, 99, 9, 0),), age=30, *
     picked = spark.createDataFrame([(1, "a", 1), (2, "a", 2)], "pickup_id int, item string, reason_id int")
     reasons = spark.createDataFrame([(1, "Phone mistake"), (2, "other")], "reason_id int, reason_name string")
     resolved = resolve_chain(edges.filter("relation_type = 6"))
+    kw = {"excluded_users": ["ecom"]} | kw
     return pricing.pricing_noise_cleanup(priced(spark, *data), edges, resolved, shops, log, picked, reasons, **kw)
 
 

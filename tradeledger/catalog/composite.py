@@ -125,7 +125,7 @@ STAGES["matched"] = """
     AND a.salesperson = b.salesperson AND a.cuc = b.cuc AND a.car_id = b.car_id AND b.quant_sold > 0"""
 STAGES["rows_stocked"] = """
   SELECT m.*, k.fiscal_week, k.fiscal_month, coalesce(quant_sold, 0) * coalesce(item_cost, 0) AS ext_cost,
-    CASE WHEN coalesce(v.on_hand, 0) > 0 THEN 1 ELSE 0 END AS in_stock
+    coalesce(v.on_hand > 0, false)::INT AS in_stock
   FROM {matched} m LEFT JOIN {inventory} v ON m.cuc = v.cuc AND m.day = v.inventory_date LEFT JOIN {calendar} k ON k.day = m.day"""
 HOUSE_CUSTOMERS, HOUSE_PREFIX = [5, 17], "5"
 STAGES["opps"] = """
@@ -139,8 +139,7 @@ STAGES["opps"] = """
         FROM (SELECT *, coalesce(quant_sold < 0, false) AS returned, coalesce(customer_id IN (5, 17) OR salesperson LIKE '5%', false) AS house
               FROM {rows_stocked}) WINDOW v AS (PARTITION BY customer_id, day, car_id, house))"""
 STAGES["dash"] = f"""
-  SELECT o.*, CASE WHEN in_stock_opp = 1 AND roh > 0 THEN 1 ELSE 0 END AS in_model_opp,
-    CASE WHEN in_stock_opp = 1 AND opp_converted = 1 THEN 1 ELSE 0 END AS in_stock_sale,
+  SELECT o.*, coalesce(in_stock_opp > 0 AND roh > 0, false)::INT AS in_model_opp, least(in_stock_opp, opp_converted) AS in_stock_sale,
     greatest(quant_sold, 0) AS positive_sales, greatest(coupon_quant, 0) AS positive_coupons, least(quant_sold, 0) AS negative_sales,
     least(coupon_quant, 0) AS negative_coupons, if(quant_sold > 0, ext_sold, 0) AS gross_sales, if(quant_sold < 0, ext_sold, 0) AS gross_returns
   FROM {{opps}} o LEFT JOIN (SELECT cuc, fiscal_week, max(roh) AS roh FROM {{model_stock}} WHERE warehouse_id = {WAREHOUSE} GROUP BY ALL) r
@@ -202,31 +201,40 @@ def dashboard_rows(t: Inputs):
     return dashboard(t, inventory(t)).select(*SHOWN, *OPP_NAMES, *names, "gross_sales", "gross_returns")
 
 
-@query(
-    "dashboard_kpis",
-    """SELECT fiscal_week, quant::DOUBLE AS ext_quant, dollar::DOUBLE AS ext_dollar, round(dollar::DOUBLE / nullif(quant::DOUBLE, 0), 9) AS avg_unit_price,
+# Figures per period; ``@period`` is a column of the calendar.
+FIGURES = """SELECT @period, quant::DOUBLE AS ext_quant, dollar::DOUBLE AS ext_dollar, round(dollar::DOUBLE / nullif(quant::DOUBLE, 0), 9) AS avg_unit_price,
          (dollar - cost)::DOUBLE AS margin, round((dollar - cost)::DOUBLE / nullif(dollar::DOUBLE, 0), 9) AS margin_pct,
          round((dollar::DOUBLE * 0.98 - cost::DOUBLE) / nullif(dollar::DOUBLE, 0), 9) AS margin_with_rebate_pct,
          round(coupon_orders / nullif(orders, 0)::DOUBLE, 9) AS coupon_redemption_pct, round(-returned::DOUBLE / nullif(sold::DOUBLE, 0), 9) AS return_pct,
          round(stock_opps / nullif(opps, 0)::DOUBLE, 9) AS in_stock_lookup_pct, round(orders / nullif(stock_opps, 0)::DOUBLE, 9) AS total_conversion,
          round(converted / nullif(opps, 0)::DOUBLE, 9) AS application_conversion, round(model_opps / nullif(stock_opps, 0)::DOUBLE, 9) AS fill_rate,
          customers, admins, adjustments, warranties::BIGINT AS warranties, fit_issues::BIGINT AS fit_issues, value::DOUBLE AS inventory_value
-       FROM (SELECT fiscal_week, sum(quant_sold) AS quant, sum(ext_sold) AS dollar, sum(ext_cost) AS cost, sum(positive_sales) AS sold,
+       FROM (SELECT @period, sum(quant_sold) AS quant, sum(ext_sold) AS dollar, sum(ext_cost) AS cost, sum(positive_sales) AS sold,
                sum(negative_sales) AS returned, count(DISTINCT so_number) AS orders, count(DISTINCT CASE WHEN coupon_code IS NOT NULL THEN so_number END) AS coupon_orders,
                count(DISTINCT customer_id) AS customers, sum(sales_opp) AS opps, sum(in_stock_opp) AS stock_opps, sum(opp_converted) AS converted,
                sum(in_model_opp) AS model_opps, count(DISTINCT so_number) FILTER (was_admin = 1) AS admins,
                count(DISTINCT so_number) FILTER (was_adjust = 1 OR adjustments > 0) AS adjustments, count(*) FILTER (return_reason = 'FRANCE') AS warranties,
-               count(*) FILTER (return_reason IN ('Phone mistake', 'PERU')) AS fit_issues FROM {dash} GROUP BY fiscal_week)
-       LEFT JOIN (SELECT fiscal_week, max_by(value, day) AS value FROM (
-           SELECT k.fiscal_week, v.inventory_date AS day, sum(v.on_hand * u.cost) AS value FROM {inventory} v JOIN {unit_cost} u USING (cuc)
-           JOIN {calendar} k ON k.day = v.inventory_date GROUP BY ALL) GROUP BY fiscal_week) USING (fiscal_week)""",
-    places=9,
-)
+               count(*) FILTER (return_reason IN ('Phone mistake', 'PERU')) AS fit_issues FROM {dash} GROUP BY @period)
+       LEFT JOIN (SELECT @period, max_by(value, day) AS value FROM (
+           SELECT k.@period, v.inventory_date AS day, sum(v.on_hand * u.cost) AS value FROM {inventory} v JOIN {unit_cost} u USING (cuc)
+           JOIN {calendar} k ON k.day = v.inventory_date GROUP BY ALL) GROUP BY @period) USING (@period)"""
+
+
+@query("dashboard_kpis", FIGURES.replace("@period", "fiscal_week"), places=9)
 def dashboard_kpis(t: Inputs):
     stock = materialise_stage(inventory(t))
     return opportunity.dashboard_kpis(dashboard(t, stock), stock, t.unit_cost, t.calendar, 2.0, ["FRANCE"], ["Phone mistake", "PERU"])
 
 
+@query("dashboard_months", FIGURES.replace("@period", "fiscal_month"), places=9)
+def dashboard_months(t: Inputs):
+    """Months from the same orders as weeks, which are kept once for both."""
+    stock = materialise_stage(inventory(t))
+    periods = ["fiscal_week", "fiscal_month"]
+    facts = materialise_stage(opportunity.order_facts(dashboard(t, stock), periods, ["FRANCE"], ["Phone mistake", "PERU"]))
+    return opportunity.period_figures(facts, stock, t.unit_cost, t.calendar, "fiscal_month", 2.0)
+
+
 # ---------------------------------------------------------------- rebates
 
 MONEY_SUMS = "sum(sales) AS sales, sum(roy) AS roy, sum(ntl) AS ntl, sum(loc) AS loc"

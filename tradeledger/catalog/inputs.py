@@ -41,7 +41,18 @@ VIEWS: dict[str, str | tuple[str, str]] = {
         SELECT p_partkey AS item, p_brand AS cuc, p_type AS category,
           CASE WHEN length(p_brand) = 7 THEN 'CORE-1' ELSE 'CORE-2' END AS core_type
         FROM {part}""",
-    "relations": """
+    "relations": (
+        # One scan: what an order points to as an array.
+        """
+        SELECT source, target, relation_type, related_at FROM (
+          SELECT o_orderkey AS source, o_orderdate AS related_at, inline(filter(array(
+            named_struct('target', o_orderkey + 1, 'relation_type', 6, 'held', o_orderpriority > '2-HIGH'),
+            named_struct('target', o_orderkey + 3, 'relation_type', 5, 'held', o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'),
+            named_struct('target', o_orderkey + 5, 'relation_type', 4, 'held', o_orderstatus = 'F'),
+            named_struct('target', o_orderkey + 7, 'relation_type', 8, 'held', o_orderpriority = '2-HIGH' AND o_orderstatus = 'O')),
+            one -> one.held))
+          FROM {orders})""",
+        """
         SELECT o_orderkey AS source, o_orderkey + 1 AS target, 6 AS relation_type, o_orderdate AS related_at
         FROM {orders} WHERE o_orderpriority > '2-HIGH'
         UNION ALL
@@ -52,6 +63,7 @@ VIEWS: dict[str, str | tuple[str, str]] = {
         UNION ALL
         SELECT o_orderkey, o_orderkey + 7, 8, o_orderdate
         FROM {orders} WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'O'""",
+    ),
     "pickups": """
         SELECT o_orderkey AS pickup_id, o_orderkey AS so_number,
           CASE WHEN o_orderstatus = 'P' THEN 3 ELSE 9 END AS pickup_type,

@@ -13,7 +13,7 @@ from tradeledger.functions import audit, dates, geo, text
 from tradeledger.operators import tables as ops
 from tradeledger.plans import rebates
 from tradeledger.session import scratch_path
-from tradeledger.sources import read, write
+from tradeledger.sources import change, read, write
 
 MONEY = "decimal(12,2)"
 TZ = "America/Los_Angeles"
@@ -241,11 +241,14 @@ def decode_codes(t: Inputs):
     )
 
 
-# Group, first and last amount of a band, rate. Amounts have two places.
+# Group, limits of a band and whether the band holds them, rate.
 RATE_SQL = """coalesce((SELECT max(rate) FROM (VALUES
-    (13, -1e15, 2999.995, 0), (13, 3000.005, 1e15, 2), (17, 1000, 1999.99, 1), (17, 2000, 2999.99, 2), (17, 3000, 3499.99, 3), (17, 3499.995, 1e15, 3.5),
-    (18, 1000, 1999.99, 1), (18, 2000, 2999.99, 2), (18, 3000, 3499.99, 3), (18, 3499.995, 1e15, 3.5), (22, 0, 3000, 10), (22, 3000.005, 1e15, 15)
-  ) band(member_group, low, high, rate) WHERE member_group = {g} AND {a} BETWEEN low AND high)::DOUBLE, ({d})::DOUBLE)"""
+    (13, -1e15, true, 3000, false, 0), (13, 3000, false, 1e15, true, 2),
+    (17, 1000, true, 1999.99, true, 1), (17, 2000, true, 2999.99, true, 2), (17, 3000, true, 3499.99, true, 3), (17, 3499.99, false, 1e15, true, 3.5),
+    (18, 1000, true, 1999.99, true, 1), (18, 2000, true, 2999.99, true, 2), (18, 3000, true, 3499.99, true, 3), (18, 3499.99, false, 1e15, true, 3.5),
+    (22, 0, true, 3000, true, 10), (22, 3000, false, 1e15, true, 15)
+  ) band(member_group, low, holds_low, high, holds_high, rate) WHERE member_group = {g} AND ({a} > low OR holds_low AND {a} = low)
+    AND ({a} < high OR holds_high AND {a} = high))::DOUBLE, ({d})::DOUBLE)"""
 
 
 @query(
@@ -299,6 +302,26 @@ def cte_stage(t: Inputs):
     return counts.join(most, F.col("orders") == F.col("most"))
 
 
+@query(
+    "change_stored",
+    """SELECT o_orderkey, o_custkey, o_orderpriority, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal ELSE o_totalprice END AS o_totalprice,
+         CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice > 100000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus
+       FROM {orders} LEFT JOIN {customer} ON o_custkey = c_custkey
+       WHERE NOT (o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice > 100000) OR o_orderpriority <> '1-URGENT'""",
+)
+def change_stored(t: Inputs):
+    """Two updates and a delete on a stored copy of the orders, one partition per priority."""
+    path, priority = scratch_path(t.spark, "orders"), ["o_orderpriority"]
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", *priority]
+    t.orders.select(*columns).write.partitionBy(*priority).parquet(path)
+    large = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.col("o_totalprice") > 100000)
+    change.update_stored(t.spark, path, priority, large, o_orderstatus=F.lit("X"))
+    builders = t.customer.filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal")
+    change.update_stored_from(t.spark, path, priority, builders, ["o_custkey"], {"o_totalprice": "c_acctbal"})
+    change.delete_stored(t.spark, path, priority, (F.col("o_orderstatus") == "X") & (F.col("o_orderpriority") == "1-URGENT"))
+    return t.spark.read.schema(t.orders.select(*columns).schema).parquet(path)
+
+
 @query("drop_columns", "SELECT * EXCLUDE (o_orderpriority, o_orderstatus) FROM {orders}")
 def drop_columns(t: Inputs):
     return t.orders.drop("o_orderpriority", "o_orderstatus")

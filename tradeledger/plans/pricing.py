@@ -14,7 +14,6 @@ from tradeledger.session import cut_lineage
 
 # What counts as noise unless the caller says otherwise.
 EXCLUDED_PLANS = ["b1", "b2", "b3", "b4", "f1", "j2", "vp", "p3"]
-WEB_USERS = ["ecmccc", "ecom", "ecmnxprt", "ecmaconx"]
 EXCLUDED_COMPANIES = ["Test"]
 RETURN_REASONS = [
     "Cust did not order",
@@ -47,7 +46,7 @@ def pricing_noise_cleanup(
     reasons: DataFrame,
     excluded_shop_type: str = "Re",
     excluded_plans: Sequence[str] = EXCLUDED_PLANS,
-    excluded_users: Sequence[str] = WEB_USERS,
+    excluded_users: Sequence[str] = (),
     excluded_companies: Sequence[str] = EXCLUDED_COMPANIES,
     return_reasons: Sequence[str] = RETURN_REASONS,
     keep_unresolved: bool = True,
