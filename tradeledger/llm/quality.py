@@ -1,12 +1,15 @@
 """Quality by nearest-neighbour voting over latent-semantic vectors.
 
 Texts become weighted counts of hashed words and word shapes; a truncated singular value
-decomposition of a labelled sample gives the latent axes. The labelled vectors are broadcast, every
-document is compared with all of them block by block, and its nearest ones vote with their cosine.
+decomposition of a labelled sample gives the latent axes. Words weigh by their rarity among all documents. The
+labelled vectors are broadcast, every document is compared with all of them block by block, and its
+nearest ones vote with their cosine.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeledger.llm.batches import CACHE_WORDS, add_fields, texts_of
+from tradeledger.llm.batches import CACHE_WORDS, add_fields, pick, texts_of
 from tradeledger.llm.labelled import held_out, training_sample
 
 WORDS, SHAPES = 4096, 1024
@@ -25,9 +28,14 @@ TERMS = WORDS + SHAPES + 2
 #: Share of the words' part against that of the shapes.
 WORD_WEIGHT = 0.4
 
-_UPPER, _LOWER, _DIGIT = (bytes.maketrans(x, y * len(x)) for x, y in (
-    (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"A"), (bytes([*range(97, 123), *range(128, 256)]), b"a"), (b"0123456789", b"0")
-))
+#: Longest word, in bytes, that a worker remembers.
+CACHE_BYTES = 64
+
+# A for upper case, a for lower case and bytes beyond ASCII, 0 for digits.
+_KINDS = bytes(
+    65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256)
+)
+_RUN = re.compile(rb"(.)\1+", re.DOTALL)
 
 
 class TermCodes(dict):
@@ -36,12 +44,11 @@ class TermCodes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        shape = bytearray()
-        for b in word[:16].translate(_UPPER).translate(_LOWER).translate(_DIGIT):
-            if not shape or shape[-1] != b:
-                shape.append(b)
+        shape = _RUN.sub(rb"\1", word.translate(_KINDS))
         bucket = xxhash.xxh3_64_intdigest(word.lower()) % WORDS
-        found = self[word] = bucket * SHAPES + xxhash.xxh3_64_intdigest(bytes(shape)) % SHAPES
+        found = bucket * SHAPES + xxhash.xxh3_64_intdigest(shape) % SHAPES
+        if len(word) <= CACHE_BYTES:
+            self[word] = found
         return found
 
 
@@ -101,8 +108,32 @@ class Model:
         return out
 
 
-def fit(sample: DataFrame, axes: int = 48, neighbours: int = 21, seed: int = 7) -> Model:
-    """Latent axes by randomised subspace iteration over the rows of a bounded sample."""
+def rarity(docs: DataFrame) -> np.ndarray:
+    """Logarithm of the number of texts over those that hold a word of the bucket, over all documents.
+
+    Each task counts its own texts, so one row per task and bucket is shuffled and one per bucket collected.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(WORDS + 1, np.int64)
+        for batch in batches:
+            for text in texts_of(batch.column(0)):
+                words = set(text.split()) if text else ()
+                if words:
+                    codes = np.fromiter(map(CODES.__getitem__, words), np.int64, len(words))
+                    held[np.unique(codes // SHAPES)] += 1
+                    held[WORDS] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(WORDS + 1)), pa.array(held)], names=["bucket", "n"])
+
+    counts = pick(docs, "text").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    seen = np.zeros(WORDS + 1)
+    for row in counts.collect():
+        seen[row["bucket"]] = row["n"]
+    return np.log((1 + seen[WORDS]) / (1 + seen[:WORDS])).astype(np.float32)
+
+
+def fit(sample: DataFrame, idf: np.ndarray, axes: int = 48, neighbours: int = 21, seed: int = 7) -> Model:
+    """Latent axes by randomised subspace iteration over the rows of a bounded sample; ``idf`` of ``rarity``."""
     def work(texts):
         at, values = [], []
         for text in texts_of(texts):
@@ -117,8 +148,6 @@ def fit(sample: DataFrame, axes: int = 48, neighbours: int = 21, seed: int = 7)
     for i, r in enumerate(rows):
         matrix[i, np.frombuffer(r["at"], "<i4")] = np.frombuffer(r["value"], "<f4")
     labels = np.array([r["y"] for r in rows], np.float32)
-    seen = (matrix[:, :WORDS] > 0).sum(axis=0)
-    idf = np.log((1 + len(rows)) / (1 + seen)).astype(np.float32)
     matrix = weighed(matrix, idf)
     start = np.random.default_rng(seed).standard_normal((TERMS, min(axes + 8, TERMS))).astype(np.float32)
     basis = start
@@ -136,12 +165,12 @@ def score_quality(
 ) -> DataFrame:
     """Columns ``keep`` (all by default) with held_out, score and predicted.
 
-    The model is fitted on at most ``bound`` labelled rows that are not held out; every text is then
-    scored in whole. Empty and NULL texts, and texts without any known term, get the sample's share of
+    The model is fitted on at most ``bound`` labelled rows that are not held out, words weigh by the
+    number of all documents that hold them; every text is then scored in whole. Empty and NULL texts, and texts without any known term, get the sample's share of
     label 1; without labels every score is 0.5. Repeated rows get equal scores. ``predicted`` is 1
     from a score of 0.3 on. Columns of docs with the new names are replaced.
     """
-    model = fit(training_sample(docs, labels, "quality", folds, fold, bound))
+    model = fit(training_sample(docs, labels, "quality", folds, fold, bound), rarity(docs))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     keep = list(docs.columns) if keep is None else keep
     keep = [c for c in keep if c.lower() not in ("held_out", "predicted")]
