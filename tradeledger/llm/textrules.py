@@ -27,6 +27,9 @@ FEATURES = ("word_length", "symbol_share", "line_share", "repeat_share")
 #: a squared distance of 25 there. One repeated heading is no fault and is taken out of the statistics instead.
 RIDGE = (0.0025, 0.0025, 0.0025, 0.0025)
 
+#: Words of a repeated line that may be a heading; a longer one counts as repeated text.
+HEADING_WORDS = 12
+
 
 def consistency(share: float) -> float:
     """What a covariance of the central ``share`` of normal rows of four statistics is multiplied by.
@@ -93,7 +96,7 @@ def repeated_lines(text: Column) -> Column:
 
 
 def heading_words(text: Column) -> Column:
-    """Words of the longest line that the text repeats, in two places; 0 without a repeated line."""
+    """Words in two places of the longest line that the text repeats; 0 without one, or if it is no heading."""
     filled = F.filter(F.split(text, "\n"), lambda line: F.translate(line, BLANKS, "") != "")
 
     def of_sorted(lines: Column) -> Column:
@@ -102,7 +105,8 @@ def heading_words(text: Column) -> Column:
 
     def of_lines(lines: Column) -> Column:
         some = F.size(lines) > F.size(F.array_distinct(lines))
-        return F.when(some, 2 * let(F.sort_array(lines), of_sorted)).otherwise(F.lit(0))
+        found = let(F.sort_array(lines), of_sorted)
+        return F.when(some, let(found, lambda n: F.when(n <= HEADING_WORDS, 2 * n).otherwise(0))).otherwise(F.lit(0))
 
     return let(filled, of_lines).cast("bigint")
 
@@ -132,7 +136,7 @@ def text_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 def _features(stats: DataFrame) -> DataFrame:
     """Logarithms and square roots of rates; one repeated heading is left out of both rates of repeats."""
-    more_lines = F.greatest(F.col("n_dup_lines") - 1, F.lit(0))
+    more_lines = F.greatest(F.col("n_dup_lines") - (F.col("heading_words") > 0).cast("int"), F.lit(0))
     more_words = F.greatest(F.col("n_repeat_words") - F.col("heading_words"), F.lit(0))
     words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
     return stats.withColumns(
