@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import pytest
 
-from tradeledger.llm import neardup, packing, repeats, secrets, textrules
+from tradeledger.llm import neardup, packing, quality, repeats, secrets, textrules
 from tradeledger.llm.batches import prepare
 
 
@@ -135,3 +135,41 @@ def test_passages_below_the_byte_length_are_reported(spark):
     sizes = [len((t or "").encode()) for _, t in rows]
     assert got == sorted(zip(sizes, runs(50))) == sorted(zip(sizes, runs(26)))
     assert sum(x for _, x in got) >= 30 and found.agg({"n_removed": "sum"}).first()[0] == 0
+
+
+def test_shapes_of_whole_words(spark):
+    """Words alike in their first bytes differ in shape; long words are not remembered."""
+    codes = quality.TermCodes()
+    start = b"abcdefghijklmnopqrst"
+    shapes = {codes[start + end] % quality.SHAPES for end in (b"", b"7", b"-x", b"X", b"!?")}
+    assert len(shapes) == 5 and codes[start] % quality.SHAPES == codes[b"zz"] % quality.SHAPES
+    codes[b"x" * 5000]
+    assert max(map(len, codes)) < 100
+
+
+def test_rarity_is_counted_over_all_documents(spark):
+    prepare(spark)
+    rows = [("common word",)] * 30 + [("rare common",), (None,), ("",), ("  \n",)]
+    found = quality.rarity(spark.createDataFrame(rows, "text string").repartition(4))
+    bucket = {w: quality.TermCodes()[w] // quality.SHAPES for w in (b"common", b"word", b"rare", b"nowhere")}
+    for word, n in ((b"common", 31), (b"word", 30), (b"rare", 1), (b"nowhere", 0)):
+        assert found[bucket[word]] == pytest.approx(np.log(32 / (1 + n)))
+    assert quality.rarity(spark.createDataFrame([], "text string")).tolist() == [0.0] * quality.WORDS
+
+
+def test_a_long_repeated_line_is_no_heading(spark):
+    """18 % of the words in one repeated line of 40 are a fault; a heading of three words is none."""
+    prepare(spark)
+    pick = random.Random(3)
+
+    def words(n):
+        return " ".join("".join(pick.choice("abcdefghij") for _ in range(pick.randint(3, 7))) for _ in range(n))
+
+    rows = [(i, "\n".join(words(11) for _ in range(40))) for i in range(400)]
+    long, heading = words(40), words(3)
+    rows.append((1000, "\n".join([long, *(words(12) for _ in range(31)), long])))
+    rows.append((1001, "\n".join([heading, *(words(12) for _ in range(18)), heading, *(words(12) for _ in range(18))])))
+    frame = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r for r in textrules.judge_texts(frame).collect()}
+    assert not found[1000].base_failed and found[1000].n_repeat_words == 80 and not found[1000].kept
+    assert found[1001].n_dup_lines == 1 and found[1001].kept and all(found[i].kept for i in range(400))
