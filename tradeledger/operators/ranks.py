@@ -23,8 +23,9 @@ BINS, CELLS = 4096, 4_000_000
 #: Rows of all open bins that are fetched instead of counted again.
 FETCH = 200_000
 
-# Rows of a group are told apart by a few hash values, so that bounds meet a large group in several tasks.
-_SALTS = 16
+# Rows of a group are told apart by a few hash values, so that bounds meet a large group in several tasks. With
+# very many cells, each of them is small.
+_SALTS, _SALTED_CELLS = 16, 10_000
 
 
 def values_at_ranks(
@@ -160,8 +161,13 @@ def _bin(kind: T.DataType, bins: int, first: bool) -> Column:
     return F.when(F.isnan(raw), end + 1).when(raw == float("inf"), end).when(raw == float("-inf"), -end).otherwise(place)
 
 
-def _salted(cells: DataFrame) -> DataFrame:
-    return cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+def _meet(rows: DataFrame, cells: DataFrame, on: list[str], number: int) -> DataFrame:
+    """Rows with the bounds of their cell; there are ``number`` cells."""
+    if number > _SALTED_CELLS and on:
+        return same_groups(rows, cells, on)
+    salt = F.pmod(F.xxhash64("_x"), F.lit(_SALTS)).cast("int")
+    several = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return same_groups(rows.withColumn("_salt", salt), several, [*on, "_salt"]).drop("_salt")
 
 
 def narrow(
@@ -174,7 +180,7 @@ def narrow(
     """
     kind, keys = rows.schema["_x"].dataType, list(keys)
     out = ["_name", "_x"]
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_x"), F.lit(_SALTS)))
+    located = rows
     open_ = ~F.col("_least").eqNullSafe(F.col("_most"))
     state, path, done = wanted.withColumn("_at", F.col("_rank")), [], []
     while True:
@@ -186,14 +192,13 @@ def narrow(
         if not size["cells"]:
             break
         if size["rows"] <= fetch:
-            done.append(_fetched(salted, state, keys, path, weighted).select(*keys, "_rank", *out))
+            done.append(_fetched(located, state, keys, path, weighted, size["cells"]).select(*keys, "_rank", *out))
             break
         number = max(2, min(bins, CELLS // size["cells"]))
-        bounds = _salted(cells.drop("_rows"))
         level = f"_b{len(path)}"
-        salted = same_groups(salted, bounds, [*keys, *path, "_salt"]).withColumn(level, _bin(kind, number, not path))
-        salted = salted.drop("_lo", "_hi")
-        counted = salted.groupBy(*keys, *path, level).agg(F.sum("_n").alias("_sum"), *summary_of(rows))
+        located = _meet(located, cells.drop("_rows"), [*keys, *path], size["cells"])
+        located = located.withColumn(level, _bin(kind, number, not path)).drop("_lo", "_hi")
+        counted = located.groupBy(*keys, *path, level).agg(F.sum("_n").alias("_sum"), *summary_of(rows))
         one = F.struct(level, "_sum", "_rows", "_least", "_most", "_lo", "_hi")
         histogram = counted.groupBy(*keys, *path).agg(F.sort_array(F.collect_list(one)).alias("_bins"))
         state = cut_lineage(_into_bins(state, histogram, keys, path, level, one))
@@ -228,13 +233,14 @@ def _into_bins(state: DataFrame, histogram: DataFrame, keys: list[str], path: li
     )
 
 
-def _fetched(salted: DataFrame, state: DataFrame, keys: list[str], path: list[str], weighted: bool) -> DataFrame:
+def _fetched(
+    located: DataFrame, state: DataFrame, keys: list[str], path: list[str], weighted: bool, number: int
+) -> DataFrame:
     """Ranks read off the sorted rows of the open bins, of which there are few."""
     if keys or path:
-        cells = _salted(state.select(*keys, *path).distinct())
-        rows = same_groups(salted, cells, [*keys, *path, "_salt"])
+        rows = _meet(located, state.select(*keys, *path).distinct(), [*keys, *path], number)
     else:
-        rows = salted
+        rows = located
     element = F.struct("_x", "_n") if weighted else F.col("_x")
     lists = rows.groupBy(*keys, *path).agg(F.sort_array(F.collect_list(element)).alias("_all"))
     asked = state.select(*keys, *path, "_name", "_rank", "_at")

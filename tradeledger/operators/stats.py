@@ -72,7 +72,8 @@ def kernel_density(
     # Fallbacks when the spread is zero: sd, then the size of the values, then 1.
     spreads = (narrow, F.col("_sd"), F.abs("_min"))
     width = F.coalesce(*[F.nullif(s, F.lit(0.0)) for s in spreads], F.lit(1.0))
-    shape = (
+    # One row per group, read by the bins and by the curve.
+    shape = cut_lineage(
         same_groups(moments, spread, by)
         .withColumn("_bw", 0.9 * width * F.pow("_total", F.lit(-0.2)))
         .withColumn("_lo", F.col("_min") - 3 * F.col("_bw"))
