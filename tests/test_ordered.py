@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tradeledger.operators import intervals, ordered
+from tradeledger.session import hadoop_exists, stage_scope
 
 
 @pytest.fixture(scope="module")
@@ -188,3 +189,19 @@ def test_order_statistic_is_not_a_percentile(spark):
 def test_dense_index_has_no_gaps(spark):
     got = ordered.dense_index(spark.range(0, 5000, 3, 7), "id").select("row_index").collect()
     assert sorted(r[0] for r in got) == list(range(1667))
+
+
+def test_slices_go_with_their_scope(spark):
+    """Tables and files of slices are there inside the scope and gone after it, also after an error."""
+    data = spark.range(300).select("id", F.lit("k").alias("key"))
+
+    def held():
+        return [t.name for t in spark.catalog.listTables() if t.name.startswith("stage_")]
+
+    before = set(held())
+    with pytest.raises(RuntimeError), stage_scope(spark):
+        sliced = ordered.range_slices(data, ["key"], ["id"], 4)
+        path = sliced.inputFiles()[0].rsplit("/", 1)[0]
+        assert sliced.count() == 300 and len(set(held()) - before) == 1 and hadoop_exists(spark, path)
+        raise RuntimeError("lost")
+    assert set(held()) == before and not hadoop_exists(spark, path)
