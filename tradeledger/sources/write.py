@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeledger.functions.dates import local_day_bounds
+from tradeledger.operators.tables import union_tagged
 from tradeledger.session import cut_lineage
 
 
@@ -65,13 +66,14 @@ def sink_incremental_append(
 
 
 def sink_multi_report(reports: dict[str, DataFrame], path: str, file_column: str = "source_file") -> DataFrame:
-    """Several result tables per input file, in ``report=/<file>=`` folders."""
-    fields = {}
-    for name, df in reports.items():
-        even = df.hint("rebalance", F.col(file_column))
-        even.write.mode("overwrite").partitionBy(file_column).parquet(f"{path}/report={name}")
-        fields |= {field.name: field for field in df.schema.fields}
+    """Several result tables per input file, in ``report=/<file>=`` folders, from one write.
+
+    Columns that a report lacks are NULL in its rows.
+    """
+    tagged = union_tagged(reports, "report")
+    even = tagged.hint("rebalance", F.col("report"), F.col(file_column))
+    even.write.mode("overwrite").partitionBy("report", file_column).parquet(path)
     # A stated schema keeps file names that look like numbers as text.
-    schema = T.StructType([*fields.values(), T.StructField("report", T.StringType())])
-    reader = df.sparkSession.read.schema(schema).option("basePath", path)
-    return reader.parquet(*[f"{path}/report={name}" for name in reports])
+    others = [f for f in tagged.schema.fields if f.name != "report"]
+    schema = T.StructType([*others, T.StructField("report", T.StringType())])
+    return tagged.sparkSession.read.schema(schema).parquet(path)
