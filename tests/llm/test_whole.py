@@ -7,6 +7,8 @@ import brute
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tradeledger.llm import neardup, packing, quality, repeats, secrets, textrules
 from tradeledger.llm.batches import prepare
 
@@ -92,6 +94,26 @@ def test_secret_in_many_documents_of_one_owner(spark):
     assert [found[200 + i] for i in range(3)] == [[]] * 3
 
 
+def test_spread_of_a_value_inside_its_owners(spark):
+    """A template of one owner, an example that two owners share, a credential that leaked to a second owner."""
+    prepare(spark)
+    template, example, leaked = "Xk3vQ9zLm2PwT7rBn4Yc", "aB3dE6gH9jK2mN5pQ8sT", "Zq8wE5rT2yU7iO4pA1sD"
+    rows = [(i, f"page {i} uses {template} here", "s") for i in range(150)]
+    rows += [(1000 + i, f"text {i} shows {example}", "t" if i % 2 else "u") for i in range(8)]
+    rows += [(2000 + i, f"note {i} has {leaked}", "v" if i else None) for i in range(5)]
+    rows += [(3000 + i, f"more text {i}", "s") for i in range(1350)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def listed(**limits):
+        found = secrets.scan_secrets(frame, **limits).where(F.size("secrets") > 0).select("doc_id").collect()
+        return sorted(r.doc_id for r in found)
+
+    # 150 of the 1,500 texts of its owner are a tenth of them, and no more.
+    assert listed() == [*range(150), *range(2000, 2005)]
+    assert listed(template_share=0.09) == [*range(2000, 2005)]
+    assert listed(main_share=0.5, few=150) == [*range(150), *range(1000, 1008), *range(2000, 2005)]
+
+
 def test_tables_of_a_bucket_are_bounded(monkeypatch):
     """Short template texts, ten shingles each and three of their own, in small tables on both sides."""
     monkeypatch.setattr(neardup, "CELLS", 5000)

@@ -1,8 +1,9 @@
 """Secret scans: candidates by pattern, told apart by how many owners hold the same value.
 
 Fixed kinds of candidates are always reported. Further opaque tokens are candidates too: they are
-reported only if few owners hold the same value, as a credential in use does, in however many of their
-texts; a value that many owners hold is a copied example. Only hashes of values leave the scan.
+reported only if the value belongs to one owner, as a credential in use does. A value that many owners
+hold, that several owners hold alike, or that stands in a large part of an owner's texts is a copied
+example or a template. Only hashes of values leave the scan.
 """
 
 from __future__ import annotations
@@ -32,6 +33,13 @@ KINDS = ("assign", "access", "hex", "opaque")
 #: Least Shannon entropy (bits a character) of an opaque token.
 LEAST_ENTROPY = 3.5
 
+#: Owners of a credential; the part of its repositories that its main owner must hold at least.
+MOST_OWNERS, MAIN_SHARE = 2, 2 / 3
+
+#: Part of the main owner's repositories beyond which a value is a template of that owner, and the number of
+#: repositories that says nothing yet, however few the owner has. The limit grows with the owner.
+TEMPLATE_SHARE, FEW_REPOSITORIES = 0.1, 100
+
 
 def _opaque(value: str) -> bool:
     """Upper case, lower case and digits mixed, and close to random."""
@@ -76,15 +84,24 @@ def scan(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Distinct repositories and owners of each candidate value, NULL counting as one of them.
+    """Owners and repositories of each candidate value, and what its main owner holds of both.
 
-    Equal (value, owner, repository) rows meet before the shuffle, so a value in a third of all rows
-    costs one row per task and owner.
+    value, owners, repositories, ``most`` (repositories of the owner that has most of them) and ``size``
+    (all repositories of that owner, with candidates or without; the largest of equal owners). NULL counts
+    as an owner and as a repository. Equal (value, owner, repository) rows meet before the shuffle, so a value in
+    a third of all rows costs one row per task, owner and repository.
     """
     held = found.select(F.explode("found.value").alias("value"), "owner", "repository").distinct()
     by_owner = held.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repositories"))
-    return by_owner.groupBy("value").agg(
-        F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories")
+    sizes = found.select("owner", "repository").distinct().groupBy("owner").agg(F.count(F.lit(1)).alias("size"))
+    sizes = sizes.withColumnRenamed("owner", "owner_")
+    sized = by_owner.join(sizes, F.col("owner").eqNullSafe(F.col("owner_")))
+    main = F.max(F.struct("repositories", "size"))
+    by_value = sized.groupBy("value").agg(
+        F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"), main.alias("main")
+    )
+    return by_value.select(
+        "value", "owners", "repositories", F.col("main.repositories").alias("most"), F.col("main.size").alias("size")
     )
 
 
@@ -93,14 +110,18 @@ def scan_secrets(
     id_column: str = "doc_id",
     owner: str = "source",
     repository: str | None = None,
-    most_owners: int = 2,
+    most_owners: int = MOST_OWNERS,
+    main_share: float = MAIN_SHARE,
+    template_share: float = TEMPLATE_SHARE,
+    few: int = FEW_REPOSITORIES,
 ) -> DataFrame:
     """One row per row of docs: the id and ``secrets``, sorted by start and kind.
 
-    A secret has kind, start, end (code points, end exclusive), owners, repositories and ``live``:
-    true if at most ``most_owners`` owners hold its value. Opaque tokens are listed only if live.
-    Repositories are counted per owner: equal names under two owners are two. Without a ``repository``
-    column they are the distinct texts, so copies count once; their number is told and decides nothing.
+    A secret has kind, start, end (code points, end exclusive), owners, repositories and ``live``: true if
+    at most ``most_owners`` owners hold its value, one of them has ``main_share`` of its repositories or
+    more, and these are at most ``few`` or ``template_share`` of all that this owner has. Opaque tokens are
+    listed only if live. Repositories are counted per owner: equal names under two owners are two. Without a
+    ``repository`` column they are the distinct texts, so copies count once.
     A NULL or empty text has no secrets; repeated rows get a row each.
     """
     rows = pick(docs, *dict.fromkeys([id_column, "text", owner, *([repository] if repository else [])]))
@@ -113,7 +134,8 @@ def scan_secrets(
     stage = cut_lineage(found.withColumn("row", F.monotonically_increasing_id()))
     held = ownership(stage)
     spans = stage.where(F.size("found") > 0).select("row", F.explode("found").alias("s"))
-    live = F.col("owners") <= most_owners
+    own = (F.col("owners") <= most_owners) & (F.col("most") >= main_share * F.col("repositories"))
+    live = own & (F.col("most") <= F.greatest(F.lit(float(few)), template_share * F.col("size")))
     judged = (
         spans.withColumn("value", F.col("s.value"))
         .join(held, "value")
