@@ -11,12 +11,15 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeledger.llm.batches import add_fields, pick, texts_of
+from tradeledger.session import cut_lineage
 
 #: Windows in one set of tables sent to the executors; more are searched for set by set.
 BLOCK_WINDOWS = 200_000
@@ -101,6 +104,14 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+#: Columns that a search adds.
+FIELDS = [
+    ("n_words", "bigint", pa.int64()),
+    ("spans", "array<struct<start:bigint,end:bigint>>", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+    ("items", "array<string>", pa.list_(pa.string())),
+]
+
+
 def find_items(
     docs: DataFrame, items: DataFrame, gram: int = 10, keep: list[str] | None = None, block: int = BLOCK_WINDOWS
 ) -> DataFrame:
@@ -111,47 +122,75 @@ def find_items(
     such a name is replaced. A row without text has no words. Items without words or text have no
     windows, an item without id marks words and is not listed. Repeated rows are judged each.
 
-    The pattern tables hold at most ``block`` windows at a time. The windows are counted first; more
-    of them are searched for in several rounds over the same rows, without a shuffle.
+    The windows are counted first. Up to ``block`` of them are one set of tables, searched for as the rows
+    pass by. More are searched for set by set: each round holds one set only, and writes the hits of the
+    distinct texts, which are then joined back by text hash.
     """
     keep = list(docs.columns) if keep is None else keep
+    taken = {f[0] for f in FIELDS} | {"n_hit", "contaminated"}
+    keep = [c for c in keep if c.lower() not in taken]
     grams = item_windows(items, gram).groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
     rounds = max(1, math.ceil(grams.count() / block))
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    fields = [
-        ("n_words", "bigint", pa.int64()),
-        ("spans", "array<struct<start:bigint,end:bigint>>", kind),
-        ("items", "array<string>", pa.list_(pa.string())),
-    ]
-    taken = {f[0] for f in fields} | {"n_hit", "contaminated"}
-    keep = [c for c in keep if c.lower() not in taken]
-    out = docs
+    out = _search(docs, grams, keep)[0] if rounds == 1 else _search_in_rounds(docs, cut_lineage(grams), keep, rounds)
+    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
+    return out.withColumn("n_hit", hit).withColumn("contaminated", F.col("n_hit") > 0)
+
+
+def _search(docs: DataFrame, grams: DataFrame, keep: list[str]) -> tuple[DataFrame, Broadcast]:
+    """Columns ``keep`` with n_words, spans and items for the windows of one set, and the tables sent out."""
+    sent = docs.sparkSession.sparkContext.broadcast(tables_of([(bytes(r.window), r["items"]) for r in grams.collect()]))
+
+    def work(texts):
+        counts, all_spans, all_items = [], [], []
+        for text in texts_of(texts):
+            words = words_of(text)
+            hits, found = [], set()
+            for table in sent.value:
+                for start, owners in table.search(words):
+                    hits.append((start, start + table.length))
+                    found.update(owners)
+            counts.append(len(words))
+            all_spans.append([{"start": a, "end": b} for a, b in _merged(hits)])
+            all_items.append(sorted(found))
+        return counts, all_spans, all_items
+
+    return add_fields(docs, ["text"], keep, FIELDS, work), sent
+
+
+def _search_in_rounds(docs: DataFrame, grams: DataFrame, keep: list[str], rounds: int) -> DataFrame:
+    """The same for sets of windows one after another: a round is written before the next one's tables are built."""
+    texts = pick(docs, "text").where(F.col("text").isNotNull())
+    texts = texts.select("text", F.xxhash64("text").alias("key"), F.octet_length("text").alias("size"))
+    parts = []
     for i in range(rounds):
-        part = grams.where(F.pmod(F.xxhash64("window"), F.lit(rounds)) == i)
-        sent = docs.sparkSession.sparkContext.broadcast(
-            tables_of([(bytes(r.window), r["items"]) for r in part.collect()])
+        found, sent = _search(texts, grams.where(F.pmod(F.xxhash64("window"), F.lit(rounds)) == i), ["key", "size"])
+        # Copies of a text have equal hits.
+        parts.append(cut_lineage(found.where(F.size("spans") > 0).dropDuplicates(["key", "size"])))
+        sent.destroy()
+    hits = reduce(DataFrame.unionByName, parts).groupBy("key", "size").agg(
+        F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    through = list(dict.fromkeys([*keep, "text"]))
+    rows = add_fields(docs, ["text"], through, FIELDS[:1], lambda t: ([len(words_of(x)) for x in texts_of(t)],))
+    hits = hits.toDF("key_", "size_", "spans", "items")
+    met = rows.join(hits, (F.xxhash64("text") == F.col("key_")) & (F.octet_length("text") == F.col("size_")), "left")
+    spans, names = (F.array().cast(ddl) for _, ddl, _ in FIELDS[1:])
+    return met.select(
+        *(F.col(f"`{c}`") for c in keep), "n_words",
+        F.coalesce(_joined(F.col("spans")), spans).alias("spans"), F.coalesce("items", names).alias("items"),
+    )
+
+
+def _joined(spans: Column) -> Column:
+    """Sorted spans with overlapping and touching ones made one."""
+
+    def step(done: Column, x: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
+        apart = (F.size(done) == 0) | (x["start"] > last["end"])
+        return F.when(apart, F.concat(done, F.array(x))).otherwise(
+            F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))
         )
 
-        def work(texts, spans=None, names=None, sent=sent):
-            counts, all_spans, all_items = [], [], []
-            before = zip(spans.to_pylist(), names.to_pylist(), strict=True) if spans is not None else None
-            for text in texts_of(texts):
-                words = words_of(text)
-                hits, found = [], set()
-                if before is not None:
-                    old, listed = next(before)
-                    hits, found = [(x["start"], x["end"]) for x in old], set(listed)
-                for table in sent.value:
-                    for start, owners in table.search(words):
-                        hits.append((start, start + table.length))
-                        found.update(owners)
-                counts.append(len(words))
-                all_spans.append([{"start": a, "end": b} for a, b in _merged(hits)])
-                all_items.append(sorted(found))
-            return counts, all_spans, all_items
-
-        last = i == rounds - 1
-        through = keep if last else list(dict.fromkeys([*keep, "text"]))
-        out = add_fields(out, ["text", *(["spans", "items"] if i else [])], through, fields, work)
-    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
-    return out.withColumn("n_hit", hit).withColumn("contaminated", F.col("n_hit") > 0)
+    return F.aggregate(spans, F.array().cast(FIELDS[1][1]), step)
