@@ -6,7 +6,6 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
-
 from pyspark.sql import functions as F
 
 from tradeledger.llm import neardup, packing, quality, repeats, secrets, textrules
@@ -195,3 +194,47 @@ def test_a_long_repeated_line_is_no_heading(spark):
     found = {r.doc_id: r for r in textrules.judge_texts(frame).collect()}
     assert not found[1000].base_failed and found[1000].n_repeat_words == 80 and not found[1000].kept
     assert found[1001].n_dup_lines == 1 and found[1001].kept and all(found[i].kept for i in range(400))
+
+
+def least_determinant(x, share=0.75):
+    """The estimate in plain numpy: three starts of two steps, the least goes on until it settles."""
+    n, ridge = len(x), np.diag(textrules.RIDGE)
+    ordered = np.sort(x, axis=0)
+    q1, q2, q3 = (ordered[max(0, int(np.ceil(p * n)) - 1)] for p in (0.25, 0.5, 0.75))
+
+    def step(centre, scatter):
+        d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(scatter), x - centre)
+        part = x[d <= np.sort(d)[int(np.ceil(share * n)) - 1]]
+        return part.mean(axis=0), textrules.consistency(share) * np.cov(part.T, bias=True) + ridge
+
+    def logdet(e):
+        return np.linalg.slogdet(e[1])[1]
+
+    starts = [(q2, ridge), (q2, np.diag(((q3 - q1) / 1.349) ** 2) + ridge), (x.mean(axis=0), np.cov(x.T, bias=True) + ridge)]
+    ends = [step(*step(*s)) for s in starts]
+    best = min(ends, key=logdet)
+    while True:
+        found = min(best, step(*best), key=logdet)
+        if logdet(best) - logdet(found) < 1e-3:
+            return [logdet(e) for e in ends], logdet(found), found[0]
+        best = found
+
+
+def test_least_determinant_of_several_starts(spark):
+    """Two groups, one without a name; a third of the rows lies elsewhere and would draw a start from the means."""
+    made = {}
+    for name, seed in (("a", 1), (None, 5)):
+        rng = np.random.default_rng(seed)
+        near = rng.normal(0, [1, 0.05, 0.6, 0.4], (200, 4))
+        near[:, 2] += 0.9 * near[:, 0]
+        made[name] = np.concatenate([near, rng.normal([4, 1, -3, 2], 0.3, (100, 4))])
+    rows = [(name, *map(float, r)) for name, x in made.items() for r in x]
+    frame = spark.createDataFrame(rows, "g string, " + ", ".join(f"{f} double" for f in textrules.FEATURES))
+    found = {r.g: r for r in textrules.robust_scatter(frame, ["g"]).collect()}
+    assert set(found) == set(made)
+    for name, x in made.items():
+        ends, least, centre = least_determinant(x)
+        assert max(ends) - min(ends) > 0.01
+        assert abs(found[name].logdet - least) < 0.01
+        assert np.allclose([found[name][f"m{i}"] for i in range(4)], centre, atol=0.02)
+    assert textrules.robust_scatter(frame.where("false"), ["g"]).count() == 0

@@ -1,8 +1,8 @@
 """Quality rules: fixed limits, then robust multivariate outliers per language and source.
 
 Statistics of a text are transformed towards symmetry; for each language and source the minimum
-covariance determinant estimate of centre and scatter is found by concentration steps, and texts far
-from it by Mahalanobis distance are rejected. DataFrame functions only.
+covariance determinant estimate of centre and scatter is found by concentration steps from several
+starts, and texts far from it by Mahalanobis distance are rejected. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -185,25 +185,68 @@ def _distance(rows: DataFrame, factors: DataFrame, groups: list[str], name: str)
     return met.withColumn(name, sum(z, F.lit(0.0))).select(*rows.columns, name)
 
 
-def robust_scatter(rows: DataFrame, groups: list[str], share: float = 0.75, steps: int = 3) -> DataFrame:
-    """Minimum covariance determinant per group as centre and Cholesky factor.
+def _starts(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """Three first estimates per group: medians with equal scales, medians with the spread of the quartiles, and
+    mean and covariance of all rows."""
+    n = len(FEATURES)
+    lower = [(i, j) for i in range(n) for j in range(i + 1)]
+    quartiles = [F.percentile_approx(f, [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i, f in enumerate(FEATURES)]
+    cuts = cut_lineage(rows.groupBy(*groups).agg(*quartiles))
 
-    The first subset is the share of rows nearest to the medians; each concentration step keeps the
-    share nearest to the centre of the last subset, which cannot raise the determinant. Shares are cut
-    at approximate quantiles, sums are combined before the shuffle: no task holds a group. The scatter of
-    the subset is scaled to that of all rows.
+    def medians(scale: Callable[[int], Column], start: int) -> DataFrame:
+        sides = [(scale(i) if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i, j in lower]
+        return cuts.select(*groups, *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(n)], *sides, F.lit(start).alias("_start"))
+
+    def spread(i: int) -> Column:
+        deviation = (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349
+        return F.sqrt(deviation * deviation + RIDGE[i])
+
+    whole = _factored(_scatter(rows, groups, 1.0), groups).withColumn("_start", F.lit(2))
+    return cut_lineage(medians(lambda i: F.lit(RIDGE[i] ** 0.5), 0).unionByName(medians(spread, 1)).unionByName(whole))
+
+
+def _concentrated(rows: DataFrame, factors: DataFrame, groups: list[str], share: float) -> DataFrame:
+    """Centre, factor and log determinant of the share of each group's rows that is nearest by the given ones."""
+    far = _distance(rows, factors, groups, "_d")
+    limit = far.groupBy(*groups).agg(F.percentile_approx("_d", share, 1000).alias("_limit"))
+    limit = limit.toDF(*(f"__{g}" for g in groups), "_limit")
+    on = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in groups]
+    nearest = far.join(limit, on).where(F.col("_d") <= F.col("_limit"))
+    made = _factored(_scatter(nearest, groups, consistency(share)), groups)
+    logs = sum((2 * F.log(f"l{i}{i}") for i in range(len(FEATURES))), F.lit(0.0))
+    return cut_lineage(made.withColumn("logdet", logs))
+
+
+def _least(factors: DataFrame, groups: list[str]) -> DataFrame:
+    """The estimate of least determinant per group."""
+    values = ["logdet", *(c for c in factors.columns if c[0] in "ml" and c[1:].isdigit())]
+    least = factors.groupBy(*groups).agg(F.min(F.struct(*values)).alias("least"))
+    return cut_lineage(least.select(*groups, "least.*"))
+
+
+def robust_scatter(
+    rows: DataFrame, groups: list[str], share: float = 0.75, first_steps: int = 2, steps: int = 10, settled: float = 1e-3
+) -> DataFrame:
+    """Minimum covariance determinant per group as centre and Cholesky factor, with its log determinant.
+
+    Each of the starts takes ``first_steps`` concentration steps: a step keeps the share of the rows nearest to the
+    centre of the last subset, which cannot raise the determinant but for the cut at approximate
+    quantiles. The start of least determinant goes on, until a step lowers the log determinants by less than
+    ``settled`` a group in the mean, ``steps`` times at most; a group keeps the least it has met. Sums are
+    combined before the shuffle: no task holds a group. The scatter of the subset is scaled to that of all rows.
     """
-    median = [F.percentile_approx(f, 0.5, 1000).alias(f"m{i}") for i, f in enumerate(FEATURES)]
-    scale = [F.lit(0.0 if i != j else RIDGE[i] ** 0.5).alias(f"l{i}{j}") for i in range(len(FEATURES)) for j in range(i + 1)]
-    factors = rows.groupBy(*groups).agg(*median).select("*", *scale)
+    factors = _starts(rows, groups)
+    tried = rows.withColumn("_start", F.explode(F.array(*(F.lit(i) for i in range(3)))))
+    for _ in range(first_steps):
+        factors = _concentrated(tried, factors, [*groups, "_start"], share)
+    best = _least(factors, groups)
+    mean = best.agg(F.avg("logdet")).first()[0]
     for _ in range(steps):
-        far = _distance(rows, factors, groups, "_d")
-        limit = far.groupBy(*groups).agg(F.percentile_approx("_d", share, 1000).alias("_limit"))
-        limit = limit.toDF(*(f"__{g}" for g in groups), "_limit")
-        on = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in groups]
-        nearest = far.join(limit, on).where(F.col("_d") <= F.col("_limit"))
-        factors = cut_lineage(_factored(_scatter(nearest, groups, consistency(share)), groups))
-    return factors
+        best = _least(best.unionByName(_concentrated(rows, best, groups, share)), groups)
+        last, mean = mean, best.agg(F.avg("logdet")).first()[0]
+        if mean is None or last - mean < settled:
+            break
+    return best
 
 
 def judge_texts(
