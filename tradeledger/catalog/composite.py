@@ -176,6 +176,18 @@ def opening_inventory(t: Inputs):
     return inventory(t)
 
 
+@query(
+    "opening_inventory_of_months",
+    """SELECT cuc, inventory_date, on_hand FROM {inventory} JOIN {calendar} ON day = inventory_date
+       WHERE fiscal_month BETWEEN DATE '1998-01-01' AND DATE '1998-03-01'""",
+)
+def opening_inventory_of_months(t: Inputs):
+    histories = [t.stock_recent, t.stock_middle, t.stock_old]
+    stock = opportunity.store_stock(histories, scratch_path(t.spark, "stock"))
+    days = materialise_stage(t.calendar).filter("fiscal_month BETWEEN DATE '1998-01-01' AND DATE '1998-03-01'")
+    return opportunity.opening_inventory_on(stock, len(histories), t.items, days, WAREHOUSE, CATEGORY)
+
+
 @query("lookup_sale_match", f"SELECT {ROW_COLUMNS} FROM {{matched}}")
 def lookup_sale_match(t: Inputs):
     return matched(t).select(*SHOWN)
