@@ -23,6 +23,33 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def facts(spark):
+    made = [
+        (1, 1, 7, 100, True, False, False, 2),
+        (2, 1, 7, 100, False, True, False, 3),
+        (2, 1, 8, 101, False, False, True, 5),
+        (2, 1, 8, None, False, False, False, 0),
+        (None, None, 9, 102, False, False, False, 11),
+        (None, None, None, None, False, False, False, 1),
+    ]
+    return spark.createDataFrame([(*r[:7], *[r[7]] * len(opportunity._ADDED)) for r in made], FACT)
+
+
+@pytest.mark.parametrize("period", ["week", "month"])
+def test_sums_are_not_kept_by_order(spark, period):
+    plan = optimized(opportunity.order_counts(facts(spark), period))
+    by_order = [x for x in plan.splitlines() if x.split("Aggregate [")[-1].split("]")[0].count("so_number")]
+    assert by_order and not any("units_sold" in x for x in by_order if "Aggregate" in x)
+
+
+def test_counts_and_sums_of_periods(spark):
+    names = ["ext_quant", "units_sold", "transactions", "coupon_transactions", "admins", "adjustments", "customers"]
+    weeks = opportunity.order_counts(facts(spark), "week")
+    assert rows(weeks, "week", *names) == [(None, 12, 12, 1, 0, 0, 0, 1), (1, 2, 2, 1, 1, 0, 0, 1), (2, 8, 8, 2, 0, 1, 1, 2)]
+    months = opportunity.order_counts(facts(spark), "month")
+    assert rows(months, "month", *names) == [(None, 12, 12, 1, 0, 0, 0, 1), (1, 10, 10, 2, 1, 1, 1, 2)]
+
+
 def test_shuffle_of_one_task_is_bounded_unless_stated(spark):
     kept = spark.conf.get(ADVISORY_CONF, None)
     try:
