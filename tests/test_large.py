@@ -50,6 +50,30 @@ def test_counts_and_sums_of_periods(spark):
     assert rows(months, "month", *names) == [(None, 12, 12, 1, 0, 0, 0, 1), (1, 10, 10, 2, 1, 1, 1, 2)]
 
 
+def sale(so, qty, customer=1, car=1, user="bob"):
+    return (customer, DAY, user, "A", car, "x", so, "a", 1, 1, 10, qty)
+
+
+def matched(spark):
+    sold = [sale(1, 1), sale(2, -1), sale(3, 0), sale(4, None), sale(5, 2, customer=None), sale(6, 1, car=None), sale(7, 1)]
+    asked = [(DAY, 1, "bob", "A", 1, "y"), (DAY, None, "bob", "A", 1, "y"), (DAY, 2, "bob", "A", None, "y")]
+    return opportunity.lookup_sale_match(spark.createDataFrame(sold, SALE), spark.createDataFrame(asked, LOOKUP))
+
+
+def test_lookups_are_joined_once(spark):
+    got = matched(spark)
+    assert optimized(got).count("Join ") == 1
+    assert rows(got, "so_number", "customer_id", "car_id", "core_type", "is_lookup", "is_sale") == [
+        (None, None, 1, "y", True, False),
+        (None, 2, None, "y", True, False),
+        (1, 1, 1, "y", True, True),
+        (2, 1, 1, "x", False, True),
+        (5, None, 1, "x", False, True),
+        (6, 1, None, "x", False, True),
+        (7, 1, 1, "y", True, True),
+    ]
+
+
 def test_shuffle_of_one_task_is_bounded_unless_stated(spark):
     kept = spark.conf.get(ADVISORY_CONF, None)
     try:
