@@ -74,6 +74,22 @@ def test_lookups_are_joined_once(spark):
     ]
 
 
+def test_visits_are_not_joined_back(spark):
+    stocked = matched(spark).selectExpr("*", "int(1) AS in_stock")
+    stages = session.cut_lineage(stocked)
+    got = opportunity.in_stock_opportunity(stages, [], "ec")
+    assert "Join " not in optimized(got)
+    assert rows(got, "so_number", "customer_id", "car_id", "sales_opp", "in_stock_opp", "opp_converted") == [
+        (None, None, 1, 1, 1, 1),
+        (None, 2, None, 1, 1, 0),
+        (1, 1, 1, 1, 1, 1),
+        (2, 1, 1, 0, 0, 0),
+        (5, None, 1, 0, 0, 0),
+        (6, 1, None, 1, 1, 1),
+        (7, 1, 1, 0, 0, 0),
+    ]
+
+
 def test_shuffle_of_one_task_is_bounded_unless_stated(spark):
     kept = spark.conf.get(ADVISORY_CONF, None)
     try:
