@@ -90,6 +90,14 @@ def test_visits_are_not_joined_back(spark):
     ]
 
 
+def test_the_model_is_known_before_rows_are_dealt(spark):
+    rows_of = spark.createDataFrame([("A", 1, 1, 1, 2, 0.5, 5)], "cuc string, fiscal_week int, in_stock_opp int, opp_converted int, quant_sold int, coupon_quant double, ext_sold int")
+    model = spark.createDataFrame([("A", 1, 30, 1), ("A", 1, 30, 3)], "cuc string, fiscal_week int, warehouse_id int, roh int")
+    got = opportunity.dashboard_rows(rows_of, model)
+    assert "Aggregate" not in optimized(got)
+    assert rows(got, "cuc", "in_model_opp") == [("A", 1)]
+
+
 def test_shuffle_of_one_task_is_bounded_unless_stated(spark):
     kept = spark.conf.get(ADVISORY_CONF, None)
     try:
