@@ -98,6 +98,21 @@ def test_the_model_is_known_before_rows_are_dealt(spark):
     assert rows(got, "cuc", "in_model_opp") == [("A", 1)]
 
 
+def test_annotated_lines_are_not_gathered_twice(spark):
+    uploads = spark.createDataFrame([("f", "1", "1", "p"), ("f", "1", "1", "p"), ("f", "2", "2", "q")], "source_file string, release_name string, release_version string, part_number string")
+    # Two products that are not listed give one line; one without name, and lines without release, meet those without name.
+    releases = spark.createDataFrame([("1", "1", "B", "n"), ("1", "1", "C", "n"), ("1", "1", None, "n")], "releasename string, releaseversion string, productname string, rmnotes string")
+    products = spark.createDataFrame([("A", "a"), (None, None), (None, "z")], "productname string, rmnotes string")
+    got = release_notes.annotated_uploads(uploads, releases, products)
+    assert not optimized(got).startswith("Aggregate")
+    assert rows(got, "part_number", "product_name", "release_notes", "product_notes") == [
+        ("p", None, "n", None),
+        ("p", None, "n", "z"),
+        ("q", None, None, None),
+        ("q", None, None, "z"),
+    ]
+
+
 def test_shuffle_of_one_task_is_bounded_unless_stated(spark):
     kept = spark.conf.get(ADVISORY_CONF, None)
     try:
