@@ -113,6 +113,14 @@ def test_annotated_lines_are_not_gathered_twice(spark):
     ]
 
 
+def test_days_of_price_rows_are_written(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(pricing, "cut_lineage", lambda df: written.append(df.columns) or session.cut_lineage(df))
+    got = cleaned(spark, [(1, "a", 1, "b9", "bob", 1), (2, "a", 1, "b9", "bob", 1)], [(1, 2, 6)])
+    assert ["source", "day"] in written
+    assert rows(got, "so_number", "first_so_date") == [(2, T0.date() + dt.timedelta(days=1))]
+
+
 def test_shuffle_of_one_task_is_bounded_unless_stated(spark):
     kept = spark.conf.get(ADVISORY_CONF, None)
     try:

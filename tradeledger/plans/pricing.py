@@ -57,7 +57,8 @@ def pricing_noise_cleanup(
     sale, and lines returned for a listed reason since the first remaining date.
     """
     priced = pricing.select(F.col("so_number").alias("source"), "priced_on").groupBy("source")
-    days = priced.agg(F.min("priced_on").alias("day"))
+    # Written, so that no task sorts all price rows and gathers their orders and chains at once.
+    days = cut_lineage(priced.agg(F.min("priced_on").alias("day")))
     chains = resolved.join(days.select("source"), "source", "left_semi")
     first = chain_first_date(chains, days).select(
         "so_number", F.col("first_sale").alias("first_so_date")
