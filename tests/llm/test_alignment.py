@@ -161,3 +161,58 @@ def test_words_give_the_ids_of_whole_texts(monkeypatch):
             lost = b"".join(bytes_a) != b" " + text.encode() or b"".join(bytes_b) != b" " + text.encode()
             want = ([], []) if lost else (a, b)
             assert tuple(np.frombuffer(x, np.uint32).tolist() for x in found) == want, text
+
+
+def counted(monkeypatch, words):
+    """Texts that the two tokenizers get."""
+    sent = ([], [])
+    for tokenizer, seen in zip((words.one, words.two), sent):
+        encode = tokenizer.encode
+        monkeypatch.setattr(tokenizer, "encode", lambda x, f=encode, s=seen: (s.extend(x), f(x))[1])
+    return sent
+
+
+def test_new_words_are_encoded_in_runs(monkeypatch):
+    """Runs with a word that is not given back, and blanks at the ends of texts, give each word its own ids."""
+    words, encode = alignment.WordIds(*alignment.tokenizer_files()), tokens_of()
+    sent = counted(monkeypatch, words)
+    many = [f"w{i}x" for i in range(1000)]
+    texts = [" ".join(many), "w1x ▁ w2x", None, "  w3x new\tw4x ", "", " ".join(many[::-1]), "x" * 40 + " w5x " + "x" * 40]
+    found = words.of(texts)
+    assert all(len(s) < 200 for s in sent)
+    for text, got_ids in zip(texts, found, strict=True):
+        want = encode(text)[:2] if text and "▁" not in text else ([], [])
+        assert tuple(np.frombuffer(x, np.uint32).tolist() for x in got_ids) == tuple(want), text
+    assert "x" * 40 not in words.numbers
+
+
+def test_common_words_are_not_forgotten(monkeypatch):
+    """Words of every batch are encoded once, however many words are met only once."""
+    monkeypatch.setattr(alignment, "CACHE_WORDS", 300)
+    words = alignment.WordIds(*alignment.tokenizer_files())
+    sent = counted(monkeypatch, words)
+    common = [f"every{i}" for i in range(40)]
+    # Half of the common words stay away from every other batch.
+    for n in range(60):
+        words.of([" ".join(common[: 40 if n % 2 else 20] + [f"once{n}x{i}" for i in range(30)])])
+        assert len(words.numbers) <= 370 and len(words.numbers) == len(words.known.lost) == len(words.used)
+    for seen in sent:
+        assert " ".join(seen).split().count("every30") == 1
+
+
+def test_words_of_a_failed_batch_are_learned_anew(monkeypatch):
+    words = alignment.WordIds(*alignment.tokenizer_files())
+    words.of(["one two"])
+    with monkeypatch.context() as broken, pytest.raises(MemoryError):
+        broken.setattr(words.two, "encode", lambda x: (_ for _ in ()).throw(MemoryError()))
+        words.of(["two three"])
+    fresh = alignment.WordIds(*alignment.tokenizer_files())
+    assert words.of(["three two one"]) == fresh.of(["three two one"])
+
+
+def test_runs_whose_tokens_cross_words_are_encoded_by_word(monkeypatch):
+    """A tokenizer that joins words of a run, although its tokens were taken not to."""
+    words = alignment.WordIds(*alignment.tokenizer_files())
+    words.one.tokens, words.sizes[0] = [b" a", b" b", b" a b"], np.array([2, 2, 4])
+    monkeypatch.setattr(words.one, "encode", lambda x: [[{"a": 0, "b": 1, "a b": 2}[t]] for t in x])
+    assert [np.frombuffer(x, np.uint32).tolist() for x, _ in words.of(["a b", "b a"])] == [[0, 1], [1, 0]]

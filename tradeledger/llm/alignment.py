@@ -20,6 +20,7 @@ import re
 from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,11 @@ LANE, SEEK = 256, 64
 #: Bytes of text that a task tokenizes and merges at a time; a longer text is taken alone.
 BLOCK_BYTES = 500_000
 
-#: Words of at most so many characters whose ids a worker remembers; beyond it only those of the batch stay.
-CACHE_WORDS, CACHE_CHARS = 100_000, 32
+#: Words of at most so many characters whose ids a worker remembers; beyond it the half used most stays.
+CACHE_WORDS, CACHE_CHARS = 300_000, 32
+
+#: New words that are encoded as one text.
+RUN_WORDS = 32
 
 #: Distinct pairs of documents that a chunk holds; a document with more is a chunk of its own.
 CHUNK_PAIRS = 1_000_000
@@ -102,52 +106,146 @@ class Pieces:
 _WORD_END = re.compile(r"(?<=\S) (?=\S)")
 
 
+class _Numbers(dict):
+    """Words by number, in the order they were met; numbers of long ones are below zero and last for a batch."""
+
+    def __init__(self, words: Sequence[str] = ()):
+        super().__init__(zip(words, range(len(words))))
+        self.new: list[str] = []
+        self.long: dict[str, int] = {}
+
+    def __missing__(self, word: str) -> int:
+        if len(word) > CACHE_CHARS:
+            return self.long.setdefault(word, -1 - len(self.long))
+        self.new.append(word)
+        found = self[word] = len(self)
+        return found
+
+
+@dataclass
+class _Known:
+    """Ids of words by both tokenizers, one word after another, where each word's end, and words not given back."""
+
+    ids: list[np.ndarray]
+    ends: list[np.ndarray]
+    lost: np.ndarray
+
+    @staticmethod
+    def none() -> _Known:
+        return _Known([np.zeros(0, np.uint32)] * 2, [np.zeros(1, np.int64)] * 2, np.zeros(0, bool))
+
+    def plus(self, more: _Known) -> _Known:
+        ids = [np.concatenate(x) for x in zip(self.ids, more.ids)]
+        ends = [np.append(x, x[-1] + y[1:]) for x, y in zip(self.ends, more.ends)]
+        return _Known(ids, ends, np.append(self.lost, more.lost))
+
+    def take(self, which: np.ndarray) -> _Known:
+        """These words in this order."""
+        ids, ends = [], []
+        for flat, stop in zip(self.ids, self.ends):
+            begin = stop[which]
+            counts = stop[which + 1] - begin
+            end = np.append(0, np.cumsum(counts))
+            ids.append(flat[np.arange(end[-1]) + np.repeat(begin - end[:-1], counts)])
+            ends.append(end)
+        return _Known(ids, ends, self.lost[which])
+
+
 class WordIds:
     """Ids of both tokenizers for a text's words, each with the space before it, as 32-bit values.
 
     Both tokenizers cut the text at single spaces between other characters, so the ids of a text are
     those of its words. Tokenizers without this property (``by_word``) get the whole text as one word.
+    New words are for the same reason encoded in runs, which the bytes of their tokens cut into words again.
     """
 
     def __init__(self, first: bytes, second: bytes):
         self.one, self.two = ByteLevel(first), Pieces(second)
         self.by_word = self.one.by_word and self.two.by_word
-        self.known_a: dict[str, bytes] = {}
-        self.known_b: dict[str, bytes] = {}
-        #: Words that one of the tokenizers does not give back.
-        self.lost: set[str] = set()
-
-    def _learn(self, met: set[str]) -> list[str]:
-        """Learn new words; gives those too long to be remembered after this batch."""
-        new = met.difference(self.known_a)
-        if len(self.known_a) + len(new) > CACHE_WORDS:
-            # The words of this batch stay, the common ones among them.
-            old = met.difference(new)
-            self.known_a, self.known_b = ({w: k[w] for w in old} for k in (self.known_a, self.known_b))
-            self.lost &= old
-        words = list(new)
+        self.sizes = [np.array([len(t) for t in x.tokens], np.int64) for x in (self.one, self.two)]
+        self._start()
+
+    def _start(self) -> None:
+        self.numbers, self.known, self.used = _Numbers(), _Known.none(), np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep half the room's words if there are too many: those of the most batches, then the latest."""
+        if self.numbers.new or self.numbers.long:
+            # An error ended the last batch before its words had ids.
+            self._start()
+        if len(self.numbers) > CACHE_WORDS:
+            kept = np.sort(np.argsort(self.used, kind="stable")[-(CACHE_WORDS // 2) :])
+            words = list(self.numbers)
+            self.numbers, self.known = _Numbers([words[i] for i in kept.tolist()]), self.known.take(kept)
+            self.used = self.used[kept] // 2
+
+    def _whole(self, runs: list[list[str]]) -> Iterator[tuple[list[str], list[int] | None, list[int] | None]]:
+        """Ids of runs that both tokenizers give back, else of their words; none for a word not given back."""
+        texts = [" ".join(r) for r in runs]
         tokens_a, tokens_b = self.one.tokens, self.two.tokens
-        for word, a, b in zip(words, self.one.encode(words), self.two.encode(words), strict=True):
-            whole = b" " + word.encode()
-            if b"".join([tokens_a[i] for i in a]) != whole or b"".join([tokens_b[i] for i in b]) != whole:
-                self.lost.add(word)
-            self.known_a[word] = array("I", a).tobytes()
-            self.known_b[word] = array("I", b).tobytes()
-        return [w for w in words if len(w) > CACHE_CHARS]
+        for run, text, a, b in zip(runs, texts, self.one.encode(texts), self.two.encode(texts), strict=True):
+            whole = b" " + text.encode()
+            if b"".join([tokens_a[i] for i in a]) == whole and b"".join([tokens_b[i] for i in b]) == whole:
+                yield run, a, b
+            elif len(run) == 1:
+                yield run, None, None
+            else:
+                yield from self._whole([[w] for w in run])
+
+    def _encode(self, words: list[str], longest: int) -> _Known:
+        """Ids of words, encoded in runs of at most so many."""
+        runs: list[list[str]] = []
+        alone = True
+        for word in words:
+            # In a run, a blank at a word's end would lie beside the space between words.
+            blank = len(word.strip()) < len(word)
+            if alone or blank or len(runs[-1]) == longest:
+                runs.append([])
+            runs[-1].append(word)
+            alone = blank
+        ids: tuple[array, array] = array("I"), array("I")
+        sizes, lost = [], []
+        for run, a, b in self._whole(runs):
+            if a is None:
+                sizes.append(0)
+                lost.append(True)
+                continue
+            ids[0].extend(a)
+            ids[1].extend(b)
+            sizes.extend([len(w.encode()) + 1 for w in run])
+            lost.extend([False] * len(run))
+        stops = np.append(0, np.cumsum(np.array(sizes, np.int64)))
+        flat = [np.array(x, np.uint32) for x in ids]
+        token_ends = [np.append(0, np.cumsum(size[x])) for size, x in zip(self.sizes, flat)]
+        ends = [np.searchsorted(x, stops, side="right") - 1 for x in token_ends]
+        if longest > 1 and not all((x[e] == stops).all() for x, e in zip(token_ends, ends)):
+            return self._encode(words, 1)
+        return _Known(flat, ends, np.array(lost, bool))
 
     def of(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """Ids of A and B for each text; none for those without tokens."""
+        self._forget()
         split = _WORD_END.split if self.by_word else lambda text: [text]
         words = [split(t) if t else [] for t in texts]
-        long = self._learn(set().union(*words))
-        of_a, of_b = self.known_a.__getitem__, self.known_b.__getitem__
-        out = [
-            (b"".join(map(of_a, x)), b"".join(map(of_b, x))) if self.lost.isdisjoint(x) else (b"", b"") for x in words
+        stops = np.append(0, np.cumsum([len(x) for x in words])).astype(np.int64)
+        met = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int64, stops[-1])
+        longest = RUN_WORDS if self.by_word else 1
+        known = self.known.plus(self._encode(self.numbers.new, longest)) if self.numbers.new else self.known
+        long = list(self.numbers.long)
+        self.known, self.numbers.new, self.numbers.long = known, [], {}
+        room = len(self.numbers)
+        used = np.bincount(met[met >= 0], minlength=room) > 0
+        self.used = np.append(self.used, np.zeros(room - len(self.used), np.int64)) + used
+        if long:
+            known = known.plus(self._encode(long, 1))
+            met = np.where(met < 0, room - 1 - met, met)
+        found = known.take(met)
+        lost = np.append(0, np.cumsum(found.lost))[stops]
+        (a, b), (at_a, at_b) = found.ids, (x[stops].tolist() for x in found.ends)
+        return [
+            (a[at_a[i] : at_a[i + 1]].tobytes(), b[at_b[i] : at_b[i + 1]].tobytes()) if not bad else (b"", b"")
+            for i, bad in enumerate(np.diff(lost).tolist())
         ]
-        for word in long:
-            del self.known_a[word], self.known_b[word]
-            self.lost.discard(word)
-        return out
 
 
 _LOADED: dict[int, WordIds] = {}
