@@ -184,6 +184,10 @@ def test_new_words_are_encoded_in_runs(monkeypatch):
         want = encode(text)[:2] if text and "▁" not in text else ([], [])
         assert tuple(np.frombuffer(x, np.uint32).tolist() for x in got_ids) == tuple(want), text
     assert "x" * 40 not in words.numbers
+    # A run that is not given back for another reason goes word by word.
+    monkeypatch.setattr(words.two, "encode", lambda x, f=words.two.encode: [y if "bad" not in t else y[:-1] for t, y in zip(x, f(x))])
+    assert [bool(a) for a, _ in words.of(["new1 new2", "new3 bad new4"])] == [True, False]
+    assert words.of(["new3 new4"])[0][1] == np.array(encode("new3 new4")[1], np.uint32).tobytes()
 
 
 def test_common_words_are_not_forgotten(monkeypatch):

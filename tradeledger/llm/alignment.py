@@ -197,12 +197,12 @@ class WordIds:
         runs: list[list[str]] = []
         alone = True
         for word in words:
-            # In a run, a blank at a word's end would lie beside the space between words.
-            blank = len(word.strip()) < len(word)
-            if alone or blank or len(runs[-1]) == longest:
+            # In a run, a blank at a word's end would lie beside the space between words; U+2581 is not given back.
+            by_itself = len(word.strip()) < len(word) or "▁" in word
+            if alone or by_itself or len(runs[-1]) == longest:
                 runs.append([])
             runs[-1].append(word)
-            alone = blank
+            alone = by_itself
         ids: tuple[array, array] = array("I"), array("I")
         sizes, lost = [], []
         for run, a, b in self._whole(runs):
